@@ -84,32 +84,39 @@ def resolve_identity(df: DataFrame, people: DataFrame,
             .withColumn(ident, F.coalesce(F.col(ident), *hits)).drop(*hits))
 
 
-# Words in a row hashed together when a name is long enough to hold them whole.
-RUN = 3
-# Characters anchoring a name of one or two words.
+# Characters of a one- or two-word name that are looked up in the vocabulary.
 GRAM = 8
 
 
-def _runs(words: Column, n: int) -> Column:
-    """Every run of `n` neighbouring words; a shorter text gives what it has."""
-    if n == 1:
-        return words
-    shifted = [F.slice(words, k + 1, F.greatest(F.size(words) - n + 1, F.lit(1))) for k in range(n)]
-    return F.transform(F.arrays_zip(*[s.alias(f"w{k}") for k, s in enumerate(shifted)]),
-                       lambda z: F.concat_ws(" ", *[z[f"w{k}"] for k in range(n)]))
+def _grams(word: str, size: int) -> Column:
+    """Hashes of the `size`-character pieces of a word; the size keeps kinds apart."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(word) - size + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.xxhash64(F.lit(size), F.substring(F.col(word), i, F.lit(size))))
 
 
-def _grams(runs: Column, size: int) -> Column:
-    """Distinct `size`-character pieces of short strings."""
-    pieces = F.transform(runs, lambda p: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(p) - size + 1, F.lit(1))),
-        lambda i: F.substring(p, i, F.lit(size))))
-    return F.array_distinct(F.flatten(pieces))
+def _rarest_inner_word(prepared: DataFrame, words: DataFrame, name_id: str) -> DataFrame:
+    """Per name with inner words, the one found in the fewest texts."""
+    inner = prepared.select(name_id, "_name", F.explode(F.array_distinct("_inner")).alias("_word"))
+    spread = (words.join(inner.select("_word").distinct(), "_word", "left_semi")
+              .groupBy("_word").agg(F.count("*").alias("_texts")))
+    rarity = F.struct(F.coalesce("_texts", F.lit(0)), F.col("_word"))
+    return (inner.join(spread, "_word", "left").groupBy(name_id, "_name")
+            .agg(F.min_by("_word", rarity).alias("_word")))
 
 
-def _hashed(values: Column, salt: int) -> Column:
-    """Hash of each value; the salt keeps kinds of anchor apart."""
-    return F.transform(values, lambda v: F.xxhash64(F.lit(salt), v))
+def _words_holding(short: DataFrame, words: DataFrame, name_id: str) -> DataFrame:
+    """Per name without inner words, every word of the texts that holds its longer part."""
+    second = F.coalesce(F.get("_w", F.lit(1)), F.lit(""))
+    piece = F.when(F.length(second) > F.length(F.get("_w", F.lit(0))), second).otherwise(
+        F.get("_w", F.lit(0)))
+    short = short.withColumn("_piece", piece).withColumn("_n", F.least(F.length("_piece"), F.lit(GRAM)))
+    sizes = [r["_n"] for r in short.select("_n").distinct().collect()]  # at most GRAM + 1 rows
+    hashes = F.array_distinct(F.flatten(F.array(*[_grams("_word", n) for n in sizes])))
+    vocabulary = (words.select("_word").distinct()
+                  .select("_word", F.explode_outer(hashes).alias("_gram")))
+    keyed = short.withColumn("_gram", F.xxhash64("_n", F.left("_piece", "_n")))
+    return (vocabulary.join(keyed, "_gram").filter(F.contains("_word", "_piece"))
+            .select(name_id, "_name", "_word"))
 
 
 def contains_join(texts: DataFrame, names: DataFrame, text_id: str, text: str, name_id: str,
@@ -117,41 +124,21 @@ def contains_join(texts: DataFrame, names: DataFrame, text_id: str, text: str, n
     """(text_id, name_id) for every name that occurs as a substring of a text.
 
     Where a text holds a name, it holds the name's inner words as whole words: only the first and
-    the last word may be cut off from longer ones.  So each name is anchored on a run of inner
-    words, each text on its distinct runs, and the two meet in an equi-join on a hash.  A name
-    of one or two words lies inside two neighbouring words of the text and is anchored on its
-    first characters there.  Candidates are then checked on the whole text, so no match is lost to
-    an anchor and none is added.
+    the last word may be cut off from longer ones.  So each name is anchored on its rarest inner
+    word; a name of one or two words is anchored on every word of the texts that holds its longer
+    part, found in the vocabulary rather than in the texts.  Texts meet names in an equi-join on
+    the anchor word, and candidates are checked on the whole text: no match is lost to an anchor
+    and none is added.
     """
-    words = F.split(F.col(name), r"\s+")
+    split = F.array_distinct(F.split(F.col(text), r"\s+"))
+    words = texts.select(text_id, F.explode_outer(split).alias("_word"))
     prepared = (names.filter(F.coalesce(F.col(name), F.lit("")) != "")
-                .select(name_id, F.col(name).alias("_name"), words.alias("_w"))
+                .select(name_id, F.col(name).alias("_name"), F.split(F.col(name), r"\s+").alias("_w"))
                 .withColumn("_inner", F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0)))))
-    inner = F.size("_inner")
-    text_words = F.split(F.col(text), r"\s+")
-    anchors, pieces = [], []
-    for run, chosen in ((RUN, inner >= RUN), (1, (inner >= 1) & (inner < RUN))):
-        # the run in the middle: passages tend to share their openings
-        start = F.floor((inner - run) / 2).cast("int") + 1
-        anchored = prepared.filter(chosen).withColumn(
-            "_anchor", F.xxhash64(F.lit(run), F.array_join(F.slice("_inner", start, run), " ")))
-        if not anchored.isEmpty():
-            anchors.append(anchored.select(name_id, "_name", "_anchor"))
-            pieces.append(_hashed(_runs(text_words, run), run))
-    short = (prepared.filter(inner < 1).withColumn("_flat", F.array_join("_w", " "))
-             .withColumn("_n", F.least(F.length("_flat"), F.lit(GRAM))))
-    for row in short.select("_n").distinct().collect():  # at most GRAM rows
-        size = row["_n"]
-        anchors.append(short.filter(F.col("_n") == size).select(
-            name_id, "_name", F.xxhash64(F.lit(-size), F.left("_flat", F.lit(size))).alias("_anchor")))
-        pieces.append(_hashed(_grams(_runs(text_words, 2), size), -size))
-    if not anchors:
-        return texts.select(text_id, F.lit(None).alias(name_id)).limit(0)
-    anchored = anchors[0]
-    for more in anchors[1:]:
-        anchored = anchored.unionByName(more)
-    hashes = F.array_distinct(F.flatten(F.array(*pieces)))
-    candidates = (texts.select(text_id, F.explode(hashes).alias("_anchor"))
-                  .join(anchored, "_anchor").drop("_anchor"))
+    anchors = _rarest_inner_word(prepared, words, name_id)
+    short = prepared.filter(F.size("_inner") < 1)
+    if not short.isEmpty():
+        anchors = anchors.unionByName(_words_holding(short, words, name_id))
+    candidates = words.join(anchors, "_word").select(text_id, name_id, "_name").distinct()
     return (texts.select(text_id, F.col(text).alias("_text")).join(candidates, text_id)
             .filter(F.contains("_text", "_name")).select(text_id, name_id))

@@ -100,12 +100,13 @@ def explicit_value_order(tb: Tables) -> DataFrame:
         "o_orderkey", "position")
 
 
-# Chinese names in pinyin order (jiaju, jianzhu, jixie, qiche, riyong).
+# Chinese names and their pinyin order, syllable by syllable:
+# ji-xie, jia-ju, jian-zhu, qi-che, ri-yong.
 SEGMENT_NAMES = {"FURNITURE": "家具", "BUILDING": "建筑", "MACHINERY": "机械", "AUTOMOBILE": "汽车", "HOUSEHOLD": "日用"}
 
 
 @query("""SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE c_mktsegment
-            WHEN 'FURNITURE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'MACHINERY' THEN 3 WHEN 'AUTOMOBILE' THEN 4 ELSE 5 END,
+            WHEN 'MACHINERY' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'BUILDING' THEN 3 WHEN 'AUTOMOBILE' THEN 4 ELSE 5 END,
             c_custkey) AS position FROM customer""")
 def pinyin_value_order(tb: Tables) -> DataFrame:
     rows = tb.customer.select("c_custkey", "c_nationkey", map_code("c_mktsegment", SEGMENT_NAMES).alias("name"))
