@@ -32,8 +32,8 @@ def person_profile(persons: DataFrame, accounts: DataFrame, units: DataFrame, pa
     party = first_by(parties.withColumns(trimmed), ["person_id"], ["seq"], ["party", "joined"])
     degree = first_by(degrees.withColumns(trimmed).filter(F.substring("degree_code", 1, 1) > "0"),
                       ["person_id"], ["degree_code", "year_month"], ["school", "degree_code"])
-    tree = parent_lookup(units, "unit_id", "parent_id", ["unit_id", "name"]).select(
-        "unit_id", F.col("name").alias("unit_name"), F.col("parent1_unit_id").alias("parent_unit"),
+    tree = parent_lookup(units, "unit_id", "parent_id", ["name"]).select(
+        "unit_id", F.col("name").alias("unit_name"), F.col("parent_id").alias("parent_unit"),
         F.col("parent1_name").alias("parent_unit_name"))
     out = people
     for side in (account, party, degree):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -179,6 +178,3 @@ def to_lines(df: DataFrame, database: Column, table: Column, kind: Column, ts: C
     return (df.withColumns({"_head": head, "_data": data})
             .select(F.concat(body, F.lit(',"data":'), F.col("_data"), F.lit("}")).alias("value")))
 
-
-def schema_json(schema: StructType) -> str:
-    return json.dumps(schema.jsonValue())

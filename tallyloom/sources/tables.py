@@ -31,9 +31,10 @@ def insert_partitions(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
 
 
-def ctas(df: DataFrame, name: str) -> DataFrame:
-    """Create (or replace) a catalog table from a query."""
-    df.write.mode("overwrite").saveAsTable(name)
+def ctas(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Create (or replace) a catalog table from a query, at `path` if one is given."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -1,4 +1,4 @@
 """Queries over the driver tables, one or more per operator."""
 
-from tallyloom.workload import grouping, joining, ranking, scalars  # noqa: F401
+from tallyloom.workload import fees, grouping, ingestion, joining, ranking, reports, scalars, snapshots  # noqa: F401
 from tallyloom.workload.registry import REGISTRY  # noqa: F401
