@@ -3,7 +3,7 @@
 No broadcast hints: Spark broadcasts a side whose size it knows to be under
 `spark.sql.autoBroadcastJoinThreshold`, from statistics or from the finished shuffle, and splits
 skewed shuffle partitions otherwise.  Every lookup side is made unique per key first, so a lookup
-never multiplies rows.
+never multiplies rows; `scale.join_side` keeps such a side from standing in the way of the split.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.scale import join_null_safe
+from tallyloom.functions.text import split_list
+from tallyloom.scale import join_null_safe, join_side
 
 
 def unique_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -32,7 +33,7 @@ class Lookup:
 
     `on` maps a fact column or expression to the key column of `dim`; `take` maps a column of
     `dim` to its output name.  `where` filters `dim` first, which is what a constant condition
-    inside ON means for a left join.
+    inside ON means for a left join.  `unique` says the keys are a primary key of `dim` already.
     """
 
     dim: DataFrame
@@ -41,6 +42,7 @@ class Lookup:
     where: Column | None = None
     trim: bool = False
     order: Sequence[str] = field(default_factory=tuple)
+    unique: bool = False
 
 
 def lookup(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
@@ -50,7 +52,8 @@ def lookup(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         dim = one.dim if one.where is None else one.dim.filter(one.where)
         if one.trim:
             dim = dim.withColumns({k: F.trim(k) for k in keys})
-        dim = unique_by(dim, keys, list(one.take), one.order)
+        if not one.unique:
+            dim = join_side(unique_by(dim, keys, list(one.take), one.order))
         dim = dim.select(*[F.col(k).alias(f"_k{number}_{k}") for k in keys],
                          *[F.col(c).alias(name) for c, name in one.take.items()])
         condition = []
@@ -65,7 +68,7 @@ def lookup(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 def parent_lookup(df: DataFrame, id_col: str, parent_col: str, cols: Sequence[str],
                   levels: int = 1) -> DataFrame:
     """Columns of the parent row (and its parents, `levels` deep) as `parent<n>_<col>`."""
-    source = unique_by(df, [id_col], [parent_col, *cols])
+    source = join_side(unique_by(df, [id_col], [parent_col, *cols]))
     link = parent_col
     for level in range(1, levels + 1):
         up = source.select(F.col(id_col).alias("_up"), F.col(parent_col).alias(f"_link{level}"),
@@ -80,7 +83,9 @@ def _pairs(keys: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
 
 
 def _side(src: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
-    return src.select(*[F.col(r).alias(f"__{n}") for n, r in enumerate(pairs.values())])
+    """The distinct keys of the right side: a hot key there shrinks to one row before the shuffle."""
+    keys = src.select(*[F.col(r).alias(f"__{n}") for n, r in enumerate(pairs.values())])
+    return join_side(keys.distinct())
 
 
 def keep_existing(df: DataFrame, src: DataFrame, keys: Sequence[str] | Mapping[str, str]) -> DataFrame:
@@ -104,7 +109,7 @@ def exists_flag(df: DataFrame, src: DataFrame, keys: Sequence[str] | Mapping[str
                 out: str) -> DataFrame:
     """Whether a partner exists, as a column."""
     pairs = _pairs(keys)
-    partners = _side(src, pairs).distinct().withColumn(out, F.lit(True))
+    partners = _side(src, pairs).withColumn(out, F.lit(True))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{n}") for n, k in enumerate(pairs)])
     joined = df.join(partners, on, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
     return joined.drop(*[f"__{n}" for n in range(len(pairs))])
@@ -121,7 +126,7 @@ def any_key_join(df: DataFrame, src: DataFrame, keys: Sequence[tuple[str, str]],
     for number, (left_key, right_key) in enumerate(keys):
         side = (src.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias("_k"))
                 .agg(F.min(id_col).alias(f"_id{number}")))
-        df = df.join(side, F.col(left_key) == F.col("_k"), "left").drop("_k")
+        df = df.join(join_side(side), F.col(left_key) == F.col("_k"), "left").drop("_k")
         found.append(f"_id{number}")
     best = F.least(*found) if len(found) > 1 else F.col(found[0])
     return df.withColumn(out, best).drop(*found)
@@ -135,7 +140,7 @@ def update_from(df: DataFrame, src: DataFrame, keys: Sequence[str], cols: Sequen
     Several partners are settled by `order`.  `when` is tested on the row before the update and
     may use the new values as `new_<col>`.
     """
-    side = unique_by(src, keys, cols, order).select(
+    side = join_side(unique_by(src, keys, cols, order)).select(
         *[F.col(k).alias(f"__{k}") for k in keys],
         *[F.col(c).alias(f"new_{c}") for c in cols], F.lit(True).alias("_hit"))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
@@ -161,7 +166,6 @@ def key_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], out: str = "only_i
 def explode_list(df: DataFrame, col: str, out: str, sep: str = ",",
                  keep_empty: bool = False) -> DataFrame:
     """One row per entry of a delimited list."""
-    from tallyloom.functions.text import split_list
     explode = F.explode_outer if keep_empty else F.explode
     return df.withColumn(out, explode(split_list(col, sep)))
 
@@ -178,14 +182,14 @@ def lookup_grouped(df: DataFrame, src: DataFrame, keys: Sequence[str],
                    measures: Mapping[str, Column]) -> DataFrame:
     """Correlated aggregates: group `src` once, then look the measures up."""
     grouped = src.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
-    return df.join(grouped, list(keys), "left")
+    return df.join(join_side(grouped), list(keys), "left")
 
 
 def per_dimension(df: DataFrame, dimension: DataFrame, keys: Mapping[str, str],
                   take: Sequence[str]) -> DataFrame:
     """What a loop over dimension values computes, as one join on the dimension."""
     pairs = dict(keys)
-    side = unique_by(dimension, list(pairs.values()), list(take))
+    side = join_side(unique_by(dimension, list(pairs.values()), list(take)))
     side = side.select(*[F.col(r).alias(f"__{r}") for r in pairs.values()], *take)
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{r}") for k, r in pairs.items()])
     return df.join(side, on, "inner").drop(*[f"__{r}" for r in pairs.values()])

@@ -28,7 +28,7 @@ def match_cascade(left: DataFrame, right: DataFrame, rules: Sequence[Rule], left
 
     Within one key the n-th left row goes with the n-th right row, by id, so a key shared by very
     many rows costs its rows, not their pairs.  Each rule sees what the earlier ones left; its
-    matches are checkpointed, which keeps the plan of the last rule as small as the first.  Rule 0
+    matches are written, which keeps the plan of the last rule as small as the first.  Rule 0
     marks left rows without a partner.
     """
     rest_left, rest_right, found = left, right, []
@@ -36,7 +36,7 @@ def match_cascade(left: DataFrame, right: DataFrame, rules: Sequence[Rule], left
         l = _keyed(rest_left, rule.left, left_id, split)
         r = _keyed(rest_right, rule.right, right_id, split)
         pairs = l.join(r, ["_key", "_nth"]).select(left_id, right_id, F.lit(number).alias("rule"))
-        pairs = scale.cut_lineage(pairs)
+        pairs = scale.written(pairs)
         found.append(pairs)
         if number < len(rules):
             rest_left = keep_missing(rest_left, pairs, [left_id])
@@ -66,7 +66,7 @@ def resolve_identity(df: DataFrame, people: DataFrame,
     hits = []
     for number, rule in enumerate(rules, start=1):
         people_cols = [p for _, p in rule]
-        candidates = (people.groupBy(*people_cols)
+        candidates = scale.join_side(people.groupBy(*people_cols)
                       .agg(F.min(person_id).alias("_lo"), F.max(person_id).alias("_hi"))
                       .filter(F.col("_lo") == F.col("_hi"))
                       .select(*[F.col(p).alias(f"__{p}") for p in people_cols],
@@ -139,6 +139,6 @@ def contains_join(texts: DataFrame, names: DataFrame, text_id: str, text: str, n
     short = prepared.filter(F.size("_inner") < 1)
     if not short.isEmpty():
         anchors = anchors.unionByName(_words_holding(short, words, name_id))
-    candidates = words.join(anchors, "_word").select(text_id, name_id, "_name").distinct()
+    candidates = words.join(scale.join_side(anchors), "_word").select(text_id, name_id, "_name").distinct()
     return (texts.select(text_id, F.col(text).alias("_text")).join(candidates, text_id)
             .filter(F.contains("_text", "_name")).select(text_id, name_id))

@@ -6,7 +6,7 @@ the old one, so nothing is overwritten while it is read.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,16 +31,18 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
 
     Columns outside `update_cols` keep the target's values.  `delete` is `remove`, `flag` (set
     `flag` to `deleted_value`; a key that returns becomes live again) or `keep`.  `scope` limits
-    deletion to target rows that meet it.  Both frames must be unique on `keys`; rows with a null
-    key never match.
+    deletion to target rows that meet it.  Both frames must be unique on `keys`.  Rows with a null
+    key match nothing: the target's stay, the snapshot's are added.  They go round the join, where
+    they would all meet in one task.
     """
     if delete not in ("remove", "flag", "keep"):
         raise ValueError(f"unknown delete mode {delete!r}")
     cols = [c for c in target.columns if c not in keys and c != flag]
     updates = [c for c in (cols if update_cols is None else update_cols) if c in snap.columns]
     in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-    t = target.withColumns({"_in_t": F.lit(True), "_scoped": in_scope}).alias("t")
-    s = snap.withColumn("_in_s", F.lit(True)).alias("s")
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    t = target.filter(keyed).withColumns({"_in_t": F.lit(True), "_scoped": in_scope}).alias("t")
+    s = snap.filter(keyed).withColumn("_in_s", F.lit(True)).alias("s")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
     missing = in_t & ~in_s & F.col("t._scoped")
     out = {k: F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")) for k in keys}
@@ -58,7 +60,15 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
     both = t.join(s, _on(keys), "full_outer")
     if delete == "remove":
         both = both.filter(~F.coalesce(missing, F.lit(False)))
-    return both.select(*[out[c].alias(c) for c in target.columns])
+    merged = both.select(*[out[c].alias(c) for c in target.columns])
+    if not any(target.schema[k].nullable or snap.schema[k].nullable for k in keys):
+        return merged
+    added = snap.filter(~keyed)
+    if flag:
+        added = added.withColumn(flag, F.lit(live_value))
+    blank = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns if c not in added.columns}
+    return (merged.unionByName(target.filter(~keyed))
+            .unionByName(added.withColumns(blank).select(*target.columns)))
 
 
 def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,19 +80,19 @@ def change_log(old: DataFrame, new: DataFrame, keys: Sequence[str], labels: Mapp
                out: str = "change_text") -> DataFrame:
     """One text per changed key, `label:old-->new;` for every changed column."""
     pair = _side_by_side(old, new, keys, list(labels))
-    return (pair.withColumn(out, change_text(labels))
-            .filter(F.col(out) != "").select(*keys, out))
+    return pair.filter(any_changed(labels)).select(*keys, change_text(labels).alias(out))
+
+
+def any_changed(cols: Iterable[str]) -> Column:
+    """Whether any of the columns `old_<c>` and `new_<c>` differ."""
+    return reduce(lambda a, b: a | b, [changed(f"old_{c}", f"new_{c}") for c in cols])
 
 
-def change_text(labels: Mapping[str, str], guard: Mapping[str, Column] | None = None) -> Column:
-    """The text for columns `old_<c>` and `new_<c>`; `guard` limits when a column may be logged."""
-    fragments = []
+def change_text(labels: Mapping[str, str]) -> Column:
+    """The text for columns `old_<c>` and `new_<c>`."""
+    fragments, blank = [], F.lit("")
     for c, label in labels.items():
-        differs = changed(f"old_{c}", f"new_{c}")
-        if guard and c in guard:
-            differs = differs & guard[c]
-        blank = F.lit("")
-        fragments.append(F.when(differs, F.concat(
+        fragments.append(F.when(changed(f"old_{c}", f"new_{c}"), F.concat(
             F.lit(label + ":"), F.coalesce(F.col(f"old_{c}").cast("string"), blank), F.lit("-->"),
             F.coalesce(F.col(f"new_{c}").cast("string"), blank), F.lit(";"))))
     return F.concat_ws("", *fragments)
@@ -105,9 +115,8 @@ def audit_images(old: DataFrame, new: DataFrame, keys: Sequence[str], labels: Ma
                       json_image(*keys, *cols).alias("image_before"))
     right = new.select(*keys, *[F.col(c).alias(f"new_{c}") for c in labels],
                        json_image(*keys, *cols).alias("image_after"))
-    logged = (left.join(right, list(keys), "inner")
-              .withColumn("change_text", change_text(labels)).filter(F.col("change_text") != "")
-              .select(*keys, "change_text", "image_before", "image_after"))
+    logged = left.join(right, list(keys), "inner").filter(any_changed(labels)).select(
+        *keys, change_text(labels).alias("change_text"), "image_before", "image_after")
     if members is None:
         return logged
     with_members = logged.join(members, list(keys), "left")
@@ -204,8 +213,8 @@ def policy_update(target: DataFrame, src: DataFrame, keys: Sequence[str], state:
     renamed = {c: F.col(f"new_{c}") for c in cols} | {state: F.col("_state")}
     rows = applied.select(*[renamed.get(c, F.col(c)).alias(c) for c in target.columns])
     log = (applied.withColumns({f"old_{c}": F.col(c) for c in cols})
-           .withColumn("change_text", change_text(labels))
-           .filter(hit & (F.col("change_text") != "")).select(*keys, "change_text"))
+           .filter(hit & any_changed(labels))
+           .select(*keys, change_text(labels).alias("change_text")))
     return PolicyResult(rows, log)
 
 

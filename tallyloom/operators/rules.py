@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import _col, is_blank
 from tallyloom.operators.joins import unique_by
 from tallyloom.operators.windows import prior_total
+from tallyloom.scale import join_side
 
 
 def apply_corrections(df: DataFrame, fixes: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -22,8 +23,8 @@ def apply_corrections(df: DataFrame, fixes: DataFrame, key: str, cols: Sequence[
             .alias(f"fix_{c}") for c in cols]
     has = [F.coalesce(F.bool_or((F.col("column_name") == c) & ~F.col("is_delete")), F.lit(False))
            .alias(f"has_{c}") for c in cols]
-    per_key = fixes.groupBy(F.col(key).alias("__key")).agg(
-        *last, *has, F.bool_or("is_delete").alias("_gone"))
+    per_key = join_side(fixes.groupBy(F.col(key).alias("__key")).agg(
+        *last, *has, F.bool_or("is_delete").alias("_gone")))
     joined = df.join(per_key, F.col(key) == F.col("__key"), "left")
     joined = joined.filter(~F.coalesce("_gone", F.lit(False)))
     fixed = {c: F.when(F.col(f"has_{c}"), F.col(f"fix_{c}").cast(df.schema[c].dataType))
@@ -36,7 +37,7 @@ def backfill(df: DataFrame, src: DataFrame, key_cascade: Sequence[str | tuple[st
     """Fill null columns only, trying keys in order; the source is made unique per key first."""
     for number, pair in enumerate(key_cascade):
         mine, theirs = (pair, pair) if isinstance(pair, str) else pair
-        side = unique_by(src.filter(F.col(theirs).isNotNull()), [theirs], cols, order)
+        side = join_side(unique_by(src.filter(F.col(theirs).isNotNull()), [theirs], cols, order))
         side = side.select(F.col(theirs).alias("__k"), *[F.col(c).alias(f"_f{number}_{c}") for c in cols])
         df = df.join(side, F.col(mine) == F.col("__k"), "left").drop("__k")
         df = df.withColumns({c: F.coalesce(F.col(c), F.col(f"_f{number}_{c}")) for c in cols})

@@ -28,7 +28,7 @@ def diff(now: DataFrame, before: DataFrame, keys: Sequence[str], watch: Sequence
          keep_same: bool = False) -> DataFrame:
     """`change` per key: new, changed, removed (or same), with old and new watched values.
 
-    One full outer join of the two snapshots; each must be unique on `keys`.  A null and a blank
+    One full outer join of the two snapshots; `keys` must be a primary key of each.  A null and a blank
     value are the same.  Rows of `before` come back as `old_<col>`.
     """
     left = now.select(*keys, *[F.col(c).alias(f"new_{c}") for c in watch], F.lit(True).alias("_now"))

@@ -94,16 +94,24 @@ def prior_total(df: DataFrame, part: Sequence[str], order: str, value: str,
                 slices: int | None = None) -> DataFrame:
     """Per row, the total over rows of its group with a strictly smaller `order`; zero if none.
 
-    Rows are first summed per (group, order), so ties collapse before anything is ordered.
+    One shuffle: the running total with ties, less the total of the ties.  A hot group is first
+    summed per `order`, so that its ties collapse, and then cut into slices.  `value` should be a
+    decimal or an integer, which subtract exactly.
     """
     part = list(part)
+    kind = df.schema[value].dataType
+    if split is None:
+        split = scale.has_hot_group(df, part)
+    if not split:
+        through = F.sum(value).over(Window.partitionBy(*part).orderBy(order))
+        ties = F.sum(value).over(Window.partitionBy(*part, order))
+        return df.withColumn(out, (F.coalesce(through, F.lit(0)) - F.coalesce(ties, F.lit(0))).cast(kind))
     per_step = df.groupBy(*part, order).agg(F.sum(value).alias("_step"))
-    totals = running_total(per_step, part, order, "_step", "_through", split, slices)
+    totals = running_total(per_step, part, order, "_step", "_through", True, slices)
     before = totals.select(
-        *part, order,
-        (F.col("_through") - F.coalesce("_step", F.lit(0))).cast(df.schema[value].dataType).alias(out))
+        *part, order, (F.col("_through") - F.coalesce("_step", F.lit(0))).cast(kind).alias(out))
     return (join_null_safe(df, before, [*part, order])
-            .withColumn(out, F.coalesce(F.col(out), F.lit(0).cast(df.schema[value].dataType))))
+            .withColumn(out, F.coalesce(F.col(out), F.lit(0).cast(kind))))
 
 
 def asof_join(facts: DataFrame, states: DataFrame, key: str, at: str, since: str,

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom import scale
 from tallyloom.functions.dates import academic_year, calendar_year, term_number
-from tallyloom.operators.groups import bucket, concat_group, dedupe_keep, long_summary, split_evenly
+from tallyloom.operators.groups import bucket, concat_group, dedupe_keep, long_summary
 from tallyloom.operators.joins import Lookup, attach_totals, lookup
 from tallyloom.operators.quality import Gate, unique_violations
 from tallyloom.operators.sets import union_layouts
@@ -21,7 +22,8 @@ def teaching_detail(by_year: DataFrame, by_code: DataFrame) -> DataFrame:
 
     by_year: section_id, person_id, course_code, year, term, hours, students, score;
     by_code: class_id, person_id, course_code, term_code, hours, students.  Rows without a
-    section keep all copies.  `single_teacher` tells whether nobody else teaches the section.
+    section keep all copies.  `n_teachers` counts the persons of the section.  The deduplicated rows
+    are used twice, so they are written once.
     """
     first = by_year.withColumn("audience", F.lit("undergraduate"))
     second = by_code.select(
@@ -31,30 +33,31 @@ def teaching_detail(by_year: DataFrame, by_code: DataFrame) -> DataFrame:
     rows = dedupe_keep(stacked, ["section_id", "audience", "person_id"],
                        [F.desc("hours"), F.desc("students"), F.asc("year"), F.asc("term"), F.asc("course_code"),
                         F.asc_nulls_last("score")])
-    teachers = rows.groupBy("section_id", "audience").agg(F.count_distinct("person_id").alias("_n"))
-    flagged = attach_totals(rows, teachers, ["section_id", "audience"])
-    return flagged.withColumn("single_teacher", F.col("_n") == 1).drop("_n")
+    rows = scale.written(rows)
+    teachers = rows.groupBy("section_id", "audience").agg(F.count_distinct("person_id").alias("n_teachers"))
+    return attach_totals(rows, teachers, ["section_id", "audience"])
 
 
 def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> DataFrame:
     """Workload rows: person attributes, hours shared among a section's teachers, rank by score.
 
-    people: person_id, dept, college, gender, age; titles: person_id, seq, title.  The rank runs
-    inside a college and term, by score, then hours and ids.
+    people: person_id (unique), dept, college, gender, age; titles: person_id, seq, title.  The
+    rank runs inside a college and term, by score, then hours and ids.
     """
     newest = titles.groupBy("person_id").agg(F.max_by("title", F.struct("seq", "title")).alias("title"))
     named = lookup(detail, [
-        Lookup(people, [("person_id", "person_id")], {c: c for c in ("dept", "college", "gender", "age")}),
-        Lookup(newest, [("person_id", "person_id")], {"title": "title"})])
-    shared = split_evenly(named.withColumn("hours_share", F.col("hours")), ["section_id", "audience"], "person_id",
-                          {"hours_share": 0})
+        Lookup(people, [("person_id", "person_id")], {c: c for c in ("dept", "college", "gender", "age")},
+               unique=True),
+        Lookup(newest, [("person_id", "person_id")], {"title": "title"}, unique=True)])
+    shared = named.withColumn("hours_share", F.round(F.try_divide("hours", "n_teachers"), 0))
     order = [F.desc_nulls_last("score"), F.desc("hours"), F.asc("section_id"), F.asc("audience"), F.asc("person_id")]
-    return rank_in(shared.drop("n_members"), ["college", "year", "term"], order, "place")
+    return rank_in(shared, ["college", "year", "term"], order, "place")
 
 
 def teaching_summary(load: DataFrame) -> DataFrame:
     """Hours per college, audience and year in blocks by title, gender and age; courses by score band."""
     keys = ["college", "audience", "year"]
+    load = scale.written(load.select(*keys, "title", "gender", "age", "score", "hours_share", "section_id"))
     age = bucket("age", [30, 40, 50, 60], ["under 30", "30-39", "40-49", "50-59", "60 up"], "60 up")
     hours = long_summary(load, keys, {"all": F.lit("0"), "title": F.col("title"), "gender": F.col("gender"), "age": age},
                          {"hours": F.col("hours_share")})

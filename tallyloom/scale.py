@@ -69,15 +69,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality on `keys` where null equals null; still a hash or sort-merge join key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: lineage cut, and its size known to the planner."""
+    path = fresh_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_side(df: DataFrame) -> DataFrame:
+    """An aggregated frame about to be joined to a large one.
+
+    Adaptive execution splits a skewed partition only where both join inputs come straight from a
+    shuffle, which an aggregate does not.  A possibly large side is therefore written first: read
+    back it is either broadcast, its true size being known, or shuffled plainly.
+    """
+    return df if estimated_bytes(df) <= ONE_TASK_BYTES else written(df)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "left") -> DataFrame:
-    """Join on `keys` with null equal to null, keeping the left copy of the keys."""
-    renamed = right.select(*[F.col(k).alias(f"__{k}") if k in keys else F.col(k)
+    """Join on `keys` with null equal to null, keeping the left copy of the keys.
+
+    `right` is aggregated per key.
+    """
+    renamed = join_side(right).select(*[F.col(k).alias(f"__{k}") if k in keys else F.col(k)
                              for k in right.columns])
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     joined = left.join(renamed, on, how)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tallyloom.sources.events import ENVELOPE, align_to, flatten_events, fold_shards, parse_events
+from tallyloom.sources.events import (ENVELOPE, align_to, flatten_events, fold_shards, parse_events,
+                                      parse_lines)
 from tallyloom.sources.tables import RESULT_LEDGER, write_ledger, write_partitions
 
 
@@ -60,17 +61,16 @@ def write_batch(lines: DataFrame, batch_id: int, targets: list[Target], ledger:
     """
     spark = lines.sparkSession
     flow_id = f"{batch_id:014d}"
-    lines.persist()
+    parsed = fold_shards(parse_lines(lines)).persist()  # every table filters the parsed batch
     try:
-        events = parse_events(lines)
-        rejected = events.bad.withColumn("flowid", F.lit(flow_id))
+        rejected = parsed.filter("_broken").select(*lines.columns, F.lit(flow_id).alias("flowid"))
         write_partitions(rejected, quarantine, ["flowid"])
-        folded = fold_shards(events.good)
+        good = parsed.filter(~F.col("_broken"))
 
         def one(target: Target) -> tuple[str, str]:
             try:
-                mine = folded.filter((F.col("database") == target.database)
-                                     & (F.col("table") == target.table))
+                mine = good.filter((F.col("database") == target.database)
+                                   & (F.col("table") == target.table))
                 flat = flatten_events(mine, target.schema, flow_id)
                 columns = StructType([*target.schema, *[f for f in flat.schema
                                                         if f.name not in target.schema.names]])
@@ -87,7 +87,7 @@ def write_batch(lines: DataFrame, batch_id: int, targets: list[Target], ledger:
         if failed:
             raise RuntimeError("tables failed in batch " + flow_id + ": " + "; ".join(failed))
     finally:
-        lines.unpersist()
+        parsed.unpersist()
 
 
 def ingest(spark: SparkSession, path: str, targets: list[Target], root: str, checkpoint: str,
@@ -130,6 +130,3 @@ def stream_upsert(df: DataFrame, merge: Callable[[DataFrame, int], None], checkp
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
-
-def target_map(targets: list[Target]) -> Mapping[tuple[str, str], Target]:
-    return {(t.database, t.table): t for t in targets}

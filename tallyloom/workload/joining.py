@@ -33,14 +33,14 @@ def order_customers(tb: Tables) -> DataFrame:
           LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey""")
 def line_lookups(tb: Tables) -> DataFrame:
     names = {"n_name": "customer_nation", "n_regionkey": "_region"}
-    out = j.lookup(tb.lineitem.select(*LINE), [
-        Lookup(tb.orders, [("l_orderkey", "o_orderkey")], {"o_orderpriority": "o_orderpriority", "o_custkey": "_cust"}),
-        Lookup(tb.customer, [("_cust", "c_custkey")], {"c_mktsegment": "c_mktsegment", "c_nationkey": "_cn"}),
-        Lookup(tb.nation, [("_cn", "n_nationkey")], names),
-        Lookup(tb.region, [("_region", "r_regionkey")], {"r_name": "customer_region"}),
-        Lookup(tb.part, [("l_partkey", "p_partkey")], {"p_brand": "p_brand"}),
-        Lookup(tb.supplier, [("l_suppkey", "s_suppkey")], {"s_name": "s_name", "s_nationkey": "_sn"}),
-        Lookup(tb.nation, [("_sn", "n_nationkey")], {"n_name": "supplier_nation"}),
+    out = j.lookup(tb.lineitem.select(*LINE), [  # each key is the primary key of its table
+        Lookup(tb.orders, [("l_orderkey", "o_orderkey")], {"o_orderpriority": "o_orderpriority", "o_custkey": "_cust"}, unique=True),
+        Lookup(tb.customer, [("_cust", "c_custkey")], {"c_mktsegment": "c_mktsegment", "c_nationkey": "_cn"}, unique=True),
+        Lookup(tb.nation, [("_cn", "n_nationkey")], names, unique=True),
+        Lookup(tb.region, [("_region", "r_regionkey")], {"r_name": "customer_region"}, unique=True),
+        Lookup(tb.part, [("l_partkey", "p_partkey")], {"p_brand": "p_brand"}, unique=True),
+        Lookup(tb.supplier, [("l_suppkey", "s_suppkey")], {"s_name": "s_name", "s_nationkey": "_sn"}, unique=True),
+        Lookup(tb.nation, [("_sn", "n_nationkey")], {"n_name": "supplier_nation"}, unique=True),
     ])
     return out.drop("_cust", "_cn", "_region", "_sn")
 

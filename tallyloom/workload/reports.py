@@ -424,7 +424,7 @@ _DETAIL = """raw AS (
 
 
 @query(f"""WITH {_DETAIL} SELECT section_id, audience, person_id, course_code, CAST(hours AS DOUBLE) AS hours,
-             CAST(students AS BIGINT) AS students, year, term, score, n = 1 AS single_teacher FROM detail""")
+             CAST(students AS BIGINT) AS students, year, term, score, n AS n_teachers FROM detail""")
 def teaching_detail_rows(tb: Tables) -> DataFrame:
     return as_double(_detail(tb), "hours").withColumn("students", F.col("students").cast("long"))
 
