@@ -150,11 +150,11 @@ def diff_feed(now: DataFrame, before: DataFrame, keys: Sequence[str], watch: Seq
 def sync_parent_child(src: DataFrame, parents: DataFrame, members: DataFrame, parent_key: str,
                       member_keys: Sequence[str]) -> DataFrame:
     """What each source member row needs: `update`, `add_member` or `add_both`."""
-    known = parents.select(F.col(parent_key).alias("__p")).distinct().withColumn("_has_p", F.lit(True))
+    known = parents.select(F.col(parent_key).alias("_known_p")).distinct().withColumn("_has_p", F.lit(True))
     exact = members.select(*[F.col(k).alias(f"__{k}") for k in member_keys]).distinct()
     exact = exact.withColumn("_has_m", F.lit(True))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in member_keys])
-    joined = src.join(known, F.col(parent_key) == F.col("__p"), "left").join(exact, on, "left")
+    joined = src.join(known, F.col(parent_key) == F.col("_known_p"), "left").join(exact, on, "left")
     action = (F.when(F.col("_has_p").isNull(), "add_both")
               .when(F.col("_has_m").isNull(), "add_member").otherwise("update"))
     return joined.withColumn("action", action).select(*src.columns, "action")

@@ -47,14 +47,15 @@ def has_hot_group(df: DataFrame, keys: Sequence[str]) -> bool:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged tables."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    """The shared folder for checkpoints and staged tables, as the session names it."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -77,7 +77,7 @@ def list_files(spark: SparkSession, root: str, topic: str, year: str = "*", mont
 
 
 def hour_stamp(day: Column | str, hr: Column | str) -> Column:
-    return F.to_timestamp(F.concat_ws(" ", day, hr), "yyyy-MM-dd HH")
+    return F.try_to_timestamp(F.concat_ws(" ", day, hr), F.lit("yyyy-MM-dd HH"))
 
 
 def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int = 24,
