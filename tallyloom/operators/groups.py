@@ -50,17 +50,21 @@ def bucket(col: Column | str, edges: Sequence[float], labels: Sequence[str],
 
 def concat_group(df: DataFrame, keys: Sequence[str], col: str, order: str | None = None,
                  sep: str = ",", distinct: bool = False, out: str = "joined",
-                 part_rows: int = PART_ROWS, split: bool | None = None) -> DataFrame:
+                 part_rows: int = PART_ROWS, tie: str | None = None,
+                 split: bool | None = None) -> DataFrame:
     """Join the strings of each group in order; `part_no` is 0 unless a group needs more parts.
 
     Distinct values are reduced to one row before anything is joined, at their smallest `order`.
+    Otherwise `tie`, a column unique in the group, keeps equal strings apart, which lets a group
+    of very many copies be cut.
     """
     keys, by = list(keys), order or col
-    rows = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).alias("_text"),
-                                                    F.col(by).alias("_by"))
+    rows = df.filter(F.col(col).isNotNull()).select(
+        *keys, F.col(col).alias("_text"), F.col(by).alias("_by"),
+        (F.lit(0) if tie is None else F.col(tie)).alias("_tie"))
     if distinct:
-        rows = rows.groupBy(*keys, "_text").agg(F.min("_by").alias("_by"))
-    ranked = rank_in(rows, keys, [F.col("_by").asc(), F.col("_text").asc()], "_rank", split)
+        rows = rows.groupBy(*keys, "_text").agg(F.min("_by").alias("_by"), F.lit(0).alias("_tie"))
+    ranked = rank_in(rows, keys, [F.col("_by").asc(), F.col("_text").asc(), F.col("_tie").asc()], "_rank", split)
     parts = ranked.withColumn("part_no", F.floor((F.col("_rank") - 1) / F.lit(part_rows)).cast("long"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_text"))),
                                       lambda x: x["_text"]), sep)

@@ -112,7 +112,9 @@ def _words_holding(short: DataFrame, words: DataFrame, name_id: str) -> DataFram
     short = short.withColumn("_piece", piece).withColumn("_n", F.least(F.length("_piece"), F.lit(GRAM)))
     sizes = [r["_n"] for r in short.select("_n").distinct().collect()]  # at most GRAM + 1 rows
     hashes = F.array_distinct(F.flatten(F.array(*[_grams("_word", n) for n in sizes])))
-    vocabulary = (words.select("_word").distinct()
+    # few bytes but much work per word, so it is spread over all cores
+    cores = words.sparkSession.sparkContext.defaultParallelism
+    vocabulary = (words.select("_word").distinct().repartition(cores, "_word")
                   .select("_word", F.explode_outer(hashes).alias("_gram")))
     keyed = short.withColumn("_gram", F.xxhash64("_n", F.left("_piece", "_n")))
     return (vocabulary.join(keyed, "_gram").filter(F.contains("_word", "_piece"))
@@ -135,6 +137,7 @@ def contains_join(texts: DataFrame, names: DataFrame, text_id: str, text: str, n
     prepared = (names.filter(F.coalesce(F.col(name), F.lit("")) != "")
                 .select(name_id, F.col(name).alias("_name"), F.split(F.col(name), r"\s+").alias("_w"))
                 .withColumn("_inner", F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0)))))
+    prepared = scale.written(prepared)  # read several times below
     anchors = _rarest_inner_word(prepared, words, name_id)
     short = prepared.filter(F.size("_inner") < 1)
     if not short.isEmpty():

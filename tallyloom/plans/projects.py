@@ -12,6 +12,7 @@ from tallyloom.functions.numbers import truncate
 from tallyloom.functions.text import drop_zero_cents, first_value_of
 from tallyloom.operators.joins import Lookup, lookup
 from tallyloom.operators.sets import union_layouts
+from tallyloom.scale import join_side
 
 
 def project_ledger(sources: Mapping[str, DataFrame], people: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def assess_income(projects: DataFrame, allocations: DataFrame, lo: str, hi: str)
     shares = (allocations.filter((when >= low) & (when <= high)).groupBy("person_id", "card_no")
               .agg(F.sum(F.coalesce("amount", F.lit(0))).alias("_share")))
     inside = projects.filter(in_period("start", "end", lo, hi))
-    joined = inside.join(shares, ["person_id", "card_no"], "left")
+    joined = inside.join(join_side(shares), ["person_id", "card_no"], "left")
     return joined.select(
         "person_id", "project_no", "card_no", "start", "end",
         drop_zero_cents(truncate(F.coalesce("override", "total"), 2).cast("decimal(20,2)")).alias("income"),

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyloom import scale
 from tallyloom.functions.dates import academic_year, calendar_year, term_number
-from tallyloom.operators.groups import bucket, concat_group, dedupe_keep, long_summary
-from tallyloom.operators.joins import Lookup, attach_totals, lookup
+from tallyloom.operators.groups import bucket, concat_group, long_summary
+from tallyloom.operators.joins import Lookup, lookup
 from tallyloom.operators.quality import Gate, unique_violations
 from tallyloom.operators.sets import union_layouts
-from tallyloom.operators.windows import rank_in
+from tallyloom.operators.windows import latest_per, rank_in
 from tallyloom.sources.tables import register_view
 
 
@@ -21,21 +21,22 @@ def teaching_detail(by_year: DataFrame, by_code: DataFrame) -> DataFrame:
     """Sections of two systems in one layout, one row per (section, person).
 
     by_year: section_id, person_id, course_code, year, term, hours, students, score;
-    by_code: class_id, person_id, course_code, term_code, hours, students.  Rows without a
-    section keep all copies.  `n_teachers` counts the persons of the section.  The deduplicated rows
-    are used twice, so they are written once.
+    by_code: class_id, person_id, course_code, term_code, hours, students.  Of rows without a section
+    or person only exact copies are dropped.  `n_teachers` counts the persons of a section.  The
+    deduplicated rows are used twice, so they are written once.
     """
     first = by_year.withColumn("audience", F.lit("undergraduate"))
     second = by_code.select(
         F.col("class_id").alias("section_id"), "person_id", "course_code", academic_year("term_code").alias("year"),
         term_number("term_code").alias("term"), "hours", "students", F.lit("graduate").alias("audience"))
-    stacked = union_layouts([first.withColumn("term", F.col("term").cast("string")), second])
-    rows = dedupe_keep(stacked, ["section_id", "audience", "person_id"],
-                       [F.desc("hours"), F.desc("students"), F.asc("year"), F.asc("term"), F.asc("course_code"),
-                        F.asc_nulls_last("score")])
-    rows = scale.written(rows)
-    teachers = rows.groupBy("section_id", "audience").agg(F.count_distinct("person_id").alias("n_teachers"))
-    return attach_totals(rows, teachers, ["section_id", "audience"])
+    stacked = union_layouts([first.withColumn("term", F.col("term").cast("string")), second], distinct=False)
+    keyed = F.col("section_id").isNotNull() & F.col("person_id").isNotNull()
+    best = latest_per(stacked.filter(keyed), ["section_id", "audience", "person_id"],
+                      [F.desc("hours"), F.desc("students"), F.asc("year"), F.asc("term"), F.asc("course_code"),
+                       F.asc_nulls_last("score")])
+    rows = scale.written(best.unionByName(stacked.filter(~keyed).distinct()))
+    teachers = rows.groupBy("section_id", "audience").agg(F.count("person_id").alias("n_teachers"))
+    return rows.join(scale.join_side(teachers), ["section_id", "audience"], "left")
 
 
 def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> DataFrame:
@@ -49,8 +50,9 @@ def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> Da
         Lookup(people, [("person_id", "person_id")], {c: c for c in ("dept", "college", "gender", "age")},
                unique=True),
         Lookup(newest, [("person_id", "person_id")], {"title": "title"}, unique=True)])
-    shared = named.withColumn("hours_share", F.round(F.try_divide("hours", "n_teachers"), 0))
-    order = [F.desc_nulls_last("score"), F.desc("hours"), F.asc("section_id"), F.asc("audience"), F.asc("person_id")]
+    shared = named.withColumn("hours_share", F.round(F.try_divide("hours", F.coalesce("n_teachers", F.lit(1))), 0))
+    order = [F.desc_nulls_last("score"), F.desc("hours"), F.asc("section_id"), F.asc("audience"), F.asc("person_id"),
+             F.asc("course_code"), F.asc("students")]
     return rank_in(shared, ["college", "year", "term"], order, "place")
 
 

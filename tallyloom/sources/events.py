@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
@@ -67,13 +69,37 @@ def with_path_hour(df: DataFrame, file: str = "file") -> DataFrame:
                            "hr": F.when(known, parts[3])})
 
 
-def list_files(spark: SparkSession, root: str, topic: str, year: str = "*", month: str = "*",
-               day: str = "*", hour: str = "*") -> DataFrame:
-    """Files under the hour directories; only names and times are read, not contents."""
-    found = (spark.read.format("binaryFile")
-             .load(f"{root}/{topic}/{year}/{month}/{day}/{hour}/*")
-             .select(F.col("path").alias("file"), "modificationTime", "length"))
-    return with_path_hour(found)
+def list_files(spark: SparkSession, root: str, topic: str, hours: str = "*/*/*/*") -> DataFrame:
+    """Files under the hour directories; only names and times are read, not contents.
+
+    `hours` is a glob below the topic, by default all of them; see `hours_glob`.  No directory found
+    gives an empty frame.
+    """
+    reader = spark.read.format("binaryFile")
+    try:
+        files = reader.load(f"{root}/{topic}/{hours}/*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint")
+    return with_path_hour(files.select(F.col("path").alias("file"), "modificationTime", "length"))
+
+
+def recorded_hours(ledger: DataFrame, n: int = 2) -> list[tuple[str, str]]:
+    """The newest `n` recorded hours, newest first."""
+    hours = ledger.select("day", "hr").distinct().orderBy(F.desc("day"), F.desc("hr")).limit(n)
+    return [(r["day"], r["hr"]) for r in hours.collect()]  # n rows
+
+
+def hours_glob(ledger: DataFrame, max_hours: int = 24, rescan: int = 2) -> str:
+    """The hour directories worth listing: those to rescan and the `max_hours` after the newest."""
+    again = recorded_hours(ledger, rescan)
+    if not again:
+        return "*/*/*/*"
+    newest = dt.datetime.strptime(" ".join(again[0]), "%Y-%m-%d %H")
+    ahead = [newest + dt.timedelta(hours=n) for n in range(1, max_hours + 1)]
+    names = [f"{d.replace('-', '/')}/{h}" for d, h in again] + [a.strftime("%Y/%m/%d/%H") for a in ahead]
+    return "{" + ",".join(names) + "}"
 
 
 def hour_stamp(day: Column | str, hr: Column | str) -> Column:
@@ -88,15 +114,15 @@ def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int =
     up to `max_hours` past the newest one; at most `max_files`, oldest hour first.  With an empty
     ledger the newest `first_files` files start the flow.
     """
-    recorded = ledger.select("day", "hr").distinct().orderBy(F.desc("day"), F.desc("hr")).limit(rescan)
-    hours = [(r["day"], r["hr"]) for r in recorded.collect()]  # `rescan` rows
+    hours = recorded_hours(ledger, rescan)
     if not hours:
         return candidates.orderBy(F.desc("modificationTime"), "file").limit(first_files)
     newest = hour_stamp(F.lit(hours[0][0]), F.lit(hours[0][1]))
     at = hour_stamp(F.col("day"), F.col("hr"))
     again = F.struct("day", "hr").isin(*[F.struct(F.lit(d), F.lit(h)) for d, h in hours])
     ahead = (at > newest) & (at <= newest + F.expr(f"interval {int(max_hours)} hours"))
-    unseen = candidates.filter(again | ahead).join(ledger.select("file"), "file", "left_anti")
+    seen = ledger.filter(again | ahead).select("file")
+    unseen = candidates.filter(again | ahead).join(seen, "file", "left_anti")
     return unseen.orderBy("day", "hr", "file").limit(max_files)
 
 

@@ -115,7 +115,8 @@ def names_per_region(tb: Tables) -> DataFrame:
               PARTITION BY o_custkey ORDER BY o_orderdate, o_orderpriority) AS rn FROM orders)
           GROUP BY 1, 2""")
 def order_history_text(tb: Tables) -> DataFrame:
-    return g.concat_group(tb.orders, ["o_custkey"], "o_orderpriority", "o_orderdate", out="priorities", part_rows=5)
+    return g.concat_group(tb.orders, ["o_custkey"], "o_orderpriority", "o_orderdate", out="priorities", part_rows=5,
+                          tie="o_orderkey")
 
 
 @query("""SELECT o_custkey, min_by(o_orderkey, (o_orderdate, o_orderkey)) AS first_o_orderkey,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numbers import money
 from tallyloom.functions.text import map_code
 from tallyloom.operators import windows as w
+from tallyloom.operators.groups import concat_group
 from tallyloom.workload.registry import Tables, query
 
 
@@ -126,5 +127,4 @@ def limit_and_offset(tb: Tables) -> DataFrame:
 @query("""SELECT c_nationkey, CAST(0 AS BIGINT) AS part_no,
             string_agg(c_name, '>' ORDER BY c_acctbal, c_name) AS names FROM customer GROUP BY 1""")
 def sorted_inside_group(tb: Tables) -> DataFrame:
-    from tallyloom.operators.groups import concat_group
-    return concat_group(tb.customer, ["c_nationkey"], "c_name", "c_acctbal", sep=">", out="names")
+    return concat_group(tb.customer, ["c_nationkey"], "c_name", "c_acctbal", sep=">", out="names", tie="c_custkey")

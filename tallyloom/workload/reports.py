@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tallyloom import scale
 from tallyloom.functions import text as t
 from tallyloom.functions.numbers import money
+from tallyloom.operators.groups import bucket, concat_group
+from tallyloom.operators.joins import explode_list, keep_missing, per_dimension
+from tallyloom.operators.windows import explicit_order, rank_in
 from tallyloom.plans import kpi, papers, people, projects, teaching
 from tallyloom.sources.tables import Published
 from tallyloom.workload.registry import Tables, query
@@ -231,7 +234,6 @@ def movements(tb: Tables) -> DataFrame:
             count(*) AS n_all, count(*) FILTER (tenure < 2) AS n_under_2, count(*) FILTER (tenure BETWEEN 2 AND 4) AS n_2_to_4,
             count(*) FILTER (tenure BETWEEN 5 AND 9) AS n_5_to_9, count(*) FILTER (tenure >= 10) AS n_10_up FROM x GROUP BY 1, 2""")
 def headcount_bands(tb: Tables) -> DataFrame:
-    from tallyloom.operators.groups import bucket
     recent = tb.orders.filter(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp"))
     first = recent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.year(F.min("o_orderdate")).alias("y"))
     rows = tb.customer.join(first, "c_custkey", "left").withColumn("person_id", F.col("c_custkey"))
@@ -420,7 +422,7 @@ _DETAIL = """raw AS (
     QUALIFY row_number() OVER (PARTITION BY section_id, audience, person_id
       ORDER BY hours DESC, students DESC, year, term, course_code, score NULLS LAST) = 1)),
   cnt AS (SELECT section_id AS s, audience AS au, count(DISTINCT person_id) AS n FROM one GROUP BY 1, 2),
-  detail AS (SELECT one.*, n FROM one JOIN cnt ON s IS NOT DISTINCT FROM section_id AND au = audience)"""
+  detail AS (SELECT one.*, n FROM one LEFT JOIN cnt ON s = section_id AND au = audience)"""
 
 
 @query(f"""WITH {_DETAIL} SELECT section_id, audience, person_id, course_code, CAST(hours AS DOUBLE) AS hours,
@@ -442,15 +444,16 @@ def _load(tb: Tables) -> DataFrame:
 _LOAD = _DETAIL + """, staff AS (SELECT s_suppkey, n_name AS dept, n_regionkey AS college, CASE WHEN s_acctbal > 5000 THEN 'f' ELSE 'm' END AS gender,
       trunc(s_acctbal / 100) AS age FROM supplier JOIN nation ON n_nationkey = s_nationkey),
   tit AS (SELECT l_suppkey AS p, max_by(l_returnflag, (l_orderkey, l_returnflag)) AS title FROM lineitem GROUP BY 1),
-  load AS (SELECT detail.*, dept, college, gender, age, title, CAST((CAST(hours * 100 AS BIGINT) * 2 + 100 * n) // (200 * n) AS BIGINT) AS hours_share,
-      row_number() OVER (PARTITION BY college, year, term ORDER BY score DESC NULLS LAST, hours DESC, section_id NULLS FIRST, audience, person_id) AS place
+  load AS (SELECT detail.*, dept, college, gender, age, title, CAST((CAST(hours * 100 AS BIGINT) * 2 + 100 * coalesce(n, 1)) // (200 * coalesce(n, 1)) AS BIGINT) AS hours_share,
+      row_number() OVER (PARTITION BY college, year, term ORDER BY score DESC NULLS LAST, hours DESC, section_id NULLS FIRST, audience, person_id,
+        course_code, students) AS place
     FROM detail LEFT JOIN staff ON s_suppkey = person_id LEFT JOIN tit ON p = person_id)"""
 
 
 @query(f"""WITH {_LOAD} SELECT section_id, audience, person_id, dept, college, title, CAST(hours_share AS DOUBLE) AS hours_share, year, term, place
-           FROM load WHERE section_id IS NOT NULL""")
+           FROM load""")
 def teaching_load_rows(tb: Tables) -> DataFrame:
-    rows = _load(tb).filter("section_id is not null").select(
+    rows = _load(tb).select(
         "section_id", "audience", "person_id", "dept", "college", "title", "hours_share", "year", "term", "place")
     return as_double(rows, "hours_share")
 
@@ -558,27 +561,25 @@ def patent_totals(tb: Tables) -> DataFrame:
 # --- awards and member lists ------------------------------------------------------------------
 
 @query("""WITH a AS (SELECT c_mktsegment AS major, o_orderkey AS award, o_orderpriority AS kind, o_orderstatus AS level,
-                       strftime(o_orderdate, '%Y') AS year FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 450000),
+                       strftime(o_orderdate, '%Y') AS year FROM orders JOIN customer ON c_custkey = o_custkey),
                n AS (SELECT l_orderkey, string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS names FROM lineitem
                      JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1)
-          SELECT major, award, kind, level, year, names, row_number() OVER (PARTITION BY major ORDER BY
-            CASE level WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END, kind, year DESC, award) AS place
+          SELECT major, award, kind, level, year, CASE WHEN names IS NOT NULL THEN 0 END AS part_no, names,
+            row_number() OVER (PARTITION BY major ORDER BY
+              CASE level WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END, kind, year DESC, award) AS place
           FROM a LEFT JOIN n ON l_orderkey = award""")
 def award_lists(tb: Tables) -> DataFrame:
-    from tallyloom.operators.groups import concat_group
-    from tallyloom.operators.joins import per_dimension
-    from tallyloom.operators.windows import explicit_order, rank_in
-    awards = tb.orders.filter("o_totalprice > 450000").select(
+    awards = tb.orders.select(
         "o_custkey", F.col("o_orderkey").alias("award"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("level"),
         F.date_format("o_orderdate", "yyyy").alias("year"))
     majors = tb.customer.select("c_custkey", F.col("c_mktsegment").alias("major"))
-    rows = per_dimension(awards, majors, {"o_custkey": "c_custkey"}, ["major"])
+    rows = per_dimension(awards, majors, {"o_custkey": "c_custkey"}, ["major"]).withColumn(
+        "_level", explicit_order("level", ["F", "O"]))
+    order = [F.asc("_level"), F.asc("kind"), F.desc("year"), F.asc("award")]
+    placed = rank_in(rows, ["major"], order, "place").drop("_level", "o_custkey")
     winners = tb.lineitem.join(tb.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_orderkey").alias("award"), "s_name")
-    names = concat_group(winners, ["award"], "s_name", distinct=True, out="names").drop("part_no")
-    listed = rows.join(names, "award", "left").withColumn("_level", explicit_order("level", ["F", "O"]))
-    order = [F.asc("_level"), F.asc("kind"), F.desc("year"), F.asc("award")]
-    return rank_in(listed, ["major"], order, "place").drop("_level", "o_custkey")
+    return placed.join(concat_group(winners, ["award"], "s_name", distinct=True, out="names"), "award", "left")
 
 
 @query("""WITH l AS (SELECT l_orderkey, string_agg(l_partkey || '/' || l_suppkey, ',' ORDER BY l_partkey, l_suppkey) AS members FROM lineitem GROUP BY 1),
@@ -587,8 +588,6 @@ def award_lists(tb: Tables) -> DataFrame:
                  CAST(0 AS BIGINT) AS part_no FROM m
           WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') GROUP BY 1, 2""")
 def member_lists(tb: Tables) -> DataFrame:
-    from tallyloom.operators.groups import concat_group
-    from tallyloom.operators.joins import explode_list, keep_missing
     pairs = tb.lineitem.withColumns({"project": F.col("l_orderkey"), "member": F.concat_ws("/", "l_partkey", "l_suppkey")})
     lists = concat_group(pairs, ["project"], "member", "l_partkey", out="members")
     rows = explode_list(lists, "members", "member").select(

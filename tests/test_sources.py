@@ -69,6 +69,9 @@ def test_file_choice(spark, tmp_path):
     chosen = ev.select_new_files(found, ledger, max_hours=24, max_files=10)
     assert rows(chosen.select(name)) == [("11/late",), ("13/a",)]
     assert ev.select_new_files(found, ledger.limit(0), first_files=2).count() == 2
+    near = ev.list_files(spark, "file:" + root, "t", ev.hours_glob(ledger, max_hours=1))
+    assert rows(near.select(name)) == [("11/a",), ("11/late",), ("12/a",), ("13/a",)]
+    assert ev.list_files(spark, "file:" + root, "other").count() == 0
 
 
 def test_day_rollover(spark):
