@@ -11,7 +11,7 @@ from tallyloom import scale
 from tallyloom.functions import text as t
 from tallyloom.functions.numbers import money
 from tallyloom.operators.groups import bucket, concat_group
-from tallyloom.operators.joins import explode_list, keep_missing, per_dimension
+from tallyloom.operators.joins import attach_totals, explode_list, keep_missing, per_dimension
 from tallyloom.operators.windows import explicit_order, rank_in
 from tallyloom.plans import kpi, papers, people, projects, teaching
 from tallyloom.sources.tables import Published
@@ -383,7 +383,7 @@ def roles_in_period(tb: Tables) -> DataFrame:
   FROM a LEFT JOIN a p ON p.o_orderkey::VARCHAR = a.parent LEFT JOIN customer ON c_custkey = a.o_custkey""")
 def allocation_rows(tb: Tables) -> DataFrame:
     first = tb.orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("root"))
-    rows = tb.orders.join(first, "o_custkey").select(
+    rows = attach_totals(tb.orders, first, ["o_custkey"]).select(
         F.col("o_orderkey").cast("string").alias("alloc_id"),
         F.when(F.col("o_orderkey") == F.col("root"), "").otherwise(F.col("root").cast("string")).alias("parent_id"),
         F.col("o_custkey").alias("person_id"), F.col("o_custkey").alias("project_no"), F.col("o_orderpriority").alias("unit"),

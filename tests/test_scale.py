@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tallyloom import scale
+from tallyloom.operators import joins as j
 from tallyloom.operators import windows as w
 from tallyloom.operators.groups import concat_group
 from tests.conftest import rows
@@ -93,6 +94,40 @@ def test_queries_on_the_large_path(spark, monkeypatch, name):
     assert got == rows_of([d[0] for d in result.description], result.fetchall())
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def skew_settings(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("join", ["lookup", "flag", "semi", "totals"])
+def test_a_hot_fact_key_is_split(spark, monkeypatch, skew_settings, join):
+    monkeypatch.setattr(scale, "ONE_TASK_BYTES", -1)
+    n = F.col("id")
+    facts = spark.range(0, 400_000, 1, 8).select(
+        "id", F.when(n % 3 == 0, F.lit(1)).otherwise(n % 2000).alias("k"), F.md5(n.cast("string")).alias("x"))
+    dim = spark.range(6000).select((n % 2000).alias("k"), n.alias("name"))
+    df = {"lookup": lambda: j.lookup(facts, [j.Lookup(dim, [("k", "k")], {"name": "name"})]),
+          "flag": lambda: j.exists_flag(facts, dim, ["k"], "name"),
+          "semi": lambda: j.keep_existing(facts, dim, ["k"]),
+          "totals": lambda: j.attach_totals(facts, dim.groupBy("k").agg(F.max("name").alias("name")), ["k"])}[join]()
+    total = df.agg(F.count("*"), F.max("x"), F.max(df.columns[-1]))
+    assert total.first()[0] == 400_000
+    assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()
+
+
 def test_picks_are_trimmed_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = w.latest_per(df, "k", [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
