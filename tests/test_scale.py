@@ -124,7 +124,7 @@ def test_a_hot_fact_key_is_split(spark, monkeypatch, skew_settings, join):
           "semi": lambda: j.keep_existing(facts, dim, ["k"]),
           "totals": lambda: j.attach_totals(facts, dim.groupBy("k").agg(F.max("name").alias("name")), ["k"])}[join]()
     total = df.agg(F.count("*"), F.max("x"), F.max(df.columns[-1]))
-    assert total.first()[0] == 400_000
+    assert total.collect()[0][0] == 400_000
     assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()
 
 
