@@ -26,14 +26,15 @@ def _on(keys: Sequence[str]) -> Column:
 def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
                    update_cols: Sequence[str] | None = None, delete: str = "remove",
                    scope: Column | None = None, flag: str | None = None,
-                   deleted_value: str = "Y", live_value: str = "N") -> DataFrame:
+                   deleted_value: str = "Y", live_value: str = "N",
+                   null_keys: bool = True) -> DataFrame:
     """The target after a snapshot: matched rows updated, new rows added, missing rows deleted.
 
     Columns outside `update_cols` keep the target's values.  `delete` is `remove`, `flag` (set
     `flag` to `deleted_value`; a key that returns becomes live again) or `keep`.  `scope` limits
     deletion to target rows that meet it.  Both frames must be unique on `keys`.  Rows with a null
     key match nothing: the target's stay, the snapshot's are added.  They go round the join, where
-    they would all meet in one task.
+    they would all meet in one task; `null_keys=False` says there are none and saves that pass.
     """
     if delete not in ("remove", "flag", "keep"):
         raise ValueError(f"unknown delete mode {delete!r}")
@@ -61,7 +62,7 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
     if delete == "remove":
         both = both.filter(~F.coalesce(missing, F.lit(False)))
     merged = both.select(*[out[c].alias(c) for c in target.columns])
-    if not any(target.schema[k].nullable or snap.schema[k].nullable for k in keys):
+    if not null_keys:
         return merged
     added = snap.filter(~keyed)
     if flag:

@@ -113,8 +113,14 @@ def fee_status(total: Column | str, mode: Column | str, rate: Column | str, paid
     return due, status
 
 
+# School shares of both fees that count as 4:6, and the contract's remuneration.
+SHARE_LOW, SHARE_HIGH = 0.38, 0.42
+REMUNERATION = 0.3
+
+
 def split_fees(df: DataFrame, kind: str, fee_school: str, fee_college: str, performance_in: str,
-               received: str, low: float = 0.38, high: float = 0.42, unit: int = 10000) -> DataFrame:
+               received: str, low: float = SHARE_LOW, high: float = SHARE_HIGH,
+               unit: int = 10000) -> DataFrame:
     """Performance pay, college fee and remuneration of each income row.
 
     Granted projects (`kind` = grant): performance is the reported one; where none is reported and
@@ -137,7 +143,7 @@ def split_fees(df: DataFrame, kind: str, fee_school: str, fee_college: str, perf
                  .when(grant | contract, college_in_unit))
     return df.withColumns({
         "performance": performance, "college_fee": remaining,
-        "remuneration": F.when(contract, F.col(received) / scale_to * F.lit(0.3))})
+        "remuneration": F.when(contract, F.col(received) / scale_to * F.lit(REMUNERATION))})
 
 
 def status_by_date(df: DataFrame, status: str, end: str, as_of: Column, extended: str, ended: str,

@@ -17,8 +17,8 @@ def paper_bands() -> dict[str, Column]:
     cited, impact = F.col("citations"), F.col("impact").try_cast("double")
     return {
         "n_papers": F.lit(True),
-        "cited_0_9": (cited >= 0) & (cited < 10), "cited_10_29": (cited >= 10) & (cited < 30),
-        "cited_30_up": cited >= 30,
+        "cited_0_9": (cited >= 0) & (cited < 10), "cited_10_49": (cited >= 10) & (cited < 50),
+        "cited_50_99": (cited >= 50) & (cited < 100), "cited_100_up": cited >= 100,
         "impact_0_1": (impact >= 0) & (impact < 2), "impact_2": (impact >= 2) & (impact < 3),
         "impact_3_4": (impact >= 3) & (impact < 5), "impact_5_up": impact >= 5,
     }

@@ -56,13 +56,20 @@ def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> Da
     return rank_in(shared, ["college", "year", "term"], order, "place")
 
 
-def teaching_summary(load: DataFrame) -> DataFrame:
-    """Hours per college, audience and year in blocks by title, gender and age; courses by score band."""
+def teaching_summary(load: DataFrame, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """Hours per college, audience and year in blocks by title, gender and age; courses by score band.
+
+    `more` adds blocks, by talent programme or track, say.  The workload is read twice, so the columns
+    needed are written once.
+    """
     keys = ["college", "audience", "year"]
-    load = scale.written(load.select(*keys, "title", "gender", "age", "score", "hours_share", "section_id"))
+    extra = {tag: (f"_m{n}", c) for n, (tag, c) in enumerate((more or {}).items())}
+    load = scale.written(load.select(*keys, "title", "gender", "age", "score", "hours_share", "section_id",
+                                     *[c.alias(name) for name, c in extra.values()]))
     age = bucket("age", [30, 40, 50, 60], ["under 30", "30-39", "40-49", "50-59", "60 up"], "60 up")
-    hours = long_summary(load, keys, {"all": F.lit("0"), "title": F.col("title"), "gender": F.col("gender"), "age": age},
-                         {"hours": F.col("hours_share")})
+    blocks = {"all": F.lit("0"), "title": F.col("title"), "gender": F.col("gender"), "age": age}
+    blocks |= {tag: F.col(name) for tag, (name, _) in extra.items()}
+    hours = long_summary(load, keys, blocks, {"hours": F.col("hours_share")})
     score = bucket("score", [70, 80, 90], ["under 70", "70-79", "80-89", "90 up"], "unscored")
     courses = long_summary(load, keys, {"score": score}, {"hours": F.lit(0).cast("decimal(20,2)")}, "section_id",
                            "n_courses")

@@ -466,12 +466,14 @@ def _block(tag: str, value: str) -> str:
 @query(f"WITH {_LOAD} " + " UNION ALL ".join([
     _block("all", "'0'"), _block("title", "title"), _block("gender", "gender"),
     _block("age", "CASE WHEN age < 30 THEN 'under 30' WHEN age < 40 THEN '30-39' WHEN age < 50 THEN '40-49' "
-                  "WHEN age < 60 THEN '50-59' ELSE '60 up' END")]) + """
+                  "WHEN age < 60 THEN '50-59' ELSE '60 up' END"),
+    _block("talent", "dept"), _block("track", "CASE WHEN title = 'R' THEN 'tenure' ELSE 'regular' END")]) + """
   UNION ALL SELECT college, audience, year, 'score', CASE WHEN score IS NULL THEN 'unscored' WHEN score < 70 THEN 'under 70'
     WHEN score < 80 THEN '70-79' WHEN score < 90 THEN '80-89' ELSE '90 up' END AS value, 0.0, count(DISTINCT section_id)
   FROM load GROUP BY ALL""")
 def teaching_summary_blocks(tb: Tables) -> DataFrame:
-    return as_double(teaching.teaching_summary(_load(tb)), "hours")
+    track = F.when(F.col("title") == "R", "tenure").otherwise("regular")
+    return as_double(teaching.teaching_summary(_load(tb), {"talent": F.col("dept"), "track": track}), "hours")
 
 
 @query("""WITH s AS (SELECT DISTINCT n_regionkey AS college, p_type AS course_code, year(l_shipdate) || '-' || (year(l_shipdate) + 1) AS year,
@@ -510,15 +512,16 @@ def _papers(tb: Tables) -> DataFrame:
     return (tb.lineitem.join(tb.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(tb.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("l_partkey").alias("title"), F.date_format("l_shipdate", "yyyy-MM").alias("published"),
-        F.col("l_quantity").alias("citations"), F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("impact"),
+        (F.col("l_quantity") * 3).alias("citations"), F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("impact"),
         F.concat_ws(",", "l_returnflag", "l_linestatus").alias("index_codes"), F.col("l_linenumber").cast("string").alias("journal"),
         F.col("n_name").alias("dept"), F.col("n_regionkey").alias("college")))
 
 
 @query("""SELECT strftime(l_shipdate, '%Y') AS year, count(DISTINCT l_partkey) AS n_papers,
-    count(DISTINCT CASE WHEN l_quantity < 10 THEN l_partkey END) AS cited_0_9,
-    count(DISTINCT CASE WHEN l_quantity >= 10 AND l_quantity < 30 THEN l_partkey END) AS cited_10_29,
-    count(DISTINCT CASE WHEN l_quantity >= 30 THEN l_partkey END) AS cited_30_up,
+    count(DISTINCT CASE WHEN l_quantity * 3 < 10 THEN l_partkey END) AS cited_0_9,
+    count(DISTINCT CASE WHEN l_quantity * 3 >= 10 AND l_quantity * 3 < 50 THEN l_partkey END) AS cited_10_49,
+    count(DISTINCT CASE WHEN l_quantity * 3 >= 50 AND l_quantity * 3 < 100 THEN l_partkey END) AS cited_50_99,
+    count(DISTINCT CASE WHEN l_quantity * 3 >= 100 THEN l_partkey END) AS cited_100_up,
     count(DISTINCT CASE WHEN round(l_tax * 100) < 2 THEN l_partkey END) AS impact_0_1,
     count(DISTINCT CASE WHEN round(l_tax * 100) = 2 THEN l_partkey END) AS impact_2,
     count(DISTINCT CASE WHEN round(l_tax * 100) IN (3, 4) THEN l_partkey END) AS impact_3_4,

@@ -29,6 +29,13 @@ def test_rank_in(hot):
     assert rows(w.rank_in(hot, ["k"], order, split=True, slices=5)) == rows(w.rank_in(hot, ["k"], order, split=False))
 
 
+def test_slices_cut_a_hot_group(hot):
+    sliced = scale.range_slices(hot, ["k"], [F.asc("t"), F.asc("id")], slices=8)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2000 / 8 * 2
+    assert sliced.filter("k = 'hot'").select("_slice").distinct().count() >= 4
+
+
 def test_rank_over_the_whole_frame(hot):
     order = [F.asc_nulls_last("t"), F.asc("id")]
     assert rows(w.rank_in(hot, [], order, split=True, slices=5)) == rows(w.rank_in(hot, [], order, split=False))
