@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import classifier, fingerprint, mixing, packing, sharding, url_filter, weak_rules
+from tallyloom.llm import classifier, fingerprint, jaccard, mixing, packing, sharding, url_filter, weak_rules
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_quality(spark: SparkSession, root: str) -> DataFrame:
     return classifier.scored(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
 
+def op6_jaccard(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, root, "documents"))
+
+
 def op7_shard(spark: SparkSession, root: str) -> DataFrame:
     from pyspark.sql import functions as F
     rows = sharding.shard_rows(_table(spark, root, "documents"))
@@ -46,7 +50,7 @@ def op10_rules(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mix": op1_mix, "op2_urls": op2_urls, "op5_quality": op5_quality, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
+    "op1_mix": op1_mix, "op2_urls": op2_urls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
 
