@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, fingerprint, jaccard, mixing, packing, sharding, url_filter, weak_rules
+from tallyloom.llm import classifier, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -22,6 +23,27 @@ def op2_urls(spark: SparkSession, root: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, root, "pages"), labels)
 
 
+def op3_html(spark: SparkSession, root: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, root, "pages"))
+
+
+# The tool that a user turn is read as a call of.
+REPLY = {"reply": {"type": "object", "required": ["prompt", "turn"], "additionalProperties": False,
+                   "properties": {"prompt": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}}}}
+
+
+def op4_calls(spark: SparkSession, root: str) -> DataFrame:
+    """Every turn of `conversations`: a user turn asks for a reply, the assistant turn right after it is the result."""
+    chat = _table(spark, root, "conversations")
+    ident = lambda turn: F.concat(F.lit("turn-"), turn.cast("string"))
+    call = F.to_json(F.struct(F.array(F.struct(
+        ident(F.col("turn")).alias("id"), F.lit("reply").alias("name"),
+        F.struct(F.col("text").alias("prompt"), F.col("turn")).alias("arguments"))).alias("tool_calls")))
+    result = F.to_json(F.struct(ident(F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(F.col("text"))
+    return tool_calls.linked(chat.withColumn("text", text), REPLY)
+
+
 def op5_quality(spark: SparkSession, root: str) -> DataFrame:
     return classifier.scored(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
@@ -31,7 +53,6 @@ def op6_jaccard(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op7_shard(spark: SparkSession, root: str) -> DataFrame:
-    from pyspark.sql import functions as F
     rows = sharding.shard_rows(_table(spark, root, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
@@ -50,7 +71,7 @@ def op10_rules(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_mix": op1_mix, "op2_urls": op2_urls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
+    "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_html": op3_html, "op4_calls": op4_calls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
 
