@@ -14,7 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACES, text_or_empty, words_of
+from tallyloom.llm.common import SPACES, text_or_empty
+from tallyloom.scale import written
 
 SYMBOLS = "#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -24,21 +25,14 @@ def _hashes_joined(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
 
 
-def repeated_window_words(words: Column, width: int = 5) -> Column:
-    """Words that lie in some `width`-word window which occurs twice or more, its first occurrence included.
-
-    All arrays are walked once or sorted once; nothing is looked up per element.  `width` is 5: windows
-    of two, then four, then five words are hashed from one another.
-    """
-    if width != 5:
-        raise ValueError("windows are five words wide")
+def window_hashes(words: Column) -> Column:
+    """A hash of every five-word window: of two words first, then four, then five, each array walked once."""
     one = F.transform(words, lambda w: F.xxhash64(w))
     n = F.size(words)
     two = _hashes_joined(one, F.slice(one, 2, F.greatest(n, F.lit(1))))
     four = _hashes_joined(two, F.slice(two, 3, F.greatest(n, F.lit(1))))
     five = _hashes_joined(four, F.slice(one, 5, F.greatest(n, F.lit(1))))
-    windows = F.slice(five, F.lit(1), F.greatest(n - 4, F.lit(0)))  # the tail has no five words
-    return windows
+    return F.slice(five, F.lit(1), F.greatest(n - 4, F.lit(0)))  # the tail has no five words
 
 
 def text_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
@@ -48,24 +42,33 @@ def text_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> Da
     """
     body = text_or_empty(text)
     names = {c: f"{prefix}{c}" for c in BASE}
-    w, h, srt, pos = (f"{prefix}_{c}" for c in ("words", "windows", "sorted", "at"))
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    out = docs.withColumn(w, words_of(text)).withColumns({
-        names["n_words"]: F.size(w).cast("long"),
-        names["word_chars"]: F.length(F.translate(body, SPACES, "")).cast("long"),
+    plain, w, lines, h, srt, pos = (f"{prefix}_{c}" for c in ("plain", "words", "lines", "windows", "sorted", "at"))
+    blank = F.translate(body, SPACES, " " * len(SPACES))
+    out = docs.withColumn(plain, blank).withColumns({
+        w: F.filter(F.split(plain, " "), lambda x: x != ""),
+        lines: F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\t-\r ]")),
+        names["word_chars"]: F.length(F.replace(F.col(plain), F.lit(" "), F.lit(""))).cast("long"),
         names["n_symbols"]: (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long"),
-    }).withColumn(f"{prefix}_lines", lines) \
-        .withColumn(names["n_dup_lines"], (F.size(f"{prefix}_lines") - F.size(F.array_distinct(f"{prefix}_lines"))).cast("long")) \
-        .withColumn(h, repeated_window_words(F.col(w)))
+    }).withColumns({
+        names["n_words"]: F.size(w).cast("long"),
+        names["n_dup_lines"]: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        h: window_hashes(F.col(w)),
+    })
+    # most texts repeat no window: the rest is done for the others only
+    repeats = F.size(F.array_distinct(F.col(h))) < F.size(h)
+    some = F.when(repeats, F.col(h)).otherwise(F.array().cast("array<long>"))
     # sorted by hash: a window is repeated if a neighbour has its hash
-    out = out.withColumn(srt, F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
+    out = out.withColumn(srt, F.array_sort(F.transform(some, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
     shifted = F.slice(F.col(srt), F.lit(2), F.greatest(F.size(srt), F.lit(1)))
     pairs = F.zip_with(F.col(srt), shifted, lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
     out = out.withColumn(pos, F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))))
     after = F.slice(F.col(pos), F.lit(2), F.greatest(F.size(pos), F.lit(1)))
     covered = F.zip_with(F.col(pos), after, lambda a, b: F.least(F.lit(5), F.coalesce(b - a, F.lit(5))))
     out = out.withColumn(names["n_repeat_words"], F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(0).cast("long")))
-    return out.drop(w, h, srt, pos, f"{prefix}_lines")
+    # a generator of one row stands between the statistics and their readers: the optimiser would else write the
+    # expressions above into each of the many places, filters among them, that mention a statistic
+    once = F.struct(*[F.col(names[c]) for c in BASE])
+    return out.select(*docs.columns, F.inline(F.array(once)))
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -120,33 +123,32 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 50, prior_
     return math.log(prior / (1 - prior)), ratio
 
 
-def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, prefix: str = "") -> DataFrame:
-    """`docs` with BASE, `base_failed`, `p_good` and `kept` (all named with `prefix`), one row for each row.
+def judge(docs: DataFrame, keep: list[str], text: str = "text", threshold: float = 0.5, prefix: str = "") -> DataFrame:
+    """The columns `keep` of `docs` with BASE, `base_failed`, `p_good` and `kept` (these named with `prefix`), row by row.
 
-    Two passes over the texts: one counts vote patterns over the whole corpus, one applies what they teach.
+    The texts are read once: the statistics are written to the shared folder beside `keep`; vote patterns are counted
+    over the whole corpus from there, and what they teach is applied there.
     Null and empty texts have no words and fail the base rules; repeated rows get equal verdicts; an empty
-    table gives no rows; long texts are read whole.  Take a `prefix` that no column of `docs` begins with.
+    table gives no rows; long texts are read whole.  Take a `prefix` that no column of `keep` begins with.
     """
-    only = docs.select(F.col(text).alias("text"))
-    rules = votes()
-    seen = text_statistics(only).select(*[v.alias(k) for k, v in rules.items()]).groupBy(*rules).count().collect()
+    known = written(text_statistics(docs, text, prefix).select(*keep, *[f"{prefix}{c}" for c in BASE]))
+    rules = votes(prefix)
+    seen = known.select(*[v.alias(k) for k, v in rules.items()]).groupBy(*rules).count().collect()
     patterns = np.array([[r[k] for k in rules] for r in seen], dtype=np.int64).reshape(-1, len(rules))
     prior, ratio = fit_votes(patterns, np.array([r["count"] for r in seen], dtype=float))
     odds = F.lit(float(prior))
-    for (_, vote), line in zip(votes(prefix).items(), ratio, strict=True):
+    for vote, line in zip(rules.values(), ratio, strict=True):
         odds = odds + F.get(F.array(*[F.lit(float(x)) for x in line]), vote + 1)
-    p_good = 1 / (1 + F.exp(-odds))
-    return text_statistics(docs, text, prefix).withColumn(f"{prefix}base_failed", base_failed(prefix)) \
-        .withColumn(f"{prefix}p_good", p_good) \
+    return known.withColumn(f"{prefix}base_failed", base_failed(prefix)) \
+        .withColumn(f"{prefix}p_good", 1 / (1 + F.exp(-odds))) \
         .withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & (F.col(f"{prefix}p_good") >= threshold))
 
 
 def judged(docs: DataFrame, ident: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row per document: (doc_id, BASE, base_failed, p_good, kept)."""
-    pruned = docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text"))
-    return judge(pruned, "text", threshold).drop("text")
+    return judge(docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text")), ["doc_id"], "text", threshold)
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` that the rules keep, with their columns as they were."""
-    return judge(docs, text, threshold, prefix="_rules_").where("_rules_kept").select(*docs.columns)
+    return judge(docs, docs.columns, text, threshold, prefix="_rules_").where("_rules_kept").select(*docs.columns)
