@@ -270,7 +270,8 @@ def joined_nodes(docs: DataFrame, ident: str, text: str, threshold: float, recal
         .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")) \
         .select(F.col("key").alias("node_key"), "least_id", "node", "copies", "component", "i", "j", "block")
     texts = docs.select(text_key(text), F.col(ident).cast("long").alias("own_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    carried = texts.join(written(met), (F.col("key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("least_id"))) \
+    # never broadcast: the candidates grow with the corpus
+    carried = texts.join(written(met).hint("merge"), (F.col("key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("least_id"))) \
         .select("component", "i", "j", "node", "copies", "text", "block")
     dealt = carried.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     verified = written(dealt.mapInArrow(lambda batches: _verify(batches, threshold), VERIFIED))
