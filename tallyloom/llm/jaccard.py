@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected_components
@@ -145,7 +145,11 @@ def candidate_components(nodes: DataFrame) -> DataFrame:
     hashed = nodes.select("node", F.explode("bands").alias("band"))
     centres = hashed.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1").select("band", "centre")
     stars = hashed.join(centres, "band").where("node <> centre").select("node", "centre").distinct()
-    return connected_components(stars, "node", "centre").withColumnRenamed("label", "component")
+    # a node has a centre per band at most: it and its other centres point at its least one, so that the members of a
+    # large group bring one edge each, and the few centres bring the rest
+    least = stars.withColumn("least", F.min("centre").over(Window.partitionBy("node")))
+    edges = least.select(F.explode(F.array("node", "centre")).alias("node"), "least").where("node <> least").distinct()
+    return connected_components(edges, "node", "least").withColumnRenamed("label", "component")
 
 
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, copies: np.ndarray, threshold: float) -> tuple:
