@@ -142,7 +142,7 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
 
     `status`: for calls "linked", "pending" (no result) or "invalid" (the arguments break the schema; `error` says how); for
     results "linked" or "orphan" (no call); "cycle" for items whose references never resolve; null for plain messages.  The n-th result
-    of an identifier belongs to its n-th call, in order of turns.
+    of an identifier belongs to its n-th call, in order of turns; a reference means the first.
 
     Sorting by (conv_id, sort_turn, level, turn, item) puts every item behind those it depends on: a result behind its call, a call
     behind the results its arguments use.  `sort_turn` is the last turn among an item and all before it, so a conversation in order
@@ -156,10 +156,10 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     joinable = items.where("kind <> 'message' and call_id is not null and conv_id is not null").select("key", "kind", "conv_id", "call_id", nth.alias("nth"))
     calls = joinable.where("kind = 'call'").select(F.col("key").alias("call_key"), "conv_id", "call_id", "nth")
     results = joinable.where("kind = 'result'").select(F.col("key").alias("result_key"), "conv_id", "call_id", "nth")
-    pairs = written(calls.join(results, ["conv_id", "call_id", "nth"]).select("call_key", "result_key", "conv_id", "call_id"))
+    pairs = written(calls.join(results, ["conv_id", "call_id", "nth"]).select("call_key", "result_key", "conv_id", "call_id", "nth"))
     # what must come first: a result's call, and the results that a call's arguments use
     uses = items.where("kind = 'call'").select(F.col("key").alias("later"), "conv_id", F.explode("refs").alias("call_id"))
-    used = uses.join(pairs, ["conv_id", "call_id"]).select("later", F.col("result_key").alias("earlier"))
+    used = uses.join(pairs.where("nth = 1"), ["conv_id", "call_id"]).select("later", F.col("result_key").alias("earlier"))
     edges = written(used.unionByName(pairs.select(F.col("result_key").alias("later"), F.col("call_key").alias("earlier"))).distinct())
     placed = _levels(items.select("key", "turn"), edges)
     met = pairs.select(F.col("call_key").alias("pair_key")).unionByName(pairs.select(F.col("result_key").alias("pair_key")))
