@@ -10,19 +10,33 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.records import json_image
 from tallyloom.functions.text import changed, is_blank
 from tallyloom.operators.joins import keep_missing
 from tallyloom.operators.windows import top_n
+from tallyloom.scale import join_side
 
 
 def _on(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
 
 
+def unique_on(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """`df`, whose action fails if a key without nulls occurs twice: it would double rows on the other side.
+
+    The rows are numbered per key in the partitions that the join on `keys` needs anyway.
+    """
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    message = F.concat(F.lit(f"{what} holds a key twice: "), F.to_json(F.struct(*keys)))
+    checked = df.withColumn("_place", F.when(keyed, place).otherwise(1))
+    sound = F.when(F.col("_place") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return checked.filter(sound).drop("_place")
+
+
 def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
                    update_cols: Sequence[str] | None = None, delete: str = "remove",
                    scope: Column | None = None, flag: str | None = None,
@@ -32,7 +46,7 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
 
     Columns outside `update_cols` keep the target's values.  `delete` is `remove`, `flag` (set
     `flag` to `deleted_value`; a key that returns becomes live again) or `keep`.  `scope` limits
-    deletion to target rows that meet it.  Both frames must be unique on `keys`.  Rows with a null
+    deletion to target rows that meet it.  A key twice in the snapshot is an error (`unique_on`).  Rows with a null
     key match nothing: the target's stay, the snapshot's are added.  They go round the join, where
     they would all meet in one task; `null_keys=False` says there are none and saves that pass.
     """
@@ -43,7 +57,7 @@ def merge_snapshot(target: DataFrame, snap: DataFrame, keys: Sequence[str],
     in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     t = target.filter(keyed).withColumns({"_in_t": F.lit(True), "_scoped": in_scope}).alias("t")
-    s = snap.filter(keyed).withColumn("_in_s", F.lit(True)).alias("s")
+    s = unique_on(snap.filter(keyed), keys, "the snapshot").withColumn("_in_s", F.lit(True)).alias("s")
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
     missing = in_t & ~in_s & F.col("t._scoped")
     out = {k: F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")) for k in keys}
@@ -100,8 +114,8 @@ def change_text(labels: Mapping[str, str]) -> Column:
 
 
 def _side_by_side(old, new, keys, cols) -> DataFrame:
-    left = old.select(*keys, *[F.col(c).alias(f"old_{c}") for c in cols])
-    right = new.select(*keys, *[F.col(c).alias(f"new_{c}") for c in cols])
+    left = unique_on(old, keys, "the old state").select(*keys, *[F.col(c).alias(f"old_{c}") for c in cols])
+    right = unique_on(new, keys, "the new state").select(*keys, *[F.col(c).alias(f"new_{c}") for c in cols])
     return left.join(right, list(keys), "inner")
 
 
@@ -151,8 +165,8 @@ def diff_feed(now: DataFrame, before: DataFrame, keys: Sequence[str], watch: Seq
 def sync_parent_child(src: DataFrame, parents: DataFrame, members: DataFrame, parent_key: str,
                       member_keys: Sequence[str]) -> DataFrame:
     """What each source member row needs: `update`, `add_member` or `add_both`."""
-    known = parents.select(F.col(parent_key).alias("_known_p")).distinct().withColumn("_has_p", F.lit(True))
-    exact = members.select(*[F.col(k).alias(f"__{k}") for k in member_keys]).distinct()
+    known = join_side(parents.select(F.col(parent_key).alias("_known_p")).distinct()).withColumn("_has_p", F.lit(True))
+    exact = join_side(members.select(*[F.col(k).alias(f"__{k}") for k in member_keys]).distinct())
     exact = exact.withColumn("_has_m", F.lit(True))
     on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in member_keys])
     joined = src.join(known, F.col(parent_key) == F.col("_known_p"), "left").join(exact, on, "left")
@@ -184,10 +198,10 @@ def policy_update(target: DataFrame, src: DataFrame, keys: Sequence[str], state:
     """Update by record state and match quality; the log comes from the same expressions.
 
     Rows whose state has no policy are left alone (deleted rows, say).  `weak` names a boolean
-    source column: such rows are updated but keep their state.  `src` must be unique on `keys`.
+    source column: such rows are updated but keep their state.  A key twice in `src` is an error.
     """
     cols = list(labels)
-    side = src.select(*[F.col(k).alias(f"__{k}") for k in keys],
+    side = unique_on(src, keys, "the source").select(*[F.col(k).alias(f"__{k}") for k in keys],
                       *[F.col(c).alias(f"src_{c}") for c in cols],
                       (F.col(weak) if weak else F.lit(False)).alias("_weak"),
                       F.lit(True).alias("_hit"))

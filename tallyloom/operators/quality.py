@@ -96,7 +96,7 @@ def run_logged(spark: SparkSession, name: str, fn: Callable[[], Gate | None], lo
         if isinstance(outcome, Gate) and not outcome.passed:
             status, remark = "skipped", outcome.reason
     except Exception as error:  # the log row is the report; the caller decides about the chain
-        status, remark = "failed", f"{type(error).__name__}: {error}"[:500]
+        status, remark = "failed", f"{type(error).__name__}: {error}"
     row = spark.createDataFrame([(name, status, run_at, remark)], RUN_LOG_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(log_path)
     return status

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.functions.text import changed
+from tallyloom.operators.merge import unique_on
 
 
 def union_layouts(frames: Sequence[DataFrame], schema: StructType | None = None,
@@ -28,11 +29,11 @@ def diff(now: DataFrame, before: DataFrame, keys: Sequence[str], watch: Sequence
          keep_same: bool = False) -> DataFrame:
     """`change` per key: new, changed, removed (or same), with old and new watched values.
 
-    One full outer join of the two snapshots; `keys` must be a primary key of each.  A null and a blank
+    One full outer join of the two snapshots; a key twice in either is an error.  A null and a blank
     value are the same.  Rows of `before` come back as `old_<col>`.
     """
-    left = now.select(*keys, *[F.col(c).alias(f"new_{c}") for c in watch], F.lit(True).alias("_now"))
-    right = before.select(*keys, *[F.col(c).alias(f"old_{c}") for c in watch],
+    left = unique_on(now, keys, "the snapshot").select(*keys, *[F.col(c).alias(f"new_{c}") for c in watch], F.lit(True).alias("_now"))
+    right = unique_on(before, keys, "the snapshot before").select(*keys, *[F.col(c).alias(f"old_{c}") for c in watch],
                           F.lit(True).alias("_before"))
     both = left.join(right, list(keys), "full_outer")
     differs = F.lit(False)

@@ -8,6 +8,7 @@ The others need every row of a group; a group too large for one task is cut into
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,8 +70,13 @@ def next_seq(new: DataFrame, stored: DataFrame, part: Sequence[str], order: Sequ
 def running_total(df: DataFrame, part: Sequence[str], order: str, value: str,
                   out: str = "running_total", split: bool | None = None,
                   slices: int | None = None) -> DataFrame:
-    """Total of the group up to and including each row; (part, order) must be unique."""
+    """Total of the group up to and including each row; (part, order) must be unique.
+
+    The total is null until the first value that is not, and has the type that Spark gives a sum of
+    `value`, whichever way it is computed.
+    """
     part = list(part)
+    kind = df.select(F.sum(value)).schema[0].dataType
     if split is None:
         split = scale.has_hot_group(df, part)
     upto = Window.unboundedPreceding, Window.currentRow
@@ -85,7 +91,7 @@ def running_total(df: DataFrame, part: Sequence[str], order: str, value: str,
     within = Window.partitionBy(*part, "_slice").orderBy(order).rowsBetween(*upto)
     local = sliced.withColumn("_within", F.sum(value).over(within))
     return (join_null_safe(local, carried, [*part, "_slice"])
-            .withColumn(out, F.coalesce("_before", F.lit(0)) + F.coalesce("_within", F.lit(0)))
+            .withColumn(out, F.coalesce(F.col("_before") + F.col("_within"), "_before", "_within").cast(kind))
             .drop("_before", "_within", "_slice"))
 
 
@@ -96,22 +102,26 @@ def prior_total(df: DataFrame, part: Sequence[str], order: str, value: str,
 
     One shuffle: the running total with ties, less the total of the ties.  A hot group is first
     summed per `order`, so that its ties collapse, and then cut into slices.  `value` should be a
-    decimal or an integer, which subtract exactly.
+    decimal or an integer, which subtract exactly.  A row without a date or without a group is earlier than none
+    and in no group: it adds to no total, and its own is zero.
     """
     part = list(part)
     kind = df.schema[value].dataType
+    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*part, order]])
+    aside = df.filter(~placed).withColumn(out, F.lit(0).cast(kind))
+    df = df.filter(placed)
     if split is None:
         split = scale.has_hot_group(df, part)
     if not split:
         through = F.sum(value).over(Window.partitionBy(*part).orderBy(order))
         ties = F.sum(value).over(Window.partitionBy(*part, order))
-        return df.withColumn(out, (F.coalesce(through, F.lit(0)) - F.coalesce(ties, F.lit(0))).cast(kind))
+        return df.withColumn(out, (F.coalesce(through, F.lit(0)) - F.coalesce(ties, F.lit(0))).cast(kind)).unionByName(aside)
     per_step = df.groupBy(*part, order).agg(F.sum(value).alias("_step"))
     totals = running_total(per_step, part, order, "_step", "_through", True, slices)
     before = totals.select(
-        *part, order, (F.col("_through") - F.coalesce("_step", F.lit(0))).cast(kind).alias(out))
+        *part, order, (F.coalesce("_through", F.lit(0)) - F.coalesce("_step", F.lit(0))).cast(kind).alias(out))
     return (join_null_safe(df, before, [*part, order])
-            .withColumn(out, F.coalesce(F.col(out), F.lit(0).cast(kind))))
+            .withColumn(out, F.coalesce(F.col(out), F.lit(0).cast(kind)))).unionByName(aside)
 
 
 def asof_join(facts: DataFrame, states: DataFrame, key: str, at: str, since: str,

@@ -17,13 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A window whose whole input is below this fits in one task whatever the skew.
+# An aggregated join side below this need not be written first.
 ONE_TASK_BYTES = 256 * 1024 * 1024
-# Above that, a group of more rows than this is split.
+# A window's group of more rows than this, counted and not estimated, is split.
 HOT_ROWS = 2_000_000
-# Input handled by one slice of a split group.
-SLICE_BYTES = 128 * 1024 * 1024
-MAX_SLICES = 10_000
+# Rows handled by one slice of a split group.
+SLICE_ROWS = 500_000
 
 
 # Rows in memory against their Parquet files, with room for columns that lookups add.
@@ -52,9 +51,10 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether a window over `keys` could put more into one task than a task should hold."""
-    if estimated_bytes(df) <= ONE_TASK_BYTES:
-        return False
+    """Whether a window over `keys` would put more rows into one task than a task should hold.
+
+    The rows are counted: estimates miss what generators and joins multiply.
+    """
     return largest_group(df, keys) > HOT_ROWS
 
 
@@ -96,7 +96,12 @@ def join_side(df: DataFrame) -> DataFrame:
     shuffle, which an aggregate does not.  A possibly large side is therefore written first: read
     back it is either broadcast, its true size being known, or shuffled plainly.
     """
-    return df if estimated_bytes(df) <= ONE_TASK_BYTES else written(df)
+    return written(df) if estimated_bytes(df) > ONE_TASK_BYTES or _multiplies(df) else df
+
+
+def _multiplies(df: DataFrame) -> bool:
+    """Whether a generator makes rows in the plan, so that sizes say little."""
+    return "Generate " in df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -120,6 +125,6 @@ def range_slices(df: DataFrame, part: Sequence[str], order: Sequence[Column],
     fixes them for every later use.  `order` must be total for rows of equal order to be split.
     """
     if slices is None:
-        slices = min(MAX_SLICES, max(2, estimated_bytes(df) // SLICE_BYTES))
+        slices = max(2, df.count() // SLICE_ROWS)
     ranged = df.repartitionByRange(slices, *[F.col(p) for p in part], *order)
     return cut_lineage(ranged.withColumn(out, F.spark_partition_id()))

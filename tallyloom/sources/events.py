@@ -142,6 +142,19 @@ def flatten_events(df: DataFrame, schema: StructType | str, batch_id: str) -> Da
     return flat.withColumns({"flowid": F.lit(batch_id), "dt": F.to_date("etl_time")})
 
 
+def payload_fault(data: str, schema: StructType) -> Column:
+    """Why a payload does not fit its table, or null: not an object, or a value that its column's type cannot hold.
+
+    A value counts as lost if the payload gives it (not as null) and parsing into the schema makes it null.
+    """
+    parsed = F.from_json(data, schema, {"mode": "PERMISSIVE"})
+    given = F.from_json(data, StructType([StructField(f.name, StringType()) for f in schema]))
+    lost = [F.when(given[f.name].isNotNull() & parsed[f.name].isNull(), F.lit(f.name)) for f in schema]
+    names = F.concat_ws(",", *lost)
+    return F.when(F.get_json_object(data, "$").isNull() | ~F.ltrim(F.col(data)).startswith("{"), F.lit("payload is not an object")) \
+        .when(names != "", F.concat(F.lit("payload does not fit: "), names))
+
+
 @dataclass
 class Aligned:
     df: DataFrame

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +50,22 @@ def refresh(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def refresh_slice(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
-    """Replace the year/term slices present in the frame and leave the others."""
+def refresh_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
+                  slices: Sequence[Sequence] = ()) -> None:
+    """Replace the year/term slices present in the frame, empty the other named `slices`, leave the rest.
+
+    `slices` are the values (in the order of `slice_cols`) that the refresh covers; one that has no rows any
+    more loses its stale ones.
+    """
     write_partitions(df, path, slice_cols)
+    if slices:
+        held = df.select(*[F.col(c).cast("string") for c in slice_cols]).distinct()
+        asked = df.sparkSession.createDataFrame([tuple(str(v) for v in s) for s in slices],
+                                                ", ".join(f"`{c}` string" for c in slice_cols))
+        plain = df.drop(*slice_cols).limit(0)
+        for gone in asked.join(held, list(slice_cols), "left_anti").collect():  # as many as the caller named
+            folder = "/".join(f"{c}={gone[c]}" for c in slice_cols)
+            plain.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -69,10 +84,12 @@ class Published:
         self.ledger = f"{self.root}/_versions"
 
     def _versions(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.ledger)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        try:
+            rows = self.spark.read.schema(VERSION_SCHEMA).parquet(self.ledger)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        rows = self.spark.read.schema(VERSION_SCHEMA).parquet(self.ledger)
         return rows.filter(F.col("name") == name).orderBy(F.desc("version")).first()
 
     def exists(self, name: str) -> bool:
@@ -92,8 +109,9 @@ class Published:
         """
         newest = self._versions(name)
         version = 1 if newest is None else newest["version"] + 1
-        path = f"{self.root}/{name}/v{version:06d}"
-        df.write.mode("overwrite").parquet(path)
+        # a path of its own for every attempt: two writers never meet, the ledger row decides
+        path = f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
         rows = self.spark.read.parquet(path).count()
         if rows == 0:
             return Gate(False, 0, "nothing to do")
@@ -101,9 +119,14 @@ class Published:
             return Gate(False, rows, f"fewer than {min_rows} rows")
         if max_rows is not None and rows > max_rows:
             return Gate(False, rows, f"more than {max_rows} rows")
+        self._announce(name, path, rows, published_at)
+        return Gate(True, rows, "ok")
+
+    def _announce(self, name: str, path: str, rows: int, published_at: dt.datetime) -> None:
+        newest = self._versions(name)
+        version = 1 if newest is None else newest["version"] + 1
         entry = self.spark.createDataFrame([(name, version, path, rows, published_at)], VERSION_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.ledger)
-        return Gate(True, rows, "ok")
 
     def upsert(self, df: DataFrame, name: str, keys: Sequence[str], published_at: dt.datetime) -> Gate:
         """Publish the current version with rows of `df` replaced or added by key."""
@@ -113,11 +136,15 @@ class Published:
 
     def publish_dated(self, df: DataFrame, name: str, day: str, published_at: dt.datetime,
                       min_rows: int = 1) -> Gate:
-        """Copy a dated result under its stable name once it is seen to hold rows."""
-        dated = self.publish(df, f"{name}_{day.replace('-', '')}", published_at, min_rows)
-        if not dated.passed:
-            return dated
-        return self.publish(self.read(f"{name}_{day.replace('-', '')}"), name, published_at, min_rows)
+        """Publish a dated result and, once it is seen to hold rows, its files under the stable name too.
+
+        The stable name is one more ledger row on the same files, not a copy of them.
+        """
+        stamped = f"{name}_{day.replace('-', '')}"
+        dated = self.publish(df, stamped, published_at, min_rows)
+        if dated.passed:
+            self._announce(name, self._versions(stamped)["path"], dated.rows, published_at)
+        return dated
 
 
 FILE_LEDGER = ("file string, create_time timestamp, day string, hr string, flow_name string, "
@@ -142,5 +169,5 @@ def date_ledger_rows(hours: DataFrame, flow_name: str, flow_id: str, at: dt.date
 
 
 def write_ledger(rows: DataFrame, path: str) -> None:
-    """Append progress rows; they are few, so one file per call."""
-    rows.coalesce(1).write.mode("append").parquet(path)
+    """Append progress rows, in few files however many rows there are."""
+    rows.hint("rebalance").write.mode("append").parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tallyloom.sources.events import (ENVELOPE, align_to, flatten_events, fold_shards, parse_events,
-                                      parse_lines)
+                                      parse_lines, payload_fault)
 from tallyloom.sources.tables import RESULT_LEDGER, write_ledger, write_partitions
 
 
@@ -29,11 +30,11 @@ class Target:
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = 500,
                  max_bytes: str | None = None, latest_first: bool = False,
-                 max_age: str = "7d") -> DataFrame:
+                 max_age: str = "36500d") -> DataFrame:
     """Lines of files as they arrive, `max_files` per micro-batch.
 
     Files already seen are logged in the checkpoint, so a late file in an old hour directory is
-    still taken, as long as it is not older than `max_age`.
+    still taken.  `max_age` (a century: none) is there for sources that want old files forgotten.
     """
     reader = (spark.readStream.format("text").option("recursiveFileLookup", "true")
               .option("latestFirst", str(latest_first).lower()).option("maxFileAge", max_age))
@@ -51,21 +52,29 @@ def stream_events(spark: SparkSession, path: str, schema: str = ENVELOPE,
 
 
 def write_batch(lines: DataFrame, batch_id: int, targets: list[Target], ledger: str,
-                quarantine: str, flow_name: str = "ingest", workers: int = 4,
+                quarantine: str, flow_name: str = "ingest", workers: int = 4, run_id: str = "",
                 now: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)) -> None:
     """Fan one micro-batch out to its tables.
 
-    A replay writes the same `(dt, flowid)` partitions again, since the batch id is the flow id.
+    A replay writes the same `(dt, flowid)` partitions again: the flow id is `run_id` (that of the
+    checkpoint, see `ingest`) and the batch id.  Every line ends in a table or in quarantine with its
+    `reason`: broken lines, events of tables without a target, payloads that do not fit their table.
     One table's failure does not stop the others; each leaves a ledger row and the batch fails
     at the end if any did.
     """
     spark = lines.sparkSession
-    flow_id = f"{batch_id:014d}"
-    parsed = fold_shards(parse_lines(lines)).persist()  # every table filters the parsed batch
+    flow_id = f"{run_id}{batch_id:014d}"
+    fault = F.lit("no target for this table")
+    for target in targets:
+        mine = (F.col("database") == target.database) & (F.col("table") == target.table)
+        fault = F.when(mine, payload_fault("data", target.schema)).otherwise(fault)
+    parsed = fold_shards(parse_lines(lines))
+    reason = F.when(F.col("_broken"), F.lit("not an event")).otherwise(fault)
+    parsed = parsed.withColumn("reason", reason).persist()  # every table filters the parsed batch
     try:
-        rejected = parsed.filter("_broken").select(*lines.columns, F.lit(flow_id).alias("flowid"))
+        rejected = parsed.filter("reason is not null").select(*lines.columns, "reason", F.lit(flow_id).alias("flowid"))
         write_partitions(rejected, quarantine, ["flowid"])
-        good = parsed.filter(~F.col("_broken"))
+        good = parsed.filter("reason is null").drop("reason")
 
         def one(target: Target) -> tuple[str, str]:
             try:
@@ -90,13 +99,23 @@ def write_batch(lines: DataFrame, batch_id: int, targets: list[Target], ledger:
         parsed.unpersist()
 
 
+def run_id_of(checkpoint: str) -> str:
+    """The same for every replay of a checkpoint, another for another one."""
+    return f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}-"
+
+
 def ingest(spark: SparkSession, path: str, targets: list[Target], root: str, checkpoint: str,
            max_files: int = 500, flow_name: str = "ingest") -> StreamingQuery:
-    """Take every file that has arrived, in micro-batches, and stop."""
+    """Take every file that has arrived, in micro-batches, and stop.
+
+    A checkpoint counts its batches from 0, so its path goes into the flow ids: a new checkpoint does not
+    overwrite what an earlier one wrote, and a replay of either writes its own partitions again.
+    """
     lines = stream_lines(spark, path, max_files)
+    run_id = run_id_of(checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, batch_id, targets, f"{root}/_results", f"{root}/_quarantine", flow_name)
+        write_batch(df, batch_id, targets, f"{root}/_results", f"{root}/_quarantine", flow_name, run_id=run_id)
 
     return (lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

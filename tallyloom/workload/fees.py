@@ -99,7 +99,11 @@ def fee_status(tb: Tables) -> DataFrame:
           SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
             CASE WHEN kind = 'contract' THEN 'none' WHEN perf IS NOT NULL THEN 'reported'
                  WHEN ratio BETWEEN 0.38 AND 0.42 AND college <> 0 THEN 'two_thirds' ELSE 'none' END AS rule,
-            CASE WHEN kind = 'contract' THEN round(received * 0.3, 4) END AS remuneration FROM c""")
+            CASE WHEN kind = 'contract' THEN round(received * 0.3, 4) END AS remuneration,
+            round(CASE WHEN kind = 'contract' THEN 0 WHEN perf IS NOT NULL THEN perf
+                 WHEN ratio BETWEEN 0.38 AND 0.42 AND college <> 0 THEN college * 2 / 3 ELSE 0 END, 4) AS performance,
+            round(CASE WHEN kind = 'contract' THEN college WHEN perf IS NOT NULL THEN college - perf
+                 WHEN ratio BETWEEN 0.38 AND 0.42 AND college <> 0 THEN college / 3 ELSE college END, 4) AS college_fee FROM c""")
 def fee_split(tb: Tables) -> DataFrame:
     lines = tb.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("received"),
@@ -109,7 +113,7 @@ def fee_split(tb: Tables) -> DataFrame:
     out = r.split_fees(lines, "kind", "school", "college", "perf", "received", unit=1)
     rule = (F.when(F.col("performance") == 0, "none").when(F.col("perf").isNotNull(), "reported").otherwise("two_thirds"))
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rule.alias("rule"),
-                      F.round("remuneration", 4).alias("remuneration"))
+                      *[F.round(c, 4).alias(c) for c in ("remuneration", "performance", "college_fee")])
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'PENDING' WHEN month(o_orderdate) = 12 THEN o_orderstatus

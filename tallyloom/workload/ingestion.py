@@ -165,7 +165,10 @@ def refreshed_slices(tb: Tables) -> DataFrame:
     # every slice starts with stale rows, which its own refresh must drop
     st.refresh_slice(rows.withColumn("o_orderkey", -F.col("o_orderkey")).unionByName(rows), path, ["order_year"])
     st.refresh_slice(rows.filter("order_year < 1998"), path, ["order_year"])
-    st.refresh_slice(rows.filter("order_year >= 1998"), path, ["order_year"])
+    stale = rows.withColumn("order_year", F.col("order_year") + 1000)  # slices that the next refresh finds empty
+    st.refresh_slice(stale, path, ["order_year"])
+    years = [(r[0],) for r in stale.select("order_year").distinct().collect()]
+    st.refresh_slice(rows.filter("order_year >= 1998"), path, ["order_year"], slices=years)
     return tb.spark.read.parquet(path).groupBy("o_orderstatus", F.col("order_year").cast("long")).agg(
         F.count("*").alias("n"))
 
@@ -202,7 +205,7 @@ def catalog_table_columns(tb: Tables) -> DataFrame:
     st.ctas(rich, "rich_customers", scale.fresh_path(tb.spark, "columns"))
     schema = ev.target_columns(tb.spark, "default", "rich_customers", partition_cols=("place",))
     assert schema.names == ["c_name", "c_custkey", "place"]
-    return ev.align_to(rich, schema).df.select("c_custkey", "place")
+    return ev.align_to(tb.spark.table("rich_customers"), schema).df.select("c_custkey", "place")
 
 
 @query("""SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1""")
@@ -251,13 +254,16 @@ def html_items(tb: Tables) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------
 
 @query("""SELECT event_type AS "table", strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
-          FROM events GROUP BY 1, 2
-          UNION ALL SELECT 'quarantine', '', count(*), 0 FROM events WHERE event_type = 'error'""")
+          FROM events WHERE event_type <> 'signup' GROUP BY 1, 2
+          UNION ALL SELECT reason, '', count(*), 0 FROM (
+            SELECT 'not an event' AS reason FROM events WHERE event_type = 'error'
+            UNION ALL SELECT 'no target for this table' FROM events WHERE event_type = 'signup') GROUP BY 1""")
 def streamed_ods_tables(tb: Tables) -> DataFrame:
+    """Sign-ups have no target: they are quarantined with the broken lines, each with its reason."""
     root = scale.fresh_path(tb.spark, "stream")
-    change_lines(tb).repartition(6).write.text(f"{root}/in")
+    change_lines(tb).write.text(f"{root}/in")
     schema = StructType.fromDDL(PAYLOAD)
-    kinds = [r[0] for r in tb.events.select("event_type").distinct().collect()]
+    kinds = ["click", "view", "purchase", "error"]
     targets = [si.Target("shop", kind, schema, f"{root}/ods/{kind}") for kind in kinds]
     si.ingest(tb.spark, f"{root}/in", targets, root, f"{root}/checkpoint", max_files=3).awaitTermination()
     out = None
@@ -266,8 +272,8 @@ def streamed_ods_tables(tb: Tables) -> DataFrame:
             F.lit(target.table).alias("table"), F.date_format("dt", "yyyy-MM-dd").alias("dt")).agg(
             F.count("*").alias("n"), F.sum("event_id").alias("ids"))
         out = table if out is None else out.unionByName(table)
-    bad = tb.spark.read.parquet(f"{root}/_quarantine").agg(F.count("*").alias("n")).select(
-        F.lit("quarantine").alias("table"), F.lit("").alias("dt"), "n", F.lit(0).cast("long").alias("ids"))
+    bad = tb.spark.read.parquet(f"{root}/_quarantine").groupBy("reason").agg(F.count("*").alias("n")).select(
+        F.col("reason").alias("table"), F.lit("").alias("dt"), "n", F.lit(0).cast("long").alias("ids"))
     return out.unionByName(bad)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tallyloom import scale
 from tallyloom.operators import joins as j
+from tallyloom.operators import merge as m
 from tallyloom.operators import windows as w
 from tallyloom.operators.groups import concat_group
 from tests.conftest import rows
@@ -82,6 +83,7 @@ def test_written_frame_keeps_rows_and_size_is_known(spark, hot):
     back = scale.written(hot)
     assert rows(back) == rows(hot)
     assert scale.estimated_bytes(back) < 10 * 1024 * 1024
+    assert not scale._multiplies(back) and scale._multiplies(hot.select(F.explode(F.array("id", "id"))))
 
 
 LARGE = ["bracket_fee_orders", "asof_previous_order", "prior_order_total", "rank_in_nation", "continued_sequence",
@@ -119,7 +121,7 @@ def skew_settings(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("join", ["lookup", "flag", "semi", "totals"])
+@pytest.mark.parametrize("join", ["lookup", "flag", "semi", "totals", "sync"])
 def test_a_hot_fact_key_is_split(spark, monkeypatch, skew_settings, join):
     monkeypatch.setattr(scale, "ONE_TASK_BYTES", -1)
     n = F.col("id")
@@ -128,6 +130,7 @@ def test_a_hot_fact_key_is_split(spark, monkeypatch, skew_settings, join):
     dim = spark.range(6000).select((n % 2000).alias("k"), n.alias("name"))
     df = {"lookup": lambda: j.lookup(facts, [j.Lookup(dim, [("k", "k")], {"name": "name"})]),
           "flag": lambda: j.exists_flag(facts, dim, ["k"], "name"),
+          "sync": lambda: m.sync_parent_child(facts, dim, dim.select("k", F.col("name").cast("string").alias("x")), "k", ["k", "x"]),
           "semi": lambda: j.keep_existing(facts, dim, ["k"]),
           "totals": lambda: j.attach_totals(facts, dim.groupBy("k").agg(F.max("name").alias("name")), ["k"])}[join]()
     total = df.agg(F.count("*"), F.max("x"), F.max(df.columns[-1]))

@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tallyloom.sources import events as ev
 from tallyloom.sources import jdbc
 from tallyloom.sources.html import html_list_items
-from tallyloom.sources.tables import FILE_LEDGER, Published, file_ledger_rows, write_ledger, write_partitions
+from tallyloom.sources.tables import FILE_LEDGER, Published, file_ledger_rows, refresh_slice, write_ledger, write_partitions
 from tallyloom.streaming import ingest as si
 from tests.conftest import rows
 
@@ -105,10 +105,42 @@ def test_stream_late_file_and_replay(spark, tmp_path):
 
     lines = ev.read_lines(spark, f"{root}/in/2024/01/01/10/a.json")
     before = rows(orders)
+    # files of one instant come in either order: the batch is the one whose row was stored
+    batch = int(orders.filter("id = 1").first()["flowid"].split("-")[1])
     for _ in range(2):
-        si.write_batch(lines, 0, targets(root), f"{root}/_results", f"{root}/_quarantine")
+        si.write_batch(lines, batch, targets(root), f"{root}/_results", f"{root}/_quarantine", run_id=si.run_id_of(f"{root}/cp"))
     assert rows(spark.read.parquet(f"{root}/ods/orders")) == before
 
+    # a second checkpoint starts its batches at 0 again and leaves the first one's rows
+    si.ingest(spark, f"{root}/in", targets(root), root, f"{root}/cp2").awaitTermination()
+    assert rows(spark.read.parquet(f"{root}/ods/orders").select("id")) == [(1,), (1,), (3,), (3,)]
+
+
+def test_every_line_ends_in_a_table_or_in_quarantine(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "in/a.json", [event("orders", MIDNIGHT, {"id": 1, "name": None}), event("orders", MIDNIGHT, {"id": "abc"}), event("orders", MIDNIGHT, "text"),
+                            event("unlisted_3", MIDNIGHT, {"id": 5}), "junk", event("users", MIDNIGHT, {"other": 1})])
+    si.ingest(spark, f"{root}/in", targets(root), root, f"{root}/cp").awaitTermination()
+    assert rows(spark.read.parquet(f"{root}/ods/orders").select("id")) == [(1,)]
+    assert rows(spark.read.parquet(f"{root}/ods/users").select("id")) == [(None,)]
+    assert rows(spark.read.parquet(f"{root}/_quarantine").select("reason")) == [
+        ("no target for this table",), ("not an event",), ("payload does not fit: id",), ("payload is not an object",)]
+
+
+def test_an_emptied_slice_loses_its_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 2020, "a"), (2, 2021, "a"), (3, 2021, "b")], "v int, year int, term string")
+    refresh_slice(df, path, ["year", "term"])
+    refresh_slice(df.filter("v = 3").withColumn("v", F.lit(9)), path, ["year", "term"], slices=[(2021, "a"), (2021, "b")])
+    assert rows(spark.read.parquet(path).select("v", "year", "term")) == [(1, 2020, "a"), (9, 2021, "b")]
+
+
+def test_a_dated_result_is_published_once_under_two_names(spark, tmp_path):
+    tables = Published(spark, str(tmp_path))
+    assert tables.publish_dated(spark.range(3).toDF("k"), "t", "2024-01-02", NOW).passed
+    assert rows(tables.read("t")) == rows(tables.read("t_20240102"))
+    assert tables._versions("t")["path"] == tables._versions("t_20240102")["path"]
+
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
     root = str(tmp_path)

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom import scale
 from tallyloom.functions import dates as d
 from tallyloom.functions import numbers as n
 from tallyloom.functions import text as t
@@ -15,6 +16,7 @@ from tallyloom.operators import merge as m
 from tallyloom.operators import quality as q
 from tallyloom.operators import rules as r
 from tallyloom.operators import sets as s
+from tallyloom.operators import windows as w
 from tallyloom.operators.predicates import allow, apply_steps, live
 from tests.conftest import rows
 
@@ -119,6 +121,42 @@ def test_t30_t31_fill_takes_own_column_and_log_says_what_changed(spark):
     assert rows(result.log) == [(1, "title:t1-->T;holder:-->H;kind:-->K;"), (2, "title:t2-->T2;holder:h-->H2;kind:x-->K2;")]
 
 
+def test_a_repeated_key_is_an_error(spark):
+    once = spark.createDataFrame([(1, "a"), (None, "n"), (None, "m")], "id int, v string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c"), (2, "d")], "id int, v string")
+    for action in (lambda: m.merge_snapshot(once, twice, ["id"]), lambda: m.upsert(once, twice, ["id"]), lambda: m.change_log(once, twice, ["id"], {"v": "v"}),
+                   lambda: s.diff(twice, once, ["id"], ["v"]), lambda: s.diff(once, twice, ["id"], ["v"]),
+                   lambda: m.policy_update(once, twice, ["id"], "v", {"a": m.Policy({"v": "always"})}, {"v": "v"}).rows):
+        with pytest.raises(Exception, match="holds a key twice"):
+            action().collect()
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_rows_without_a_date_or_group_are_earlier_than_none(spark, split):
+    df = spark.createDataFrame([("c", None, Decimal(60)), ("c", dt.date(2024, 1, 1), Decimal(10)), ("c", dt.date(2024, 1, 2), None), ("c", dt.date(2024, 1, 3), Decimal(5)),
+                                (None, dt.date(2024, 1, 1), Decimal(7)), (None, dt.date(2024, 1, 2), Decimal(8))], "card string, day date, amount decimal(20,6)")
+    got = w.prior_total(df, ["card"], "day", "amount", split=split, slices=2)
+    assert got.schema["prior_total"].dataType == df.schema["amount"].dataType
+    assert sorted((str(r["card"]), str(r["day"]), int(r["prior_total"])) for r in got.collect()) == [
+        ("None", "2024-01-01", 0), ("None", "2024-01-02", 0), ("c", "2024-01-01", 0), ("c", "2024-01-02", 10), ("c", "2024-01-03", 10), ("c", "None", 0)]
+    fees = {str(x["day"]): x["fee"] for x in r.bracket_fee(df, ["card"], "day", "amount", split=split).where("card = 'c'").collect()}
+    alone = r.bracket_fee(df.where("card = 'c' and day is not null"), ["card"], "day", "amount", split=split).collect()
+    assert {str(x["day"]): x["fee"] for x in alone} == {k: v for k, v in fees.items() if k != "None"}
+
+
+def test_running_totals_agree_in_type_and_nulls(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, Decimal(3)), ("a", 3, None), ("a", 4, Decimal(4)), ("b", 1, None)], "k string, t int, v decimal(18,2)")
+    plain, split = (w.running_total(df, ["k"], "t", "v", split=x, slices=3) for x in (False, True))
+    assert plain.schema["running_total"].dataType == split.schema["running_total"].dataType
+    assert rows(plain) == rows(split)
+
+
+def test_the_gate_counts_rows_that_a_generator_makes(spark, monkeypatch):
+    monkeypatch.setattr(scale, "HOT_ROWS", 1000)
+    few = spark.range(2).select(F.lit(1).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("n"))
+    assert scale.has_hot_group(few, ["k"]) and not scale.has_hot_group(spark.range(900).withColumn("k", F.lit(1)), ["k"])
+
+
 def test_null_and_blank_are_the_same_value(spark):
     schema = "id int, a string"
     before = spark.createDataFrame([(1, None), (2, "x"), (3, None), (4, "")], schema)
