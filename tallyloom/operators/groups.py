@@ -95,6 +95,14 @@ def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequ
     return _pick(df, keys, order, cols, prefix, F.max_by)
 
 
+def first_and_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                   first: str = "first_", last: str = "last_") -> DataFrame:
+    """`first_by` and `last_by` in one aggregate over one scan."""
+    row = F.struct(*cols), F.struct(*order, *[c for c in cols if c not in order])
+    return df.groupBy(*keys).agg(F.min_by(*row).alias("_first"), F.max_by(*row).alias("_last")).select(
+        *keys, *[F.col(f"{side}.{c}").alias(prefix + c) for side, prefix in (("_first", first), ("_last", last)) for c in cols])
+
+
 def _pick(df, keys, order, cols, prefix, picker) -> DataFrame:
     chosen = picker(F.struct(*cols), F.struct(*order, *[c for c in cols if c not in order]))
     return df.groupBy(*keys).agg(chosen.alias("_row")).select(

@@ -40,7 +40,7 @@ def gate_frame(df: DataFrame, min_rows: int = 1, max_rows: int | None = None) ->
     return df.agg(n.alias("n_rows"), reason.otherwise("ok").alias("reason"))
 
 
-def is_fresh(results: DataFrame, today: str, keys: tuple[str, ...] = ("flow_name", "table_name"),
+def is_fresh(results: DataFrame, today: str | Column, keys: tuple[str, ...] = ("flow_name", "table_name"),
              status: str = "status", ok: str = "OK", created: str = "create_time") -> DataFrame:
     """Per key: are the newest two distinct successful days today and yesterday?
 
@@ -49,7 +49,7 @@ def is_fresh(results: DataFrame, today: str, keys: tuple[str, ...] = ("flow_name
     days = (results.filter(F.col(status) == ok)
             .select(*keys, F.to_date(created).alias("_day")).distinct())
     newest = top_n(days, list(keys), [F.desc("_day")], 2)
-    gap = F.datediff(F.lit(today).cast("date"), F.col("_day"))
+    gap = F.datediff((F.lit(today) if isinstance(today, str) else today).cast("date"), F.col("_day"))
     return newest.groupBy(*keys).agg(
         F.max("_day").alias("newest"),
         ((F.count("*") == 2) & (F.sum(gap) == 1)).alias("is_fresh"))

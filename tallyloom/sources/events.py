@@ -111,7 +111,8 @@ def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int =
     """Files to take next.
 
     Rescans the newest `rescan` recorded hours for late files, then walks forward hour by hour
-    up to `max_hours` past the newest one; at most `max_files`, oldest hour first.  With an empty
+    up to `max_hours` past the newest one, or, after a longer pause, from the next hour that has files; at most
+    `max_files`, oldest hour first, the others next time.  With an empty
     ledger the newest `first_files` files start the flow.
     """
     hours = recorded_hours(ledger, rescan)
@@ -120,7 +121,10 @@ def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int =
     newest = hour_stamp(F.lit(hours[0][0]), F.lit(hours[0][1]))
     at = hour_stamp(F.col("day"), F.col("hr"))
     again = F.struct("day", "hr").isin(*[F.struct(F.lit(d), F.lit(h)) for d, h in hours])
-    ahead = (at > newest) & (at <= newest + F.expr(f"interval {int(max_hours)} hours"))
+    span = F.expr(f"interval {int(max_hours)} hours")
+    resumed = candidates.filter(at > newest).select(F.min(at)).scalar()  # after a pause, the hour that ends it
+    until = F.when(resumed > newest + span, resumed + span - F.expr("interval 1 hour")).otherwise(newest + span)
+    ahead = (at > newest) & (at <= until)
     seen = ledger.filter(again | ahead).select("file")
     unseen = candidates.filter(again | ahead).join(seen, "file", "left_anti")
     return unseen.orderBy("day", "hr", "file").limit(max_files)

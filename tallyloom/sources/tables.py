@@ -7,11 +7,13 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.merge import merge_snapshot
 from tallyloom.operators.quality import Gate
+from tallyloom.operators.windows import latest_per
+from tallyloom.scale import written
 
 VERSION_SCHEMA = "name string, version bigint, path string, n_rows bigint, published_at timestamp"
 
@@ -68,6 +70,30 @@ def refresh_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
             plain.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
+def upsert_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 64,
+                   order: Sequence[Column] | None = None) -> None:
+    """Replace or add rows by key in a table of key buckets; only the buckets that `rows` touch are rewritten.
+
+    The table is partitioned by `_bucket`, a hash of the keys; `buckets` is fixed when it is created.  Among a new
+    and a stored row of a key the new one stays, or with `order` the one that comes first.  Touched buckets are
+    merged into the shared folder before they replace the stored ones, since a job cannot overwrite what it reads.
+    """
+    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    try:
+        stored = rows.sparkSession.read.schema(placed.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = placed.limit(0)
+    touched = [r[0] for r in placed.select("_bucket").distinct().collect()]  # `buckets` at most
+    old = stored.filter(F.col("_bucket").isin(touched))
+    if order is None:
+        merged = merge_snapshot(old, placed, keys, delete="keep")
+    else:
+        merged = latest_per(old.unionByName(placed), keys, order)
+    write_partitions(written(merged), path, ["_bucket"])
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

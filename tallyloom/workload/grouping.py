@@ -125,10 +125,7 @@ def order_history_text(tb: Tables) -> DataFrame:
                  max_by(o_orderpriority, (o_orderdate, o_orderkey)) AS last_o_orderpriority
           FROM orders GROUP BY o_custkey""")
 def first_last_per_customer(tb: Tables) -> DataFrame:
-    cols = ["o_orderkey", "o_orderpriority"]
-    first = g.first_by(tb.orders, ["o_custkey"], ["o_orderdate"], cols, "first_")
-    last = g.last_by(tb.orders, ["o_custkey"], ["o_orderdate"], cols, "last_")
-    return first.join(last, "o_custkey")
+    return g.first_and_last(tb.orders, ["o_custkey"], ["o_orderdate"], ["o_orderkey", "o_orderpriority"])
 
 
 @query("""SELECT l_suppkey, max(l_extendedprice) AS l_extendedprice,
@@ -254,7 +251,7 @@ def recent_hours(tb: Tables) -> DataFrame:
                  count(*) = 2 AND sum(date_diff('day', d, today)) = 1 AS is_fresh
           FROM last, ref WHERE rn <= 2 GROUP BY event_type""")
 def freshness_days(tb: Tables) -> DataFrame:
-    today = tb.events.agg(F.date_format(F.max("ts"), "yyyy-MM-dd")).first()[0]
+    today = tb.events.select(F.to_date(F.max("ts"))).scalar()
     results = tb.events.select("event_type", F.col("ts").alias("create_time"),
                                F.when(F.col("value") > 30, "OK").otherwise("FAILED").alias("status"))
     out = quality.is_fresh(results, today, keys=("event_type",))

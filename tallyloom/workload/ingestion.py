@@ -181,11 +181,11 @@ def refreshed_table(tb: Tables) -> DataFrame:
     return tb.spark.read.parquet(path).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT year, count(*) AS n FROM (SELECT DISTINCT 1996 AS year, o_custkey FROM orders WHERE year(o_orderdate) = 1996
-          UNION ALL SELECT DISTINCT 1997, o_custkey FROM orders WHERE year(o_orderdate) = 1997) GROUP BY 1""")
+@query("SELECT year(o_orderdate) AS year, count(DISTINCT o_custkey) AS n FROM orders GROUP BY 1")
 def appended_yearly_snapshots(tb: Tables) -> DataFrame:
     path = scale.fresh_path(tb.spark, "yearly")
-    for year in (1996, 1997):
+    first, last = tb.orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    for year in range(first, last + 1):
         rows = tb.orders.filter(F.year("o_orderdate") == year).select("o_custkey").distinct()
         st.append(rows.withColumn("year", F.lit(year).cast("long")), path)
     return tb.spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n"))
@@ -303,16 +303,13 @@ def completed_days(tb: Tables) -> DataFrame:
 @query("""SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1""")
 def streamed_upsert(tb: Tables) -> DataFrame:
     root = scale.fresh_path(tb.spark, "stream-upsert")
-    tb.events.repartitionByRange(3, "ts").write.parquet(f"{root}/in")
-    tables = st.Published(tb.spark, f"{root}/tables")
+    tb.events.repartitionByRange("ts").write.parquet(f"{root}/in")
     order = [F.desc("ts"), F.desc("event_id")]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per(batch.select("user_id", "event_id", "ts"), "user_id", order)
-        if tables.exists("latest"):
-            newest = latest_per(newest.unionByName(tables.read("latest")), "user_id", order)
-        tables.upsert(newest, "latest", ["user_id"], NOW)
+        st.upsert_buckets(newest, f"{root}/latest", ["user_id"], buckets=16, order=order)
 
     stream = (tb.spark.readStream.schema(tb.events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in"))
     si.stream_upsert(stream, merge, f"{root}/checkpoint")
-    return tables.read("latest").select("user_id", "event_id")
+    return tb.spark.read.parquet(f"{root}/latest").select("user_id", "event_id")

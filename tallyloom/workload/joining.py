@@ -79,13 +79,13 @@ def passage_in_text(tb: Tables) -> DataFrame:
     return matching.contains_join(tb.documents, tb.benchmark, "doc_id", "text", "item_id", "text")
 
 
-@query("""WITH names AS (SELECT string_split(p_name, ' ')[-1] AS noun FROM part GROUP BY ALL
+@query("""WITH names AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS noun FROM part
                          UNION SELECT p_type FROM part
                          UNION SELECT lower(r_name) FROM region
                          UNION SELECT 'th of' UNION SELECT 'une')
           SELECT doc_id, noun FROM documents JOIN names ON contains(text, noun)""")
 def short_name_in_text(tb: Tables) -> DataFrame:
-    nouns = tb.part.select(F.substring_index("p_name", " ", -1).alias("noun")).union(tb.part.select("p_type")).union(
+    nouns = tb.part.select(F.explode(F.split("p_name", " ")).alias("noun")).union(tb.part.select("p_type")).union(
         tb.region.select(F.lower("r_name"))).distinct()
     words = tb.region.select(F.explode(F.array(F.lit("th of"), F.lit("une"))).alias("noun")).distinct()
     names = nouns.union(words)
@@ -175,13 +175,11 @@ def customers_without_urgent_orders(tb: Tables) -> DataFrame:
     return j.keep_missing(tb.customer, urgent, {"c_custkey": "o_custkey"}).select("c_custkey")
 
 
-@query("""SELECT p_partkey FROM part WHERE p_partkey NOT IN (
-            SELECT l_partkey FROM lineitem WHERE l_returnflag <> 'A' AND l_quantity > 40)""")
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'A')""")
 def not_in_with_nulls(tb: Tables) -> DataFrame:
     # the list side carries nulls, which must not empty the result
-    sold = tb.lineitem.filter("l_quantity > 40").select(
-        F.when(F.col("l_returnflag") != "A", F.col("l_partkey")).alias("p_partkey"))
-    return j.keep_missing(tb.part, sold, ["p_partkey"]).select("p_partkey")
+    kept = tb.lineitem.select(F.when(F.col("l_returnflag") != "A", F.col("l_orderkey")).alias("o_orderkey"))
+    return j.keep_missing(tb.orders, kept, ["o_orderkey"]).select("o_orderkey")
 
 
 @query("""SELECT c_custkey, (SELECT s_name FROM supplier WHERE s_nationkey = c_nationkey
@@ -213,17 +211,14 @@ def scalar_threshold(tb: Tables) -> DataFrame:
     return kept.select("o_orderkey")
 
 
-_DIFF = """WITH shipped AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49),
-               rich AS (SELECT s_suppkey AS k FROM supplier WHERE s_acctbal > 3000)
-          SELECT coalesce(a.k, b.k) AS s_suppkey, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS only_in
-          FROM shipped a FULL JOIN rich b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL"""
+_DIFF = """WITH shipped AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), placed AS (SELECT o_orderkey AS k FROM orders)
+          SELECT coalesce(a.k, b.k) AS o_orderkey, CASE WHEN b.k IS NULL THEN 'left' ELSE 'right' END AS only_in
+          FROM shipped a FULL JOIN placed b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL"""
 
 
 @query(_DIFF)
 def key_difference(tb: Tables) -> DataFrame:
-    shipped = tb.lineitem.filter("l_returnflag = 'R' and l_quantity >= 49").select(F.col("l_suppkey").alias("s_suppkey"))
-    rich = tb.supplier.filter("s_acctbal > 3000")
-    return j.key_diff(shipped, rich, ["s_suppkey"])
+    return j.key_diff(tb.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), tb.orders, ["o_orderkey"])
 
 
 @query("""SELECT c_custkey, CASE WHEN n > 0 AND c_acctbal < 5000 THEN last_status ELSE c_mktsegment END AS c_mktsegment

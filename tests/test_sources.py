@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tallyloom.sources import events as ev
 from tallyloom.sources import jdbc
 from tallyloom.sources.html import html_list_items
-from tallyloom.sources.tables import FILE_LEDGER, Published, file_ledger_rows, refresh_slice, write_ledger, write_partitions
+from tallyloom.sources.tables import FILE_LEDGER, Published, file_ledger_rows, refresh_slice, upsert_buckets, write_ledger, write_partitions
 from tallyloom.streaming import ingest as si
 from tests.conftest import rows
 
@@ -74,6 +74,16 @@ def test_file_choice(spark, tmp_path):
     assert ev.list_files(spark, "file:" + root, "other").count() == 0
 
 
+def test_a_long_pause_does_not_stall_the_flow(spark):
+    files = spark.createDataFrame([("new", "2024-01-05", "07", NOW), ("later", "2024-01-09", "07", NOW)], "file string, day string, hr string, modificationTime timestamp")
+    ledger = ev_ledger(spark)
+    assert rows(ev.select_new_files(files, ledger, max_hours=24).select("file")) == [("new",)]
+
+
+def ev_ledger(spark):
+    return spark.createDataFrame([("old", NOW, "2024-01-01", "00", "f", "1", "INSERT")], FILE_LEDGER)
+
+
 def test_day_rollover(spark):
     files = spark.createDataFrame([("/r/t/2024/01/01/23/a",), ("/r/t/2024/01/02/00/b",), ("/r/t/odd",)], "file string")
     hours = ev.with_path_hour(files)
@@ -176,6 +186,21 @@ def test_published_versions(spark, tmp_path):
     assert rows(tables.read("t")) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_an_upsert_leaves_the_files_of_other_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files = lambda: {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+    upsert_buckets(spark.range(100).select("id", F.lit("old").alias("v")), path, ["id"], buckets=8)
+    before = files()
+    upsert_buckets(spark.createDataFrame([(7, "new"), (1000, "new")], "id long, v string"), path, ["id"], buckets=8)
+    assert len(before & files()) >= 6
+    got = dict(rows(spark.read.parquet(path).select("id", "v")))
+    assert len(got) == 101 and {k for k, v in got.items() if v == "new"} == {7, 1000}
+    late = spark.createDataFrame([(7, "a"), (8, "zzz")], "id long, v string")
+    upsert_buckets(late, path, ["id"], buckets=8, order=[F.desc("v")])  # the later value stays, whichever side has it
+    got = dict(rows(spark.read.parquet(path).select("id", "v")))
+    assert got[7] == "new" and got[8] == "zzz"
+
+
 def test_jdbc_options():
     conf = jdbc.Database("jdbc:x", "d", "u", "p")
     plain = jdbc.jdbc_options(conf, "select 1", "set x")
