@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import small_batches
 from tallyloom.llm.hashes import constant, mixed, run_hashes
 from tallyloom.scale import written
 
@@ -188,6 +189,7 @@ def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     second step.  Null texts count as empty; an empty text has the root 0 and no phrases; a text alone is
     its own next; an empty table gives no rows; columns other than id and text are not read.
     """
+    small_batches(docs.sparkSession)
     pruned = docs.select(F.col(ident).cast("long").alias("at"), F.col(text).alias("text")) \
         .withColumn("tie", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     ranged = pruned.repartitionByRange("at", "tie").sortWithinPartitions("at", "tie") \

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import small_batches
 from tallyloom.scale import written
 
 TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
@@ -151,6 +152,7 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     Null ids never link; null roles and texts are kept as null in the JSON; text that is not such JSON, empty or very long, is a plain
     message; repeated rows are items of their own; an empty table gives no rows; other columns are not read.
     """
+    small_batches(messages.sparkSession)
     items = written(read_items(messages.select("conv_id", "turn", "role", "text"), schemas).withColumn("key", F.monotonically_increasing_id()))
     nth = F.row_number().over(Window.partitionBy("kind", "conv_id", "call_id").orderBy("turn", "item", "key"))
     joinable = items.where("kind <> 'message' and call_id is not null and conv_id is not null").select("key", "kind", "conv_id", "call_id", nth.alias("nth"))
