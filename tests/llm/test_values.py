@@ -352,3 +352,22 @@ def test_pipeline_against_brute_force(spark):
     got = corpus_pipeline.run(spark, root).collect()
     assert collections.Counter(r["doc_id"] for r in got) == want
     assert all(r["n_tokens"] == len(WORD.findall(texts[r["doc_id"]])) + 1 <= r["bucket_len"] for r in got)
+
+
+def test_impure_templates_are_blocked(spark):
+    """One branch of a host is bad, the others are good and merge; a host without labels follows the rest."""
+    from tallyloom.llm import url_filter
+
+    pages, labels = [], []
+    for k in range(240):
+        branch = ("news", "blog", "spam")[k % 3]
+        pages.append((k, f"https://big.example.net/{branch}/{k}.html"))
+        labels.append((k, 0 if branch == "spam" else 1, 0))
+    pages += [(1000 + k, f"https://wide.example.net/user{'abcdefghijklmnopqrstuvwxyz'[k]}/post") for k in range(26)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    known = url_filter.document_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["page_id"]: r for r in url_filter.filter_urls(frame, known).collect()}
+    assert all((got[k]["verdict"] == "block") == (k % 3 == 2) for k in range(240))
+    assert got[2]["template"] == "/spam/*.html"
+    assert {got[1000 + k]["template"] for k in range(26)} == {"/*/post"}  # many children: a wildcard
+    assert {got[1000 + k]["verdict"] for k in range(26)} == {"allow"}
