@@ -190,8 +190,12 @@ def long_summary(df: DataFrame, keys: Sequence[str], blocks: Mapping[str, Column
 def rate(numerator: DataFrame, denominator: DataFrame, keys: Sequence[str], num: str, den: str,
          out: str = "rate") -> DataFrame:
     """Percentage per group of the denominator; a missing numerator counts as zero."""
-    joined = denominator.join(numerator, list(keys), "left")
-    return joined.withColumn(num, F.coalesce(F.col(num), F.lit(0))).withColumn(out, percent(num, den))
+    return rate_of(denominator.join(numerator, list(keys), "left"), num, den, out)
+
+
+def rate_of(counts: DataFrame, num: str, den: str, out: str = "rate") -> DataFrame:
+    """`rate` of two counts that one pass made side by side (`count_if_matrix`)."""
+    return counts.withColumn(num, F.coalesce(F.col(num), F.lit(0))).withColumn(out, percent(num, den))
 
 
 def merge_avg(avg_a: Column, n_a: Column, avg_b: Column, n_b: Column, places: int = 1) -> Column:

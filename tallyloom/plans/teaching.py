@@ -39,18 +39,22 @@ def teaching_detail(by_year: DataFrame, by_code: DataFrame) -> DataFrame:
     return rows.join(scale.join_side(teachers), ["section_id", "audience"], "left")
 
 
-def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> DataFrame:
-    """Workload rows: person attributes, hours shared among a section's teachers, rank by score.
+def teaching_rows(detail: DataFrame, people: DataFrame, titles: DataFrame) -> DataFrame:
+    """Workload rows: person attributes, and hours shared among a section's teachers.
 
-    people: person_id (unique), dept, college, gender, age; titles: person_id, seq, title.  The
-    rank runs inside a college and term, by score, then hours and ids.
+    people: person_id (unique), dept, college, gender, age; titles: person_id, seq, title.
     """
     newest = titles.groupBy("person_id").agg(F.max_by("title", F.struct("seq", "title")).alias("title"))
     named = lookup(detail, [
         Lookup(people, [("person_id", "person_id")], {c: c for c in ("dept", "college", "gender", "age")},
                unique=True),
-        Lookup(newest, [("person_id", "person_id")], {"title": "title"}, unique=True)])
-    shared = named.withColumn("hours_share", F.round(F.try_divide("hours", F.coalesce("n_teachers", F.lit(1))), 0))
+        Lookup(scale.join_side(newest), [("person_id", "person_id")], {"title": "title"}, unique=True)])
+    return named.withColumn("hours_share", F.round(F.try_divide("hours", F.coalesce("n_teachers", F.lit(1))), 0))
+
+
+def teaching_load(detail: DataFrame, people: DataFrame, titles: DataFrame) -> DataFrame:
+    """`teaching_rows` with a rank inside a college and term, by score, then hours and ids."""
+    shared = teaching_rows(detail, people, titles)
     order = [F.desc_nulls_last("score"), F.desc("hours"), F.asc("section_id"), F.asc("audience"), F.asc("person_id"),
              F.asc("course_code"), F.asc("students")]
     return rank_in(shared, ["college", "year", "term"], order, "place")

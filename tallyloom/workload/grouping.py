@@ -179,10 +179,9 @@ def long_summary_orders(tb: Tables) -> DataFrame:
           SELECT s_nationkey, part, whole, CAST((part * 20000 + whole) // (2 * whole) AS DOUBLE) / 100 AS rate FROM a""")
 def return_rate_by_nation(tb: Tables) -> DataFrame:
     lines = tb.lineitem.join(tb.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    whole = g.count_if_matrix(lines, ["s_nationkey"], {"whole": F.lit(True)}, "l_orderkey")
-    part = g.count_if_matrix(lines.filter("l_returnflag = 'R' and l_quantity > 45"), ["s_nationkey"],
-                             {"part": F.lit(True)}, "l_orderkey")
-    return g.rate(part, whole, ["s_nationkey"], "part", "whole").withColumn("rate", F.col("rate").cast("double"))
+    returned = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)
+    counts = g.count_if_matrix(lines, ["s_nationkey"], {"part": returned, "whole": F.lit(True)}, "l_orderkey")
+    return g.rate_of(counts, "part", "whole").withColumn("rate", F.col("rate").cast("double"))
 
 
 @query("""WITH m AS (SELECT o_custkey, avg(o_orderkey) AS a, count(*) AS n, year(o_orderdate) < 1998 AS old

@@ -431,14 +431,14 @@ def teaching_detail_rows(tb: Tables) -> DataFrame:
     return as_double(_detail(tb), "hours").withColumn("students", F.col("students").cast("long"))
 
 
-def _load(tb: Tables) -> DataFrame:
+def _load(tb: Tables, report=teaching.teaching_load) -> DataFrame:
     staff = tb.supplier.join(tb.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("person_id"), F.col("n_name").alias("dept"), F.col("n_regionkey").alias("college"),
         F.when(F.col("s_acctbal") > 5000, "f").otherwise("m").alias("gender"),
         (F.col("s_acctbal") / 100).cast("int").alias("age"))
     titles = tb.lineitem.select(F.col("l_suppkey").alias("person_id"), F.col("l_orderkey").alias("seq"),
                                 F.col("l_returnflag").alias("title"))
-    return teaching.teaching_load(_detail(tb), staff, titles)
+    return report(_detail(tb), staff, titles)
 
 
 _LOAD = _DETAIL + """, staff AS (SELECT s_suppkey, n_name AS dept, n_regionkey AS college, CASE WHEN s_acctbal > 5000 THEN 'f' ELSE 'm' END AS gender,
@@ -473,7 +473,7 @@ def _block(tag: str, value: str) -> str:
   FROM load GROUP BY ALL""")
 def teaching_summary_blocks(tb: Tables) -> DataFrame:
     track = F.when(F.col("title") == "R", "tenure").otherwise("regular")
-    return as_double(teaching.teaching_summary(_load(tb), {"talent": F.col("dept"), "track": track}), "hours")
+    return as_double(teaching.teaching_summary(_load(tb, teaching.teaching_rows), {"talent": F.col("dept"), "track": track}), "hours")
 
 
 @query("""WITH s AS (SELECT DISTINCT n_regionkey AS college, p_type AS course_code, year(l_shipdate) || '-' || (year(l_shipdate) + 1) AS year,
