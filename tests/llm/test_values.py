@@ -371,3 +371,17 @@ def test_impure_templates_are_blocked(spark):
     assert got[2]["template"] == "/spam/*.html"
     assert {got[1000 + k]["template"] for k in range(26)} == {"/*/post"}  # many children: a wildcard
     assert {got[1000 + k]["verdict"] for k in range(26)} == {"allow"}
+
+
+@pytest.mark.parametrize("html, wanted", [
+    ("<main><p>A long main text stands here</p><article><p>Teaser</p></article></main>", "A long main text stands here\n\nTeaser"),
+    ("<body><p>One<br>two</p><pre>a\n  b</pre>tail <i>in</i>line", "One two\n\na b\n\ntail inline"),
+    ("<article><p>1 &lt; 2 &amp;amp; &#x41;&euro; &unknown; AT&T</p></article>", "1 < 2 &amp; A€ &unknown; AT&T"),
+    ("<article><p>cut <a href=\"x", "cut"), ("<article><p>a<!-- never closed <p>b", "a"), ("a < b and c > d", "a < b and c > d"),
+    ("<article><p>kept</p><div class='userComments'><p>gone</p></div><p hidden>gone</p><p style='display: none'>gone</p><p>kept</p></article>", "kept\n\nkept"),
+    ("<article><P>upper</P><SCRIPT>x</SCRIPT><noscript>y</noscript><select><option>z</select></article>", "upper"),
+    ("<div role=\"main\"><p>text</p></div><div role='complementary'>side</div>", "text"),
+    ("<article><p>adjacent</p><div class='shadow header-image'><p>stays</p></div></article>", "adjacent\n\nstays"),
+])
+def test_blocks_of_odd_pages(html, wanted):
+    assert "\n\n".join(html_text.page_blocks(html)[0]) == wanted
