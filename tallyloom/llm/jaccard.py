@@ -1,9 +1,9 @@
 """N-gram Jaccard join: MinHash banding finds candidates, full n-gram sets decide.
 
 Equal texts are folded into one node first.  Nodes that share the hash of any band are brought
-together (as a component of "same bucket as", so that nobody lists the pairs of a bucket) and every pair of a
-component is compared on the texts' whole n-gram sets.  A component too large for one task is cut into blocks, and each
-pair of blocks is compared by itself.
+together (as a component of "same bucket as", so that nobody lists the pairs of a bucket) and compared on the texts'
+whole n-gram sets.  A component too large for one task is cut into blocks; each pair of blocks is compared by itself,
+among the texts that share a bucket across it.
 """
 
 from __future__ import annotations
@@ -263,18 +263,37 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         yield compared(waiting)
 
 
+def comparisons(nodes: DataFrame, components: DataFrame) -> DataFrame:
+    """(node_key, least_id, node, copies, component, i, j, block): the pairs of blocks, i and j, in which a text is compared.
+
+    Every block meets itself.  A text goes to another block of its component only if a text there shares a bucket
+    with it: a group of near copies meets as a whole, while a component that is a long chain of loosely similar
+    texts costs its buckets and not its square.  A bucket brings a list of its blocks; it has all of them where a
+    group is large, and then the list is not carried on.
+    """
+    components = written(components)
+    weights = components.groupBy("component").agg(F.ceil(F.sum(F.col("size") + DOC_WEIGHT) / BLOCK_WEIGHT).alias("blocks"))
+    placed = written(components.join(weights, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    large = written(placed.where("blocks > 1").select("node", "block", "blocks"))  # written: mostly small, and then known to be
+    hashed = large.join(nodes.select("node", "bands"), "node").select("node", "block", "blocks", F.explode("bands").alias("band"))
+    spread = written(hashed.groupBy("band").agg(F.collect_set("block").alias("held")).where(F.size("held") > 1))
+    full = F.size("held") == F.col("blocks")
+    others = hashed.join(spread, "band").groupBy("node", "block", "blocks") \
+        .agg(F.max(full).alias("all"), F.flatten(F.collect_set(F.when(~full, F.col("held")))).alias("some")) \
+        .select("node", "block", F.explode(F.when(F.col("all"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+                                           .otherwise(F.array_distinct("some"))).alias("other")) \
+        .where("other <> block").select("node", "other")
+    met = placed.join(others, "node").unionByName(placed.withColumn("other", F.col("block")))
+    return met.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")) \
+        .select(F.col("key").alias("node_key"), "least_id", "node", "copies", "component", "i", "j", "block")
+
+
 def joined_nodes(docs: DataFrame, ident: str, text: str, threshold: float, recall: float, rows: int) -> tuple[DataFrame, DataFrame]:
     """(nodes, found): the distinct texts, and (node, label, text_links, doc_links) of those with links."""
     small_batches(docs.sparkSession)
     nodes = text_nodes(docs, ident, text, bands_for(threshold, recall, rows), rows)
     components = candidate_components(nodes).join(nodes.select("node", "key", "least_id", "copies", "size"), "node")
-    components = written(components)
-    weights = components.groupBy("component").agg(F.ceil(F.sum(F.col("size") + DOC_WEIGHT) / BLOCK_WEIGHT).alias("blocks"))
-    placed = components.join(weights, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # every block meets every block, itself included; a text goes along once for each
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")) \
-        .select(F.col("key").alias("node_key"), "least_id", "node", "copies", "component", "i", "j", "block")
+    met = comparisons(nodes, components)
     texts = docs.select(text_key(text), F.col(ident).cast("long").alias("own_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # never broadcast: the candidates grow with the corpus
     carried = texts.join(written(met).hint("merge"), (F.col("key") == F.col("node_key")) & F.col("own_id").eqNullSafe(F.col("least_id"))) \
