@@ -216,13 +216,12 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
 
     def numbers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "good": batch["good"],
-                                "numbers": [np.sort(f).astype(np.int32) for f in features(batch["text"])]})
+            found = [np.sort(f).astype(np.int32) for f in features(batch["text"])]
+            yield pd.DataFrame({"key": batch["key"], "good": batch["good"], "mark": [zlib.crc32(f.tobytes()) for f in found], "numbers": found})
 
-    found = rows.mapInPandas(numbers, "key long, good int, numbers array<int>").toPandas()
-    # repeated documents may exceed the bound: the first rows in hash order count
-    found["mark"] = [zlib.crc32(np.asarray(n, dtype=np.int32).tobytes()) for n in found["numbers"]]
-    found = found.sort_values(["key", "mark"]).head(max_rows) if len(found) > max_rows else found.sort_values("key")
+    # an id may stand in any number of rows: the first ones in hash order count
+    found = rows.mapInPandas(numbers, "key long, good int, mark long, numbers array<int>") \
+        .orderBy("key", "good", "mark").limit(max_rows).toPandas()
     return fit([np.asarray(n, dtype=np.int32) for n in found["numbers"]], found["good"].to_numpy() == 1)
 
 
