@@ -132,6 +132,16 @@ def test_classifier_on_held_out_labels(spark):
         assert sum(own) / len(own) > 0.97
 
 
+def test_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
+    rows = [(k % 3, f"text {k} of an id that many rows have") for k in range(600)]
+    learned = []
+    monkeypatch.setattr(classifier, "fit", lambda numbers, good: learned.append([n.tolist() for n in numbers]))
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 1)], "doc_id long, quality int")
+    for parts in (2, 5):
+        classifier.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts), labels, max_rows=20)
+    assert len(learned[0]) == 20 and learned[0] == learned[1]
+
+
 def test_descent_reaches_the_minimum():
     rows = [np.array([0]), np.array([1]), np.array([0, 2]), np.array([1, 2])]
     values = [np.ones(len(r)) for r in rows]
@@ -202,6 +212,23 @@ def test_links_against_brute_force(spark, docs, texts, monkeypatch):
     assert sorted(r["doc_id"] for r in jaccard.keep_one(frame).collect()) == sorted(set(label.values()))
 
 
+def test_a_long_chain_costs_its_buckets(spark, monkeypatch):
+    """Each text is like its neighbours only, yet all are one component of about a hundred blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_WEIGHT", 5_000)
+    chain = {k: " ".join(f"w{n}" for n in range(4 * k, 4 * k + 60)) for k in range(600)}
+    frame = spark.createDataFrame(list(chain.items()), "doc_id long, text string")
+    nodes = jaccard.text_nodes(frame, "doc_id", "text", 40, 7)
+    components = jaccard.candidate_components(nodes).join(nodes.select("node", "key", "least_id", "copies", "size"), "node")
+    met = jaccard.comparisons(nodes, components)
+    assert components.select("component").distinct().count() == 1
+    assert met.select("block").distinct().count() > 60
+    assert met.count() < 25 * len(chain)
+    links = brute_links(chain)
+    got = {r["doc_id"]: r for r in jaccard.near_duplicates(frame).collect()}
+    assert {k: r["class_id"] for k, r in got.items()} == classes(chain, links)
+    assert {k: r["n_links"] for k, r in got.items()} == {k: len(links[k]) for k in chain}
+
+
 def test_bands_meet_the_recall():
     for threshold, recall, rows in ((0.8, 0.9999, 7), (0.5, 0.99, 3)):
         bands = jaccard.bands_for(threshold, recall, rows)
