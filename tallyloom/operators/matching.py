@@ -97,10 +97,10 @@ def _grams(word: str, size: int) -> Column:
 def _rarest_inner_word(prepared: DataFrame, words: DataFrame, name_id: str) -> DataFrame:
     """Per name with inner words, the one found in the fewest texts."""
     inner = prepared.select(name_id, "_name", F.explode(F.array_distinct("_inner")).alias("_word"))
-    spread = (words.join(inner.select("_word").distinct(), "_word", "left_semi")
-              .groupBy("_word").agg(F.count("*").alias("_texts")))
+    # counted before they meet the names: a word that every text has is combined before its shuffle
+    spread = words.groupBy("_word").agg(F.count("*").alias("_texts")).join(inner.select("_word").distinct(), "_word", "left_semi")
     rarity = F.struct(F.coalesce("_texts", F.lit(0)), F.col("_word"))
-    return (inner.join(spread, "_word", "left").groupBy(name_id, "_name")
+    return (inner.join(scale.join_side(spread), "_word", "left").groupBy(name_id, "_name")
             .agg(F.min_by("_word", rarity).alias("_word")))
 
 
@@ -112,9 +112,10 @@ def _words_holding(short: DataFrame, words: DataFrame, name_id: str) -> DataFram
     short = short.withColumn("_piece", piece).withColumn("_n", F.least(F.length("_piece"), F.lit(GRAM)))
     sizes = [r["_n"] for r in short.select("_n").distinct().collect()]  # at most GRAM + 1 rows
     hashes = F.array_distinct(F.flatten(F.array(*[_grams("_word", n) for n in sizes])))
-    # few bytes but much work per word, so it is spread over all cores
-    cores = words.sparkSession.sparkContext.defaultParallelism
-    vocabulary = (words.select("_word").distinct().repartition(cores, "_word")
+    # few bytes but much work per word, so it is spread over all cores, and over more partitions where shuffles have more
+    spark = words.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    vocabulary = (words.select("_word").distinct().repartition(width, "_word")
                   .select("_word", F.explode_outer(hashes).alias("_gram")))
     keyed = short.withColumn("_gram", F.xxhash64("_n", F.left("_piece", "_n")))
     return (vocabulary.join(keyed, "_gram").filter(F.contains("_word", "_piece"))

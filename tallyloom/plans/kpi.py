@@ -1,4 +1,4 @@
-"""Indicator tables (D11, D12) and report chains."""
+"""Indicator tables (D11, D12), parameterised reports (X2) and report chains."""
 
 from __future__ import annotations
 
@@ -56,6 +56,18 @@ def report_chain(spark: SparkSession, reports: Mapping[str, Callable[[], DataFra
     return run_chain(spark, steps, f"{root}/_run_log", at)
 
 
+def parameterised_report(rows: DataFrame, params: Sequence[tuple[Column, object]], keys: Sequence[str],
+                         measures: Mapping[str, Column]) -> DataFrame:
+    """One report for many callers: each parameter is a column and the value asked for, None for all values.
+
+    The parameters become plain filters under the joins that made `rows`, so a report of one year reads that year.
+    """
+    for column, wanted in params:
+        if wanted is not None:
+            rows = rows.filter(column == F.lit(wanted))
+    return rows.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
+
+
 def kpi_rate(numerator: DataFrame, denominator: DataFrame, unit: str, id_col: str) -> DataFrame:
     """A rate indicator: distinct ids of the numerator over those of the denominator, in percent."""
     num = numerator.groupBy(unit).agg(F.count_distinct(id_col).alias("n"))

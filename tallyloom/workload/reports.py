@@ -92,21 +92,12 @@ def report_chain(tb: Tables) -> DataFrame:
     return log.join(sizes, "report")
 
 
-def order_report(tb: Tables, year: int, nation: int | None = None, priority: str | None = None) -> DataFrame:
-    """Order totals per customer for the parameters given, for all customers at once."""
-    rows = tb.orders.filter(F.year("o_orderdate") == year)
-    if priority is not None:
-        rows = rows.filter(F.col("o_orderpriority") == priority)
-    joined = rows.join(tb.customer, F.col("o_custkey") == F.col("c_custkey"))
-    if nation is not None:
-        joined = joined.filter(F.col("c_nationkey") == nation)
-    return joined.groupBy("c_custkey").agg(F.count("*").alias("n_orders"), F.max("o_orderkey").alias("last_order"))
-
-
 @query("""SELECT c_custkey, count(*) AS n_orders, max(o_orderkey) AS last_order FROM orders JOIN customer ON c_custkey = o_custkey
           WHERE year(o_orderdate) = 1997 AND o_orderpriority = '2-HIGH' GROUP BY 1""")
 def parameterised_report(tb: Tables) -> DataFrame:
-    return order_report(tb, year=1997, priority="2-HIGH")
+    rows = tb.orders.join(tb.customer, F.col("o_custkey") == F.col("c_custkey"))
+    params = [(F.year("o_orderdate"), 1997), (F.col("o_orderpriority"), "2-HIGH"), (F.col("c_nationkey"), None)]
+    return kpi.parameterised_report(rows, params, ["c_custkey"], {"n_orders": F.count("*"), "last_order": F.max("o_orderkey")})
 
 
 @query("""WITH cal AS (SELECT strftime(o_orderdate, '%Y') AS year, '1' AS term, min(CAST(o_orderdate AS DATE)) AS b,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tallyloom import scale
-from tallyloom.operators import joins as j
+from tallyloom.operators import joins as j, matching
 from tallyloom.operators import merge as m
 from tallyloom.operators import windows as w
 from tallyloom.operators.groups import concat_group
@@ -138,6 +138,16 @@ def test_a_hot_fact_key_is_split(spark, monkeypatch, skew_settings, join):
     assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()
 
 
+def test_words_are_combined_before_they_meet_names(spark, monkeypatch, skew_settings):
+    monkeypatch.setattr(scale, "join_side", lambda side: side)  # not written, so that one plan shows all
+    words = spark.range(1000).select("id", F.lit("the").alias("_word"))
+    names = spark.createDataFrame([(1, "in the end", ["the"])], "n int, _name string, _inner array<string>")
+    found = matching._rarest_inner_word(names, words, "n")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == [(1, "in the end", "the")]
+    assert plan.index("LeftSemi") < plan.index("count(1)")  # the count stands below the join
+
+
 def test_picks_are_trimmed_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = w.latest_per(df, "k", [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
