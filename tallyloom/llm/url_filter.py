@@ -8,10 +8,14 @@ rest of their parent are merged into it.  Templates whose smoothed purity is low
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import equal_keys
+from tallyloom.scale import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # (verdict, host and path); a rule fits its host and all subdomains if the path starts with the rule's
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -34,15 +38,11 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
     return rule, verdict
 
 
-DEPTH = 3
-
-
 def path_shape(path: Column) -> Column:
-    """The path as DEPTH segments at most with `*` for each run of digits, and `**` for all that lies deeper."""
+    """All segments of the path, with `*` for each run of digits."""
     segments = F.split(path, "/")  # the first is empty: paths begin with a slash
-    cut = F.transform(F.slice(segments, 2, DEPTH), lambda s: F.regexp_replace(s, "[0-9]+", "*"))
-    deeper = F.when(F.size(segments) > DEPTH + 1, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
-    return F.when(path == "", F.array().cast("array<string>")).otherwise(F.concat(cut, deeper))
+    named = F.transform(F.slice(segments, 2, F.size(segments)), lambda s: F.regexp_replace(s, "[0-9]+", "*"))
+    return F.when(path == "", F.array().cast("array<string>")).otherwise(named)
 
 
 def templates(shapes: DataFrame, max_children: int = 16, z_limit: float = 1.96, strength: float = 10.0) -> DataFrame:
@@ -52,40 +52,67 @@ def templates(shapes: DataFrame, max_children: int = 16, z_limit: float = 1.96,
     more than `max_children` different ones.  `purity` is the share of good pages in the branch a template
     belongs to after merging, smoothed with `strength` pages at its host's rate, which is itself
     smoothed with as many at the rate of all labelled pages.
+
+    The tree is walked to the full depth of the paths, one round per level, by the shapes whose node still
+    forks below; what a node's shapes all share needs no round.
+    """
+    rows = written(shapes.select("host", "shape", "labelled", "bad"))
+    all_rows = rows.agg(F.coalesce((F.sum("labelled") - F.sum("bad")) / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(1.0)))
+    ended = _leaves(rows, max_children, z_limit)
+    ended = ended.withColumn("template", F.concat_ws("/", F.lit(""), F.col("named"), _rest(F.col("shape"), F.size("named"))))
+    # the last level: paths that differ in a slash at their end only
+    last = ended.groupBy("host", "node", "template").agg(F.sum("labelled").alias("leaf_n"), F.sum("bad").alias("leaf_b"))
+    judged = _beside(ended, last, ["host", "node", "template"])
+    apart = _differs(F.col("leaf_b"), F.col("leaf_n"), F.col("node_b") - F.col("leaf_b"), F.col("node_n") - F.col("leaf_n"), z_limit)
+    n, b = F.when(apart, F.col("leaf_n")).otherwise(F.col("n")), F.when(apart, F.col("leaf_b")).otherwise(F.col("b"))
+    host_rate = (F.col("host_n") - F.col("host_b") + strength * all_rows.scalar()) / (F.col("host_n") + strength)
+    return judged.select("host", "shape", "template", "labelled", ((n - b + strength * host_rate) / (n + strength)).alias("purity"))
+
+
+def _rest(shape: Column, start: int | Column) -> Column:
+    """The segments of a shape from place `start` on."""
+    return F.slice(shape, start + 1, F.greatest(F.size(shape), F.lit(1)))
+
+
+def _beside(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on `keys`, null equal to null, that keeps one copy of them."""
+    renamed = side.withColumnsRenamed({k: f"{k}_at" for k in keys})
+    return rows.join(renamed, equal_keys(keys, [f"{k}_at" for k in keys])).drop(*[f"{k}_at" for k in keys])
+
+
+def _leaves(rows: DataFrame, max_children: int, z_limit: float) -> DataFrame:
+    """`rows` (host, shape, labelled, bad) at the end of their walk down the tree of their host.
+
+    Adds `node`, where the walk ended: below it all shapes are the same; `named`, the segments up to it with their wildcards;
+    the labels of the node, of the host and (`n`, `b`) of the deepest branch on the way that differs from the rest of its parent.
     """
-    tree = shapes.select("host", "shape", "labelled", "bad", *[F.get("shape", F.lit(d)).alias(f"s{d}") for d in range(DEPTH + 1)])
-    node = ["host"]
-    for d in range(DEPTH):
-        fan = tree.where(F.col(f"s{d}").isNotNull()).groupBy(*node, f"s{d}").agg(F.lit(1).alias("one")) \
-            .groupBy(*node).agg(F.count("*").alias("children")).where(F.col("children") > max_children) \
-            .select(*[F.col(k).alias(f"{k}_wide") for k in node])
-        wide = F.lit(True)
-        for k in node:
-            wide = wide & (F.col(k) == F.col(f"{k}_wide"))
-        tree = tree.join(fan, wide, "left")
-        name = F.when(F.col("host_wide").isNotNull() & F.col(f"s{d}").isNotNull(), F.lit("*")).otherwise(F.col(f"s{d}"))
-        tree = tree.withColumn(f"t{d}", F.coalesce(name, F.lit(""))).drop(*fan.columns)
-        node = [*node, f"t{d}"]
-    tree = tree.withColumn("template", F.concat_ws("/", F.lit(""), *[
-        F.when(F.col(f"s{d}").isNotNull(), F.col(f"t{d}")) for d in range(DEPTH)], F.col(f"s{DEPTH}")))
-    keys = ["host", *[f"t{d}" for d in range(DEPTH)], "template"]
-    merged = tree.groupBy(*keys).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    # after the wildcards a host has a bounded number of templates
-    levels = [keys[: d + 1] for d in range(DEPTH + 1)] + [keys]
-    for d, at in enumerate(levels):
-        w = Window.partitionBy(*at)
-        merged = merged.withColumn(f"n{d}", F.sum("labelled").over(w)).withColumn(f"b{d}", F.sum("bad").over(w))
-    n, b = F.col("n0"), F.col("b0")
-    for d in range(1, len(levels)):
-        differs = _differs(F.col(f"b{d}"), F.col(f"n{d}"), F.col(f"b{d - 1}") - F.col(f"b{d}"), F.col(f"n{d - 1}") - F.col(f"n{d}"), z_limit)
-        n, b = F.when(differs, F.col(f"n{d}")).otherwise(n), F.when(differs, F.col(f"b{d}")).otherwise(b)
-    all_rows = shapes.agg(F.coalesce((F.sum("labelled") - F.sum("bad")) / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(1.0)))
-    host_rate = (F.col("n0") - F.col("b0") + strength * all_rows.scalar()) / (F.col("n0") + strength)
-    judged = merged.withColumn("purity", (n - b + strength * host_rate) / (n + strength)).select(*[F.col(k).alias(f"{k}_at") for k in keys], "purity")
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"{k}_at"))
-    return tree.join(judged, on).select("host", "shape", "template", "labelled", "purity")
+    hosts = rows.groupBy("host").agg(F.sum("labelled").alias("host_n"), F.sum("bad").alias("host_b"))
+    at = _beside(rows, hosts, ["host"]).withColumns({
+        "node": F.lit(""), "named": F.array().cast("array<string>"), "node_n": F.col("host_n"), "node_b": F.col("host_b"), "n": F.col("host_n"), "b": F.col("host_b")})
+    kept, ended, d = at.columns, [], 0
+    at = written(at)
+    while True:
+        at = at.withColumn("segment", F.get("shape", F.lit(d)))
+        children = at.groupBy("host", "node", "segment").agg(
+            F.sum("labelled").alias("child_n"), F.sum("bad").alias("child_b"),
+            F.min(_rest(F.col("shape"), d + 1)).alias("low"), F.max(_rest(F.col("shape"), d + 1)).alias("high"))
+        fans = children.groupBy("host", "node").agg(F.count("segment").alias("children"))
+        name = F.when((F.col("children") > max_children) & F.col("segment").isNotNull(), F.lit("*")).otherwise(F.coalesce("segment", F.lit("")))
+        children = _beside(children, fans, ["host", "node"]).withColumn("name", name)
+        branches = children.groupBy("host", "node", "name").agg(
+            F.sum("child_n").alias("branch_n"), F.sum("child_b").alias("branch_b"), (F.min("low") == F.max("high")).alias("same"))
+        placed = _beside(children.select("host", "node", "segment", "name"), branches, ["host", "node", "name"])
+        apart = _differs(F.col("branch_b"), F.col("branch_n"), F.col("node_b") - F.col("branch_b"), F.col("node_n") - F.col("branch_n"), z_limit)
+        stepped = _beside(at, placed, ["host", "node", "segment"]).withColumns({
+            "n": F.when(apart, F.col("branch_n")).otherwise(F.col("n")), "b": F.when(apart, F.col("branch_b")).otherwise(F.col("b")),
+            "node": F.concat("node", F.lit("/"), "name"), "node_n": F.col("branch_n"), "node_b": F.col("branch_b"),
+            "named": F.when(F.col("segment").isNotNull(), F.concat("named", F.array("name"))).otherwise(F.col("named"))})
+        moved = written(stepped.select(*kept, "same"))
+        ended.append(moved.where("same").drop("same"))
+        at = moved.where("NOT same").drop("same")
+        if at.isEmpty():
+            return reduce(DataFrame.unionAll, ended)
+        d += 1
 
 
 def _differs(bad: Column, n: Column, bad_rest: Column, n_rest: Column, limit: float) -> Column:

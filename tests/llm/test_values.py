@@ -400,6 +400,21 @@ def test_impure_templates_are_blocked(spark):
     assert {got[1000 + k]["verdict"] for k in range(26)} == {"allow"}
 
 
+def test_urls_are_judged_to_their_full_depth(spark):
+    """Branches that differ in the fifth segment only, and one long path beside them."""
+    from tallyloom.llm import url_filter
+
+    pages = [(k, f"https://deep.example.net/a/b/c/d/{('news', 'spam')[k % 2]}/{k}") for k in range(80)]
+    pages.append((80, "https://deep.example.net/a/b/c/d/news/" + "/".join("xyz" * 100)))
+    labels = [(k, 1 - k % 2, 0) for k in range(80)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    known = url_filter.document_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["page_id"]: r for r in url_filter.filter_urls(frame, known).collect()}
+    assert all(got[k]["verdict"] == ("allow", "block")[k % 2] for k in range(80))
+    assert got[1]["template"] == "/a/b/c/d/spam/*" and got[0]["template"] == "/a/b/c/d/news/*"
+    assert got[80]["verdict"] == "allow" and got[80]["template"] == got[80]["path"]
+
+
 @pytest.mark.parametrize("html, wanted", [
     ("<main><p>A long main text stands here</p><article><p>Teaser</p></article></main>", "A long main text stands here\n\nTeaser"),
     ("<body><p>One<br>two</p><pre>a\n  b</pre>tail <i>in</i>line", "One two\n\na b\n\ntail inline"),
