@@ -1,7 +1,7 @@
 """URL filters: fixed rules by host and path, and a path-template tree judged by labelled purity.
 
 Paths are generalised into templates: digits become a wildcard, and so does a segment whose place in the
-tree has many different values.  Branches whose labelled share of bad pages does not differ from that of the
+tree has many different values, except for values that the labels tell from the others.  Branches whose labelled share of bad pages does not differ from that of the
 rest of their parent are merged into it.  Templates whose smoothed purity is low are blocked.
 """
 
@@ -48,8 +48,10 @@ def path_shape(path: Column) -> Column:
 def templates(shapes: DataFrame, max_children: int = 16, z_limit: float = 1.96, strength: float = 10.0) -> DataFrame:
     """(host, shape, template, labelled, purity) from `shapes` (host, shape, pages, labelled, bad).
 
-    `shapes` has a row per host and path shape.  A segment becomes a wildcard where its parent in the tree has
-    more than `max_children` different ones.  `purity` is the share of good pages in the branch a template
+    `shapes` has a row per host and path shape.  Where a parent in the tree has more than `max_children` different
+    segments, those become one wildcard that have fewer than `strength` labelled pages or do not differ from
+    their siblings, neither themselves nor by a branch below; the others stay, however many they are.  The wildcard is
+    `*`, or `?` where the digits' `*` stays beside it.  `purity` is the share of good pages in the branch a template
     belongs to after merging, smoothed with `strength` pages at its host's rate, which is itself
     smoothed with as many at the rate of all labelled pages.
 
@@ -58,7 +60,8 @@ def templates(shapes: DataFrame, max_children: int = 16, z_limit: float = 1.96,
     """
     rows = written(shapes.select("host", "shape", "labelled", "bad"))
     all_rows = rows.agg(F.coalesce((F.sum("labelled") - F.sum("bad")) / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(1.0)))
-    ended = _leaves(rows, max_children, z_limit)
+    # first without wildcards, for the depth down to which labels tell a shape's branches apart
+    ended = _leaves(_leaves(rows.withColumn("told", F.lit(0)), None, z_limit, strength), max_children, z_limit, strength)
     ended = ended.withColumn("template", F.concat_ws("/", F.lit(""), F.col("named"), _rest(F.col("shape"), F.size("named"))))
     # the last level: paths that differ in a slash at their end only
     last = ended.groupBy("host", "node", "template").agg(F.sum("labelled").alias("leaf_n"), F.sum("bad").alias("leaf_b"))
@@ -80,12 +83,14 @@ def _beside(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(renamed, equal_keys(keys, [f"{k}_at" for k in keys])).drop(*[f"{k}_at" for k in keys])
 
 
-def _leaves(rows: DataFrame, max_children: int, z_limit: float) -> DataFrame:
-    """`rows` (host, shape, labelled, bad) at the end of their walk down the tree of their host.
+def _leaves(rows: DataFrame, max_children: int | None, z_limit: float, least: float) -> DataFrame:
+    """`rows` (host, shape, labelled, bad, told) at the end of their walk down the tree of their host.
 
     Adds `node`, where the walk ended: below it all shapes are the same; `named`, the segments up to it with their wildcards;
     the labels of the node, of the host and (`n`, `b`) of the deepest branch on the way that differs from the rest of its parent.
+    `told` becomes the number of segments of the deepest branch that differs and has `least` labelled pages.
     """
+    rows = rows.select("host", "shape", "labelled", "bad", "told")
     hosts = rows.groupBy("host").agg(F.sum("labelled").alias("host_n"), F.sum("bad").alias("host_b"))
     at = _beside(rows, hosts, ["host"]).withColumns({
         "node": F.lit(""), "named": F.array().cast("array<string>"), "node_n": F.col("host_n"), "node_b": F.col("host_b"), "n": F.col("host_n"), "b": F.col("host_b")})
@@ -95,9 +100,14 @@ def _leaves(rows: DataFrame, max_children: int, z_limit: float) -> DataFrame:
         at = at.withColumn("segment", F.get("shape", F.lit(d)))
         children = at.groupBy("host", "node", "segment").agg(
             F.sum("labelled").alias("child_n"), F.sum("bad").alias("child_b"),
-            F.min(_rest(F.col("shape"), d + 1)).alias("low"), F.max(_rest(F.col("shape"), d + 1)).alias("high"))
-        fans = children.groupBy("host", "node").agg(F.count("segment").alias("children"))
-        name = F.when((F.col("children") > max_children) & F.col("segment").isNotNull(), F.lit("*")).otherwise(F.coalesce("segment", F.lit("")))
+            F.min(_rest(F.col("shape"), d + 1)).alias("low"), F.max(_rest(F.col("shape"), d + 1)).alias("high"),
+            F.max("told").alias("deepest"), F.first("node_n").alias("all_n"), F.first("node_b").alias("all_b"))
+        own = (F.col("child_n") >= least) & ((F.col("deepest") > d + 1) | _differs(
+            F.col("child_b"), F.col("child_n"), F.col("all_b") - F.col("child_b"), F.col("all_n") - F.col("child_n"), z_limit))
+        children = children.withColumn("own", own)
+        fans = children.groupBy("host", "node").agg(F.count("segment").alias("children"), F.max(F.col("own") & F.col("segment").eqNullSafe("*")).alias("digits"))
+        wide = F.lit(False) if max_children is None else (F.col("children") > max_children) & F.col("segment").isNotNull() & ~F.col("own")
+        name = F.when(wide, F.when(F.col("digits"), F.lit("?")).otherwise(F.lit("*"))).otherwise(F.coalesce("segment", F.lit("")))
         children = _beside(children, fans, ["host", "node"]).withColumn("name", name)
         branches = children.groupBy("host", "node", "name").agg(
             F.sum("child_n").alias("branch_n"), F.sum("child_b").alias("branch_b"), (F.min("low") == F.max("high")).alias("same"))
@@ -105,6 +115,7 @@ def _leaves(rows: DataFrame, max_children: int, z_limit: float) -> DataFrame:
         apart = _differs(F.col("branch_b"), F.col("branch_n"), F.col("node_b") - F.col("branch_b"), F.col("node_n") - F.col("branch_n"), z_limit)
         stepped = _beside(at, placed, ["host", "node", "segment"]).withColumns({
             "n": F.when(apart, F.col("branch_n")).otherwise(F.col("n")), "b": F.when(apart, F.col("branch_b")).otherwise(F.col("b")),
+            "told": F.when(apart & (F.col("branch_n") >= least), F.greatest("told", F.lit(d + 1))).otherwise(F.col("told")),
             "node": F.concat("node", F.lit("/"), "name"), "node_n": F.col("branch_n"), "node_b": F.col("branch_b"),
             "named": F.when(F.col("segment").isNotNull(), F.concat("named", F.array("name"))).otherwise(F.col("named"))})
         moved = written(stepped.select(*kept, "same"))

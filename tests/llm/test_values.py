@@ -415,6 +415,38 @@ def test_urls_are_judged_to_their_full_depth(spark):
     assert got[80]["verdict"] == "allow" and got[80]["template"] == got[80]["path"]
 
 
+def test_a_bad_section_among_many_stays_a_branch(spark):
+    """Hosts with 15 and with 40 other sections; one section is bad, one has a bad half, most have few labels."""
+    from tallyloom.llm import url_filter
+
+    pages, labels = [], []
+
+    def add(host, path, bad):
+        k = len(pages)
+        pages.append((k, f"https://{host}.example.net/{path}/{k}", bad))
+        labels.append((k, 1 - bad, 0))
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for host, others in (("narrow", 14), ("wide", 40)):
+        for j in range(others):
+            for _ in range(12 if j < 10 else 2):
+                add(host, f"sec{letters[j // 26]}{letters[j % 26]}/x", 0)
+        for _ in range(60):
+            add(host, "spam/x", 1)
+        for k in range(80):
+            add(host, f"mixed/{('x', 'y')[k % 2]}", k % 2)
+    for j in range(30):  # the digits differ from the many names beside them
+        add("digits", f"n{letters[j % 26]}{letters[j // 26]}", 0)
+    for _ in range(40):
+        add("digits", "7", 1)
+    frame = spark.createDataFrame([p[:2] for p in pages], "page_id long, url string")
+    known = url_filter.document_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["page_id"]: r for r in url_filter.filter_urls(frame, known).collect()}
+    assert [k for k, _, bad in pages if (got[k]["verdict"] == "block") != bool(bad)] == []
+    named = {(r["host"].split(".")[0], r["template"]) for r in got.values()}
+    assert {("wide", "/spam/x/*"), ("wide", "/mixed/y/*"), ("wide", "/*/x/*"), ("digits", "/*/*"), ("digits", "/?/*")} <= named
+
+
 @pytest.mark.parametrize("html, wanted", [
     ("<main><p>A long main text stands here</p><article><p>Teaser</p></article></main>", "A long main text stands here\n\nTeaser"),
     ("<body><p>One<br>two</p><pre>a\n  b</pre>tail <i>in</i>line", "One two\n\na b\n\ntail inline"),
