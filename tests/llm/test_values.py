@@ -459,3 +459,22 @@ def test_a_bad_section_among_many_stays_a_branch(spark):
 ])
 def test_blocks_of_odd_pages(html, wanted):
     assert "\n\n".join(html_text.page_blocks(html)[0]) == wanted
+
+
+@pytest.mark.parametrize("names", ['class="overflow-hidden"', 'class="has-sidebar"', 'class="content no-comments"', 'id="search-result"', 'class="sidebar"', 'class="modal"'])
+def test_wrappers_of_an_article_are_no_furniture(names):
+    page = f"<body><div {names}><div {names}><article><h1>Title</h1><p>The text</p></article></div></div><div class='widget'>gone</div></body>"
+    assert html_text.page_blocks(page) == (["Title", "The text"], True)
+
+
+@pytest.mark.parametrize("html, wanted", [
+    ("<div class='overflow-hidden'><p>kept</p></div><div class='content no-comments'>too</div><div id='search-result'>and this</div>", "kept\n\ntoo\n\nand this"),
+    ("<article class='post no-comments'><p>kept</p></article>", "kept"),
+    ("<form id='all'><article><p>kept</p></article></form><div hidden><article>gone</article></div>", "kept"),
+    ("<p>kept</p><div class='post-comments'>gone</div><div class='sidebar-inner'>gone</div><div class='search-form'>gone</div><div id='mainMenu'>gone</div>", "kept"),
+    ("<div class='sidebar'><article>A teaser</article></div><article><p>The article itself</p></article>", "The article itself"),
+    ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><object>a <b>fallback</b></object><map><p>areas</p></map></article>",
+     "where x=1 holds\n\na fallback\n\nareas"),
+])
+def test_names_that_hold_a_word_of_furniture(html, wanted):
+    assert "\n\n".join(html_text.page_blocks(html)[0]) == wanted
