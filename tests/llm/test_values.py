@@ -294,6 +294,34 @@ def test_pages_without_an_article_are_differenced(spark):
         assert got[200].startswith("Welcome")
 
 
+def test_frames_are_found_across_runs_of_copies_and_on_short_pages(spark):
+    def body(text):
+        return f"<body><div>Welcome to the site of the house</div>{text}<div>Read more stories of today</div></body>"
+
+    long = "<p>A long story that is told on many pages of this host, word for word and line by line, again and again</p><p>And it ends here</p>"
+    story = "A long story that is told on many pages of this host, word for word and line by line, again and again\n\nAnd it ends here"
+    pages = [(0, "http://runs.example/a", body("<p>One thing happened early in the day</p>"))]
+    pages += [(1 + k, f"http://runs.example/x?page={k}", body(long)) for k in range(20)]  # the same lines
+    pages += [(21 + k, f"http://runs.example/x{k:02}", body(long + f"<p>Seen {k} times</p>")) for k in range(60)]  # nearly
+    frame_text = "".join(f"<div>Item {w} of a long menu that every page has</div>" for w in "abcdefghijklmnopqrstuvwxyz")
+    words = ["red apples grow on old trees", "many ships sail over cold seas", "his brother plays loud music daily", "snow fell all night in town"]
+    pages += [(100 + k, f"http://short.example/{k}", f"<body>{frame_text}<p>{w}</p></body>") for k, w in enumerate(words)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    coalesce, shuffled = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.shuffle.partitions")
+    for slices in (1, 29):  # runs of copies span many slices
+        spark.conf.set(coalesce, "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(slices))
+        try:
+            got = {r["page_id"]: r["text"] for r in html_text.main_texts(frame.repartition(7)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+            spark.conf.unset(coalesce)
+        assert got[0] == "One thing happened early in the day"
+        assert all(got[1 + k] == story for k in range(20))
+        assert all(got[21 + k] == f"{story}\n\nSeen {k} times" for k in range(60))
+        assert [got[100 + k] for k in range(4)] == words
+
+
 def test_common_positions_are_longest():
     draw = np.random.default_rng(4)
     for _ in range(300):
