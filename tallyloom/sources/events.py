@@ -91,15 +91,23 @@ def recorded_hours(ledger: DataFrame, n: int = 2) -> list[tuple[str, str]]:
     return [(r["day"], r["hr"]) for r in hours.collect()]  # n rows
 
 
-def hours_glob(ledger: DataFrame, max_hours: int = 24, rescan: int = 2) -> str:
-    """The hour directories worth listing: those to rescan and the `max_hours` after the newest."""
+def hours_glob(ledger: DataFrame, max_hours: int = 24, rescan: int = 2, root: str | None = None, topic: str | None = None) -> str:
+    """The hour directories worth listing: those to rescan and the `max_hours` after the newest.
+
+    With `root` and `topic` these are listed, and if they hold no file that the ledger lacks, all hours are worth
+    listing: a pause may have been longer.  Without them the glob cannot see past a pause of more than `max_hours`.
+    """
     again = recorded_hours(ledger, rescan)
     if not again:
         return "*/*/*/*"
     newest = dt.datetime.strptime(" ".join(again[0]), "%Y-%m-%d %H")
     ahead = [newest + dt.timedelta(hours=n) for n in range(1, max_hours + 1)]
     names = [f"{d.replace('-', '/')}/{h}" for d, h in again] + [a.strftime("%Y/%m/%d/%H") for a in ahead]
-    return "{" + ",".join(names) + "}"
+    window = "{" + ",".join(names) + "}"
+    if root is None or topic is None:
+        return window
+    unseen = list_files(ledger.sparkSession, root, topic, window).join(ledger.select("file"), "file", "left_anti")
+    return "*/*/*/*" if unseen.isEmpty() else window
 
 
 def hour_stamp(day: Column | str, hr: Column | str) -> Column:

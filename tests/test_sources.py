@@ -80,6 +80,23 @@ def test_a_long_pause_does_not_stall_the_flow(spark):
     assert rows(ev.select_new_files(files, ledger, max_hours=24).select("file")) == [("new",)]
 
 
+def test_files_after_a_long_pause_are_listed_and_taken(spark, tmp_path):
+    root = str(tmp_path)
+    for path in ["01/10/a", "01/11/a", "01/11/late", "05/07/new", "05/08/next", "09/07/later"]:
+        put(root, f"t/2024/01/{path}", ["x"])
+    name = F.substring_index("file", "/", -3)
+    found = ev.list_files(spark, "file:" + root, "t")
+    write_ledger(file_ledger_rows(found.filter(name.isin("01/10/a", "01/11/a")), "f", "1", NOW), root + "/ledger")
+    taken = []
+    for _ in range(3):
+        ledger = spark.read.parquet(root + "/ledger")
+        near = ev.list_files(spark, "file:" + root, "t", ev.hours_glob(ledger, max_hours=24, root="file:" + root, topic="t"))
+        chosen = ev.select_new_files(near, ledger, max_hours=24)
+        taken.append([n for n, in rows(chosen.select(name))])
+        write_ledger(file_ledger_rows(chosen, "f", "1", NOW), root + "/ledger")
+    assert taken == [["01/11/late"], ["05/07/new", "05/08/next"], ["09/07/later"]]
+
+
 def ev_ledger(spark):
     return spark.createDataFrame([("old", NOW, "2024-01-01", "00", "f", "1", "INSERT")], FILE_LEDGER)
 
