@@ -57,17 +57,26 @@ def _unit(ident: str, source: str, text: str, seed: int) -> dict[str, Column]:
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", ident: str = "doc_id",
         cycle: tuple[float, ...] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
-    """A row per distinct (doc_id, source, size, key): how many rows are alike (`n_alike`), and `copies` of each.
+    """A row per distinct (doc_id, source, size, key) and `copies`: how many rows are alike (`n_alike`), and `copies` of each.
 
     `copies` is how often the mix takes the whole document: the full epochs of its source, plus one if its
     middle lies before the cut in the last, partial epoch.  A source so comes within half a document of its
     target, and no document is taken more than `max_epochs` times (rounded up).
 
     Null texts count as empty (size 0); a null source is a source of its own, placed last.  Rows alike in
-    id, source and text are dealt together, so repeated rows share one decision.  A source without words
+    id, source and text lie next to each other; where the cut falls among them, some get one copy more than the others.  A source without words
     has target 0 and its documents are not taken.  An empty table gives an empty result.  Other columns
     of `docs` are not read.
     """
+    dealt = _dealt(docs, source, text, ident, cycle, max_epochs, seed)
+    shares = F.array(F.struct(F.col("extra").alias("n_alike"), (F.col("epochs") + 1).alias("copies")),
+                     F.struct((F.col("n_alike") - F.col("extra")).alias("n_alike"), F.col("epochs").alias("copies")))
+    return dealt.withColumn("share", F.explode(F.filter(shares, lambda x: x["n_alike"] > 0))) \
+        .select(*ALIKE, "share.n_alike", "source_size", "target", "share.copies")
+
+
+def _dealt(docs: DataFrame, source: str, text: str, ident: str, cycle: tuple[float, ...], max_epochs: float, seed: int) -> DataFrame:
+    """A row per unit of rows alike: each is taken `epochs` times, `extra` of the `n_alike` once more; see `mix`."""
     # the texts are read once; all that follows works on these few bytes a row
     narrow = written(docs.select(*[e.alias(c) for c, e in _unit(ident, source, text, seed).items()]).groupBy(*ALIKE).agg(F.count("*").alias("n_alike"))
                      .withColumn("words", F.col("size") * F.col("n_alike")))
@@ -77,9 +86,11 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", ident: str
     sides = targets.select(F.col("source").alias("source_at"), "source_size", "target")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - epochs * F.col("source_size")
-    copies = epochs.cast("long") + (F.col("before") + F.col("words") / 2 < rest).cast("long")
+    # rows of the unit whose middle lies before the cut
+    fitting = F.when(F.col("size") > 0, F.ceil((rest - F.col("before")) / F.col("size") - 0.5)).otherwise(F.when(F.col("before") < rest, F.col("n_alike")).otherwise(0))
+    extra = F.coalesce(F.greatest(F.lit(0), F.least(F.col("n_alike"), fitting)), F.lit(0)).cast("long")
     return placed.join(sides, F.col("source").eqNullSafe(F.col("source_at")), "left") \
-        .select(*ALIKE, "n_alike", "source_size", "target", copies.alias("copies"))
+        .select(*ALIKE, "n_alike", "source_size", "target", epochs.cast("long").alias("epochs"), extra.alias("extra"))
 
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
@@ -94,10 +105,23 @@ def mixed_documents(docs: DataFrame, source: str = "source", text: str = "text",
 
     A document without words is kept once: it costs its source nothing.
     """
-    plan = written(mix(docs, source, text, ident, cycle, max_epochs, seed).select(
-        *[F.col(c).alias(f"_mix_{c}") for c in ALIKE], F.col("copies").alias("_mix_copies")))
+    own, mixed = [f"_own_{c}" for c in ALIKE], [f"_mix_{c}" for c in ALIKE]
+    split = (F.col("extra") > 0) & (F.col("extra") < F.col("n_alike"))
+    plan = written(_dealt(docs, source, text, ident, cycle, max_epochs, seed).select(
+        *[F.col(c).alias(f"_mix_{c}") for c in ALIKE],
+        (F.col("epochs") + (F.col("extra") == F.col("n_alike")).cast("long")).alias("_mix_copies"), F.when(split, F.col("extra")).otherwise(0).alias("_mix_extra")))
     keyed = docs.withColumns({f"_own_{c}": e for c, e in _unit(ident, source, text, seed).items()})
+    placed = keyed.join(plan, equal_keys(own, mixed), "left")
+    halved = plan.where("_mix_extra > 0")
+    if not halved.isEmpty():  # at most one unit a source: the rows are numbered where they lie, and the first get the copy more
+        rows = written(keyed.join(halved, equal_keys(own, mixed)).withColumn("_mix_part", F.spark_partition_id()))
+        counts = rows.groupBy(*mixed, "_mix_part").agg(F.count("*").alias("_mix_rows"))
+        earlier = Window.partitionBy(*mixed).orderBy("_mix_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(*[F.col(c).alias(f"{c}_at") for c in [*mixed, "_mix_part"]], F.coalesce(F.sum("_mix_rows").over(earlier), F.lit(0)).alias("_mix_before"))
+        number = F.row_number().over(Window.partitionBy(*mixed, "_mix_part").orderBy(F.lit(0)))
+        numbered = rows.withColumn("_mix_number", number).join(starts, equal_keys([*mixed, "_mix_part"], [f"{c}_at" for c in [*mixed, "_mix_part"]]))
+        more = (F.col("_mix_before") + F.col("_mix_number") <= F.col("_mix_extra")).cast("long")
+        placed = placed.where("_mix_extra = 0").unionByName(numbered.withColumn("_mix_copies", F.col("_mix_copies") + more).select(*placed.columns))
     times = F.when(F.col("_own_size") == 0, F.lit(1)).otherwise(F.col("_mix_copies")).cast("int")
-    return keyed.join(plan, equal_keys([f"_own_{c}" for c in ALIKE], [f"_mix_{c}" for c in ALIKE]), "left") \
-        .withColumn("_mix_times", times).where("_mix_times > 0") \
+    return placed.withColumn("_mix_times", times).where("_mix_times > 0") \
         .withColumn("_mix_nth", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)

@@ -409,6 +409,21 @@ def test_pipeline_against_brute_force(spark):
     assert all(r["n_tokens"] == len(WORD.findall(texts[r["doc_id"]])) + 1 <= r["bucket_len"] for r in got)
 
 
+def test_a_cut_among_repeated_rows_is_exact(spark):
+    rows = [(None, "the same five words here", "a", k) for k in range(300)] + [(k, f"another text of five {k}", "b", k) for k in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, mark int").repartition(5)
+    dealt = mixing.mix_rows(frame).collect()
+    assert len(dealt) == 400
+    got = mixing.mixed_documents(frame).collect()
+    for source in "ab":
+        taken, target = sum(r["taken"] for r in dealt if r["source"] == source), [r["target"] for r in dealt if r["source"] == source][0]
+        assert abs(taken - target) <= 2.5
+        assert 5 * sum(r["source"] == source for r in got) == taken
+    copies = collections.Counter(r["mark"] for r in got if r["source"] == "a")
+    wanted = collections.Counter(r["copies"] for r in dealt if r["source"] == "a" and r["copies"])
+    assert len(wanted) <= 2 and collections.Counter(copies.values()) == wanted
+
+
 def test_impure_templates_are_blocked(spark):
     """One branch of a host is bad, the others are good and merge; a host without labels follows the rest."""
     from tallyloom.llm import url_filter
