@@ -20,6 +20,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of at most BATCH_ROWS rows and about BATCH_BYTES bytes, one row at least, however long the texts."""
+    small_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that `df` does not use, whatever columns its owner added."""
     taken = {c.lower() for c in df.columns}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
+from tallyloom.llm import classifier, fill_middle, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -70,8 +70,15 @@ def op10_rules(spark: SparkSession, root: str) -> DataFrame:
     return weak_rules.judged(_table(spark, root, "documents"))
 
 
+def op12_fill(spark: SparkSession, root: str) -> DataFrame:
+    cut = fill_middle.fill_middle(_table(spark, root, "documents"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_html": op3_html, "op4_calls": op4_calls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
+    "op12_fill": op12_fill,
 }
 ORACLE_SQL: dict[str, str] = {}
 
@@ -170,6 +177,25 @@ SELECT page_id, host, path, rule, template,
 FROM ruled
 """
 
+# The same cuts by substr, which counts code points.
+ORACLE_SQL["op12_fill"] = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (
+  SELECT *, substr(text, 1, least(a, b)) AS prefix, substr(text, least(a, b) + 1, greatest(a, b) - least(a, b)) AS middle,
+         substr(text, greatest(a, b) + 1) AS suffix FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM parts
+"""
+
 
 def _differs_sql(text: str) -> str:
     """Writes out DIFFERS(bad, n, bad of the parent, n of the parent): the pooled test of a branch against the rest."""
