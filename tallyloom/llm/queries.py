@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, fill_middle, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
+from tallyloom.llm import classifier, fill_middle, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, turn_repair, url_filter, weak_rules
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -76,9 +76,33 @@ def op12_fill(spark: SparkSession, root: str) -> DataFrame:
                       F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"))
 
 
+def damaged(chat: DataFrame) -> DataFrame:
+    """`conversations` with a fifth of the messages spoilt, by a checksum of conversation and turn; nulls become one space."""
+    blank = F.lit(" ")
+    draw = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))) % 20
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    spoilt = chat.select("conv_id", "turn", draw.alias("draw"), role.alias("role"), text.alias("text")).where("draw <> 0")
+    return spoilt.select(
+        "conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("draw") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def op13_repair(spark: SparkSession, root: str) -> DataFrame:
+    chat = _table(spark, root, "conversations")
+    fixed = turn_repair.repair(damaged(chat))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = fixed.report.select(F.col("conv_id").alias("c"), *counts, "audit")
+    digests = turn_repair.text_digests(fixed.messages).withColumnRenamed("conv_id", "d")
+    every = chat.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("d")), "left") \
+        .select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_html": op3_html, "op4_calls": op4_calls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
-    "op12_fill": op12_fill,
+    "op12_fill": op12_fill, "op13_repair": op13_repair,
 }
 ORACLE_SQL: dict[str, str] = {}
 
@@ -196,6 +220,87 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
 FROM parts
 """
 
+# CRC-32 of the bytes of an ASCII text, which DuckDB lacks: a table of 256 remainders, then a byte at a time.
+CRC32 = r"""
+crec AS (
+  SELECT [list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS crc_table)"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the SQL expression; `crc_table` must be in scope."""
+    steps = f"list_reduce(list_prepend(4294967295, [ascii(x)::BIGINT FOR x IN string_split({text}, '')]), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))"
+    return f"xor({steps}, 4294967295)"
+
+
+def _best_sql(after: str) -> dict[str, str]:
+    """Least costs before a message, from those after it (columns {after}0 to {after}3), before insertions."""
+    a = [f"{after}{q}" for q in range(4)]
+    stays = "(fault < 2)"
+    to_user = f"{a[2]} + fault + (CASE WHEN kind = 'u' THEN 0 ELSE 2 END)"
+    return {
+        "b0": f"least({a[0]} + 3, CASE WHEN {stays} THEN {to_user} ELSE 999999999 END, CASE WHEN {stays} AND kind = 's' THEN {a[1]} + fault ELSE 999999999 END)",
+        "b1": f"least({a[1]} + 3, CASE WHEN {stays} THEN {to_user} ELSE 999999999 END)",
+        "b2": f"least({a[2]} + 3, CASE WHEN {stays} THEN {a[3]} + fault + (CASE WHEN kind = 'a' THEN 0 ELSE 2 END) ELSE 999999999 END)",
+        "b3": f"least({a[3]} + 3, CASE WHEN {stays} THEN {to_user} ELSE 999999999 END)"}
+
+
+_B = _best_sql("c")
+# One pass backward over all vectors, one forward through the least letters; the vectors of a conversation fit a recursive query.
+ORACLE_SQL["op13_repair"] = rf"""
+WITH RECURSIVE {CRC32.strip()},
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS d FROM conversations, crec),
+spoilt AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN d = 3 THEN [0, 1] ELSE [0] END) AS copy FROM drawn WHERE d <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         regexp_replace(text, '[ 	-]+\z', '') AS bare FROM spoilt),
+coded AS (
+  SELECT *, left(role, 1) AS kind, CASE WHEN bare = '' THEN 2 WHEN seen > 1 THEN 3 WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+         row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM placed),
+backward AS (
+  SELECT conv_id, max(i) + 1 AS i, 0::BIGINT AS c0, 4::BIGINT AS c1, 2::BIGINT AS c2, 0::BIGINT AS c3 FROM coded GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, least(b0, b2 + 2, b3 + 4), least(b1, b2 + 2, b3 + 4), least(b2, b3 + 2), least(b3, b2 + 2)
+  FROM (SELECT b.conv_id, c.i, {_B["b0"]} AS b0, {_B["b1"]} AS b1, {_B["b2"]} AS b2, {_B["b3"]} AS b3
+        FROM backward b JOIN coded c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.i = b.i - 1)),
+costs AS (SELECT conv_id, i, [c0, c1, c2, c3] AS c FROM backward),
+steps AS (
+  SELECT h.conv_id, h.i, h.c AS here, n.c AS after, m.kind, m.fault, m.role, m.text FROM costs h
+  LEFT JOIN costs n ON n.conv_id IS NOT DISTINCT FROM h.conv_id AND n.i = h.i + 1
+  LEFT JOIN coded m ON m.conv_id IS NOT DISTINCT FROM h.conv_id AND m.i = h.i),
+forward AS (
+  SELECT DISTINCT conv_id, 1::BIGINT AS i, 0 AS q, '' AS audit, []::VARCHAR[] AS lines, false AS over FROM coded
+  UNION ALL
+  SELECT f.conv_id, CASE WHEN e IN ('D', 'K', 'R') THEN f.i + 1 ELSE f.i END, CASE e WHEN 'D' THEN q WHEN 'K' THEN kept WHEN '.' THEN q ELSE nxt END,
+         CASE WHEN e = '.' THEN audit ELSE audit || e END,
+         CASE e WHEN 'K' THEN list_append(lines, role || ':' || text) WHEN 'R' THEN list_append(lines, made || ':' || text)
+                WHEN 'I' THEN list_append(lines, made || ':') ELSE lines END, e = '.'
+  FROM (SELECT g.*, CASE WHEN after IS NULL THEN (CASE WHEN q IN (0, 3) THEN '.' ELSE 'I' END)
+                    WHEN here[q + 1] = after[q + 1] + 3 THEN 'D'
+                    WHEN here[q + 1] = here[nxt + 1] + 2 THEN 'I'
+                    WHEN kept IS NOT NULL AND here[q + 1] = after[kept + 1] + fault THEN 'K' ELSE 'R' END AS e
+        FROM (SELECT f.*, s.here, s.after, s.fault, s.role, s.text, CASE WHEN q = 2 THEN 3 ELSE 2 END AS nxt, CASE WHEN q = 2 THEN 'assistant' ELSE 'user' END AS made,
+                     CASE WHEN kind = 's' AND q = 0 THEN 1 WHEN kind = 'u' AND q <> 2 THEN 2 WHEN kind = 'a' AND q = 2 THEN 3 END AS kept
+              FROM forward f JOIN steps s ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND s.i = f.i WHERE NOT over) g) f),
+done AS (SELECT * FROM forward WHERE over),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate,
+         count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM coded GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(c0, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN backward b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = 1
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 
 def _differs_sql(text: str) -> str:
     """Writes out DIFFERS(bad, n, bad of the parent, n of the parent): the pooled test of a branch against the rest."""
