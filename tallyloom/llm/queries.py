@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import classifier, fill_middle, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, turn_repair, url_filter, weak_rules
+from tallyloom.llm import classifier, fill_middle, fingerprint, html_text, jaccard, katz, mixing, packing, sharding, tool_calls, turn_repair, url_filter, weak_rules
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op10_rules(spark: SparkSession, root: str) -> DataFrame:
     return weak_rules.judged(_table(spark, root, "documents"))
 
 
+def op11_katz(spark: SparkSession, root: str) -> DataFrame:
+    train = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % 10 != 0
+    return katz.learn_and_score(_table(spark, root, "documents"), train)[0]
+
+
 def op12_fill(spark: SparkSession, root: str) -> DataFrame:
     cut = fill_middle.fill_middle(_table(spark, root, "documents"))
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -102,7 +107,7 @@ def op13_repair(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix, "op2_urls": op2_urls, "op3_html": op3_html, "op4_calls": op4_calls, "op5_quality": op5_quality, "op6_jaccard": op6_jaccard, "op7_shard": op7_shard, "op8_pack": op8_pack, "op9_fingerprint": op9_fingerprint, "op10_rules": op10_rules,
-    "op12_fill": op12_fill, "op13_repair": op13_repair,
+    "op11_katz": op11_katz, "op12_fill": op12_fill, "op13_repair": op13_repair,
 }
 ORACLE_SQL: dict[str, str] = {}
 
@@ -258,7 +263,8 @@ spoilt AS (
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
-         regexp_replace(text, '[ 	-]+\z', '') AS bare FROM spoilt),
+         regexp_replace(text, '[ 	-
+]+\z', '') AS bare FROM spoilt),
 coded AS (
   SELECT *, left(role, 1) AS kind, CASE WHEN bare = '' THEN 2 WHEN seen > 1 THEN 3 WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault,
          lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
