@@ -23,7 +23,7 @@ from tallyloom.llm.common import SPACES, bounded_batches
 from tallyloom.llm.hashes import R1, mixed, run_hashes
 from tallyloom.scale import written
 
-CHUNK_BYTES = 16 << 20  # of text; a longer text is a chunk by itself
+CHUNK_BYTES = 8 << 20  # of text; a longer text is a chunk by itself
 HASH_BYTES = 2 << 20  # hashed at a time inside a chunk
 GROUP_ITEMS = 1_000_000  # words or pairs asked for in a partition of the model
 MOST_GROUPS = 1 << 17  # so that a chunk's question to a partition holds several items on any corpus
@@ -63,6 +63,12 @@ def _batches(rows: list[dict], schema: str) -> Iterator[pa.RecordBatch]:
     yield from _table(rows, schema).to_batches()
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one: those of chunks are large."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 class _Chunk:
     """Documents taken up so far; their texts are dropped as soon as they are hashed."""
 
@@ -141,7 +147,7 @@ WORDS = "what string, p int, chunk long, ranks binary, r long, n long, start lon
 def _ask_words(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _each(batch):
                 words, counts = np.frombuffer(r["words"], dtype=np.uint64), unpack(r["counts"])
                 owner = _owner(words >> np.uint64(40), groups)
                 order = np.argsort(owner, kind="stable")
@@ -276,7 +282,7 @@ PAIRS = f"what string, q int, chunk long, counts binary, few binary, seen_of bin
 def _ask_pairs(groups: int, split: int, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _each(batch):
                 pairs = Pairs(r, groups, split, model.value)
                 out = []
                 for q, s in _runs(pairs.group):
@@ -356,7 +362,7 @@ def _scored(groups: int, split: int, model, factors: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _each(batch):
                 pairs = Pairs(r, groups, split, known)
                 log_p = np.log10(known.probability(pairs.w))
                 if len(pairs.asked):
