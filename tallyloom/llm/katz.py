@@ -136,7 +136,7 @@ def _owner(slots: np.ndarray, groups: int) -> np.ndarray:
 def _runs(sorted_keys: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(key, slice) of each run of equal keys."""
     starts = np.flatnonzero(np.diff(sorted_keys, prepend=-1))
-    for a, b in zip(starts, np.append(starts[1:], len(sorted_keys)), strict=True):
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(sorted_keys)], strict=False):
         yield int(sorted_keys[a]), slice(a, b)
 
 
@@ -172,8 +172,7 @@ def _answer_words(asked: pa.Table) -> pa.Table:
     bounds = np.cumsum([0, *map(len, lists)])
     out = [{"what": "reply", "p": p, "chunk": r["chunk"], "ranks": pack(rank[at[a:b]])} for r, a, b in zip(rows, bounds[:-1], bounds[1:], strict=True)]
     falling = counts[order]
-    starts = np.flatnonzero(np.diff(falling, prepend=0))
-    out += [{"what": "step", "p": p, "r": int(falling[a]), "n": int(b - a), "start": int(a)} for a, b in zip(starts, np.append(starts[1:], len(falling)), strict=True)]
+    out += [{"what": "step", "p": p, "r": r, "n": s.stop - s.start, "start": s.start} for r, s in _runs(falling)]
     out.append({"what": "model", "p": p, "words": words[order].tobytes(), "counts": pack(falling)})
     return _table(out, WORDS)
 
@@ -265,7 +264,7 @@ class Pairs:
         self.times = model.count(self.h)
         self.counts = np.bincount(self.at[self.train], minlength=len(keys))
         # contexts not seen go back to the word at once
-        self.asked = np.flatnonzero(self.h <= model.size)
+        self.asked = np.flatnonzero(self.times > 0)
         h, w = self.h[self.asked], self.w[self.asked]
         parts = (self.times[self.asked] // split + 1).astype(np.uint64)
         group = _owner(mixed(h.astype(np.uint64) * R1 + mixed(w.astype(np.uint64)) % parts) >> np.uint64(40), groups)
