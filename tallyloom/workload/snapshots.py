@@ -15,13 +15,14 @@ from tallyloom.operators.matching import Rule, match_cascade, resolve_identity
 from tallyloom.operators.merge import Policy
 from tallyloom.workload.registry import Tables, query
 
-FIRST_HALF, SECOND_HALF = ("1996-01-01", "1996-07-01"), ("1996-07-01", "1997-01-01")
+# All orders before this day make the old state, all from it on the new one.
+SPLIT = "1998-01-01"
+OLD, NEW = f"o_orderdate < TIMESTAMP '{SPLIT}'", f"o_orderdate >= TIMESTAMP '{SPLIT}'"
 
 
-def customer_snapshot(tb: Tables, period: tuple[str, str]) -> DataFrame:
-    """Customers that ordered in a half-year, with what they ordered."""
-    lo, hi = (F.lit(p).cast("timestamp") for p in period)
-    inside = tb.orders.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi))
+def customer_snapshot(tb: Tables, side: str) -> DataFrame:
+    """Customers that ordered on one side of the split, with what they ordered."""
+    inside = tb.orders.filter(side)
     active = inside.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count("*").alias("n_orders"), F.sum(money("o_totalprice")).cast("decimal(18,2)").alias("total"),
         F.nullif(F.min("o_orderpriority"), F.lit("5-LOW")).alias("priority"))
@@ -29,22 +30,22 @@ def customer_snapshot(tb: Tables, period: tuple[str, str]) -> DataFrame:
                                           F.col("c_nationkey").alias("nation")), "custkey")
 
 
-def _snapshot_sql(period: tuple[str, str]) -> str:
+def _snapshot_sql(side: str) -> str:
     return f"""SELECT o_custkey AS custkey, n_orders, total, priority, c_mktsegment AS segment, c_nationkey AS nation
         FROM (SELECT o_custkey, count(*) AS n_orders,
                 CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total,
                 nullif(min(o_orderpriority), '5-LOW') AS priority FROM orders
-              WHERE o_orderdate >= TIMESTAMP '{period[0]}' AND o_orderdate < TIMESTAMP '{period[1]}' GROUP BY 1)
+              WHERE {side} GROUP BY 1)
         JOIN customer ON c_custkey = o_custkey"""
 
 
-WITH = f"WITH b AS ({_snapshot_sql(FIRST_HALF)}), n AS ({_snapshot_sql(SECOND_HALF)}) "
+WITH = f"WITH b AS ({_snapshot_sql(OLD)}), n AS ({_snapshot_sql(NEW)}) "
 DIFFERS = """(b.n_orders <> n.n_orders OR b.total <> n.total OR coalesce(b.priority, '') <> coalesce(n.priority, ''))"""
 WATCH = ["n_orders", "total", "priority"]
 
 
 def snapshots(tb: Tables) -> tuple[DataFrame, DataFrame]:
-    return customer_snapshot(tb, FIRST_HALF), customer_snapshot(tb, SECOND_HALF)
+    return customer_snapshot(tb, OLD), customer_snapshot(tb, NEW)
 
 
 # --- unions -----------------------------------------------------------------------------------
