@@ -16,7 +16,7 @@ from tallyloom.operators.merge import Policy
 from tallyloom.workload.registry import Tables, query
 
 # All orders before this day make the old state, all from it on the new one.
-SPLIT = "1998-01-01"
+SPLIT = "1998-07-01"
 OLD, NEW = f"o_orderdate < TIMESTAMP '{SPLIT}'", f"o_orderdate >= TIMESTAMP '{SPLIT}'"
 
 
