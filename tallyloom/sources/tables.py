@@ -7,14 +7,14 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.merge import merge_snapshot
 from tallyloom.operators.quality import Gate
-from tallyloom.operators.windows import latest_per
-from tallyloom.scale import written
+from tallyloom.sources.keyed import BUCKET_ROWS, KeyedTable
 
+# Between a keyed table's root and its version in a ledger row's path.
+KEYED = "@version="
 VERSION_SCHEMA = "name string, version bigint, path string, n_rows bigint, published_at timestamp"
 
 
@@ -70,30 +70,6 @@ def refresh_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
             plain.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
-def upsert_buckets(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = 64,
-                   order: Sequence[Column] | None = None) -> None:
-    """Replace or add rows by key in a table of key buckets; only the buckets that `rows` touch are rewritten.
-
-    The table is partitioned by `_bucket`, a hash of the keys; `buckets` is fixed when it is created.  Among a new
-    and a stored row of a key the new one stays, or with `order` the one that comes first.  Touched buckets are
-    merged into the shared folder before they replace the stored ones, since a job cannot overwrite what it reads.
-    """
-    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    try:
-        stored = rows.sparkSession.read.schema(placed.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = placed.limit(0)
-    touched = [r[0] for r in placed.select("_bucket").distinct().collect()]  # `buckets` at most
-    old = stored.filter(F.col("_bucket").isin(touched))
-    if order is None:
-        merged = merge_snapshot(old, placed, keys, delete="keep")
-    else:
-        merged = latest_per(old.unionByName(placed), keys, order)
-    write_partitions(written(merged), path, ["_bucket"])
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -102,7 +78,8 @@ class Published:
     """Named tables as numbered versions under a root folder.
 
     A version is written whole, checked, and then announced by one appended ledger row; readers
-    take the newest announced version.  A failed write announces nothing.
+    take the newest announced version.  A failed write announces nothing.  Names that are upserted become
+    keyed tables (`sources.keyed`): a version of theirs shares the files of the buckets it did not touch.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -125,6 +102,9 @@ class Published:
         newest = self._versions(name)
         if newest is None:
             raise LookupError(f"{name} has not been published under {self.root}")
+        root, keyed, version = newest["path"].rpartition(KEYED)
+        if keyed:
+            return KeyedTable(self.spark, root, []).read(int(version))
         return self.spark.read.parquet(newest["path"])
 
     def publish(self, df: DataFrame, name: str, published_at: dt.datetime, min_rows: int = 1,
@@ -154,11 +134,21 @@ class Published:
         entry = self.spark.createDataFrame([(name, version, path, rows, published_at)], VERSION_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.ledger)
 
-    def upsert(self, df: DataFrame, name: str, keys: Sequence[str], published_at: dt.datetime) -> Gate:
-        """Publish the current version with rows of `df` replaced or added by key."""
-        if not self.exists(name):
-            return self.publish(df, name, published_at)
-        return self.publish(merge_snapshot(self.read(name), df, keys, delete="keep"), name, published_at)
+    def upsert(self, df: DataFrame, name: str, keys: Sequence[str], published_at: dt.datetime, bucket_rows: int = BUCKET_ROWS) -> Gate:
+        """Publish the current version with rows of `df` replaced or added by key; only the buckets they fall in are rewritten.
+
+        A name published whole before becomes a keyed table first, which rewrites it once.
+        """
+        newest = self._versions(name)
+        root = f"{self.root}/{name}/keyed"
+        table = KeyedTable(self.spark, root, keys, bucket_rows)
+        if newest is not None and not newest["path"].startswith(root + KEYED):
+            table.replace(self.read(name), published_at)
+        made = table.upsert(df, published_at)
+        if made.n_rows == 0:
+            return Gate(False, 0, "nothing to do")
+        self._announce(name, f"{root}{KEYED}{made.version}", made.n_rows, published_at)
+        return Gate(True, made.n_rows, "ok")
 
     def publish_dated(self, df: DataFrame, name: str, day: str, published_at: dt.datetime,
                       min_rows: int = 1) -> Gate:

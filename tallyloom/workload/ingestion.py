@@ -20,6 +20,7 @@ from tallyloom.operators.windows import latest_per
 from tallyloom.sources import events as ev
 from tallyloom.sources import tables as st
 from tallyloom.sources.html import html_list_items
+from tallyloom.sources.keyed import KeyedTable, apply_window
 from tallyloom.streaming import ingest as si
 from tallyloom.workload.registry import Tables, query
 
@@ -306,10 +307,32 @@ def streamed_upsert(tb: Tables) -> DataFrame:
     tb.events.repartitionByRange("ts").write.parquet(f"{root}/in")
     order = [F.desc("ts"), F.desc("event_id")]
 
+    table = KeyedTable(tb.spark, f"{root}/latest", ["user_id"], bucket_rows=500)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per(batch.select("user_id", "event_id", "ts"), "user_id", order)
-        st.upsert_buckets(newest, f"{root}/latest", ["user_id"], buckets=16, order=order)
+        for _ in range(2):  # a replayed batch is recognised
+            table.upsert(newest, NOW, order=order, token=f"batch {batch_id}")
 
     stream = (tb.spark.readStream.schema(tb.events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in"))
     si.stream_upsert(stream, merge, f"{root}/checkpoint")
-    return tb.spark.read.parquet(f"{root}/latest").select("user_id", "event_id")
+    assert table.ledger().groupBy("token").count().filter("count > 1").isEmpty()
+    return table.read().select("user_id", "event_id")
+
+
+_WINDOW_ENDS = ["2024-01-15 12:00:00", "2024-01-15 12:15:00"]
+
+
+@query("""SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id, CAST(3 AS BIGINT) AS versions,
+            strftime(max(max(ts)) OVER () + INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S.%f') AS mark FROM events GROUP BY 1""")
+def windowed_upsert(tb: Tables) -> DataFrame:
+    """A first load, a window of 15 minutes taken twice, and one that makes up for all runs left out since: three versions."""
+    table = KeyedTable(tb.spark, scale.fresh_path(tb.spark, "windows"), ["user_id"], bucket_rows=500)
+    source = tb.events.select("user_id", "event_id", "ts")
+    last = tb.events.agg(F.max("ts") + F.expr("interval 1 second")).first()[0]
+    ends = [dt.datetime.fromisoformat(e) for e in _WINDOW_ENDS]
+    taken = [apply_window(table, source, "ts", end, NOW, order=[F.desc("ts"), F.desc("event_id")]).taken for end in [*ends, ends[1], last]]
+    assert taken == [True, True, False, True]
+    of_ledger = lambda c: table.ledger().select(c).scalar()
+    return table.read().select("user_id", "event_id", of_ledger(F.count("*")).alias("versions"),
+                               of_ledger(F.date_format(F.max("mark"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("mark"))
