@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
@@ -57,8 +57,9 @@ def read_events(spark: SparkSession, paths: str | Sequence[str], schema: str = E
     return parse_events(read_lines(spark, paths), schema, bad)
 
 
-# Directory layout `<root>/<topic>/yyyy/MM/dd/HH/<file>`.
-_HOUR_PATH = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]+$"
+# Directory layout `<root>/<topic>/yyyy/MM/dd/HH/<file>`, or with a name before each part as Spark writes it (`year=yyyy/...`).
+_HOUR_PATH = r"/(?:\w+=)?(\d{4})/(?:\w+=)?(\d{2})/(?:\w+=)?(\d{2})/(?:\w+=)?(\d{2})/[^/]+$"
+EVERY_HOUR = "*/*/*/*"
 
 
 def with_path_hour(df: DataFrame, file: str = "file") -> DataFrame:
@@ -69,7 +70,7 @@ def with_path_hour(df: DataFrame, file: str = "file") -> DataFrame:
                            "hr": F.when(known, parts[3])})
 
 
-def list_files(spark: SparkSession, root: str, topic: str, hours: str = "*/*/*/*") -> DataFrame:
+def list_files(spark: SparkSession, root: str, topic: str, hours: str = EVERY_HOUR) -> DataFrame:
     """Files under the hour directories; only names and times are read, not contents.
 
     `hours` is a glob below the topic, by default all of them; see `hours_glob`.  No directory found
@@ -77,7 +78,7 @@ def list_files(spark: SparkSession, root: str, topic: str, hours: str = "*/*/*/*
     """
     reader = spark.read.format("binaryFile")
     try:
-        files = reader.load(f"{root}/{topic}/{hours}/*")
+        files = reader.option("recursiveFileLookup", "true").load(f"{root}/{topic}/{hours}/*")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -91,23 +92,27 @@ def recorded_hours(ledger: DataFrame, n: int = 2) -> list[tuple[str, str]]:
     return [(r["day"], r["hr"]) for r in hours.collect()]  # n rows
 
 
-def hours_glob(ledger: DataFrame, max_hours: int = 24, rescan: int = 2, root: str | None = None, topic: str | None = None) -> str:
+def hours_glob(ledger: DataFrame, max_hours: int = 24, rescan: int = 2, root: str | None = None, topic: str | None = None,
+               history: bool = False, names: Sequence[str] = ("", "", "", "")) -> str:
     """The hour directories worth listing: those to rescan and the `max_hours` after the newest.
 
     With `root` and `topic` these are listed, and if they hold no file that the ledger lacks, all hours are worth
     listing: a pause may have been longer.  Without them the glob cannot see past a pause of more than `max_hours`.
+    `history` lists all hours, as long as older ones are still to be taken (`history_open`).  `names` stand before the
+    four parts of a directory (`year=` and so on), if they do.
     """
     again = recorded_hours(ledger, rescan)
-    if not again:
-        return "*/*/*/*"
+    if not again or history:
+        return EVERY_HOUR
     newest = dt.datetime.strptime(" ".join(again[0]), "%Y-%m-%d %H")
     ahead = [newest + dt.timedelta(hours=n) for n in range(1, max_hours + 1)]
-    names = [f"{d.replace('-', '/')}/{h}" for d, h in again] + [a.strftime("%Y/%m/%d/%H") for a in ahead]
-    window = "{" + ",".join(names) + "}"
+    stamps = [f"{d}-{h}" for d, h in again] + [a.strftime("%Y-%m-%d-%H") for a in ahead]
+    folders = ["/".join(n + part for n, part in zip(names, stamp.split("-"), strict=True)) for stamp in stamps]
+    window = "{" + ",".join(folders) + "}"
     if root is None or topic is None:
         return window
     unseen = list_files(ledger.sparkSession, root, topic, window).join(ledger.select("file"), "file", "left_anti")
-    return "*/*/*/*" if unseen.isEmpty() else window
+    return EVERY_HOUR if unseen.isEmpty() else window
 
 
 def hour_stamp(day: Column | str, hr: Column | str) -> Column:
@@ -115,13 +120,14 @@ def hour_stamp(day: Column | str, hr: Column | str) -> Column:
 
 
 def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int = 24,
-                     max_files: int = 500, first_files: int = 100, rescan: int = 2) -> DataFrame:
+                     max_files: int = 500, first_files: int = 100, rescan: int = 2, history: bool = True) -> DataFrame:
     """Files to take next.
 
     Rescans the newest `rescan` recorded hours for late files, then walks forward hour by hour
     up to `max_hours` past the newest one, or, after a longer pause, from the next hour that has files; at most
     `max_files`, oldest hour first, the others next time.  With an empty
-    ledger the newest `first_files` files start the flow.
+    ledger the newest `first_files` files start the flow; what was there before them is history.  While there is room among
+    the `max_files`, history follows, oldest hour first, until every listed file has been taken once (`history`).
     """
     hours = recorded_hours(ledger, rescan)
     if not hours:
@@ -133,9 +139,36 @@ def select_new_files(candidates: DataFrame, ledger: DataFrame, max_hours: int =
     resumed = candidates.filter(at > newest).select(F.min(at)).scalar()  # after a pause, the hour that ends it
     until = F.when(resumed > newest + span, resumed + span - F.expr("interval 1 hour")).otherwise(newest + span)
     ahead = (at > newest) & (at <= until)
-    seen = ledger.filter(again | ahead).select("file")
-    unseen = candidates.filter(again | ahead).join(seen, "file", "left_anti")
-    return unseen.orderBy("day", "hr", "file").limit(max_files)
+    older = F.lit(history) & ~again & (at < newest)
+    wanted = candidates.filter(again | ahead | older).withColumn("_later", older)
+    unseen = wanted.join(ledger.filter(again | ahead | older).select("file"), "file", "left_anti")
+    return unseen.orderBy("_later", "day", "hr", "file").limit(max_files).select(*candidates.columns)
+
+
+def hour_coverage(candidates: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(day, hr, n_files, n_taken) of every hour with listed files."""
+    taken = ledger.select("file").distinct().withColumn("_taken", F.lit(True))
+    return candidates.join(taken, "file", "left").groupBy("day", "hr").agg(
+        F.count("*").alias("n_files"), F.count("_taken").alias("n_taken"))
+
+
+def covered_intervals(coverage: DataFrame) -> DataFrame:
+    """Runs of hours whose files have all been taken: (from_hour, to_hour, n_hours, n_files), hours without files between them included.
+
+    One row per hour goes through the window, whatever the number of files.
+    """
+    at = coverage.filter("day is not null").withColumn("_at", hour_stamp("day", "hr"))
+    whole = F.col("n_taken") >= F.col("n_files")
+    gaps = F.sum((~whole).cast("int")).over(Window.orderBy("_at"))  # how many open hours come before
+    return (at.withColumn("_run", gaps).filter(whole).groupBy("_run")
+            .agg(F.min("_at").alias("from_hour"), F.max("_at").alias("to_hour"), F.count("*").alias("n_hours"), F.sum("n_files").alias("n_files"))
+            .drop("_run"))
+
+
+def history_open(coverage: DataFrame) -> bool:
+    """Whether files of hours before the newest taken one are still to be taken."""
+    newest = coverage.filter("n_taken > 0").select(F.max(F.struct("day", "hr"))).scalar()
+    return not coverage.filter((F.col("n_taken") < F.col("n_files")) & (F.struct("day", "hr") < newest)).isEmpty()
 
 
 def fold_shards(df: DataFrame) -> DataFrame:
@@ -145,22 +178,43 @@ def fold_shards(df: DataFrame) -> DataFrame:
                           "table": F.regexp_replace("table", r"_\d+$", "")}))
 
 
-def flatten_events(df: DataFrame, schema: StructType | str, batch_id: str) -> DataFrame:
-    """Payload columns plus event type, time, transaction, batch id and date."""
-    extra = [c for c in ("etl_db", "etl_table") if c in df.columns]
-    flat = df.withColumn("_d", F.from_json("data", schema)).select(
+def flatten_events(df: DataFrame, schema: StructType | str, batch_id: str) -> Events:
+    """Payload columns plus event type, time, transaction, batch id and date; `bad` holds the events whose payload does not fit, with the `reason`."""
+    rest = [c for c in df.columns if c != "reason"]
+    checked = checked_payloads(df, schema)
+    return Events(flat_columns(checked, batch_id), checked.filter("reason is not null").select(*rest, "reason"))
+
+
+def checked_payloads(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """The events with their payload in `_d` and the `reason` why it does not fit, or null.
+
+    Every payload is read once as typed columns and once as texts, by a generator: what is built on them does not
+    read it again.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    both = F.struct(F.from_json("data", schema).alias("_d"), _as_text("data", schema).alias("_given"))
+    read = df.select(*[c for c in df.columns if c != "reason"], F.inline(F.array(both)))
+    return read.withColumn("reason", _fault("data", schema, F.col("_d"), F.col("_given"))).drop("_given")
+
+
+def flat_columns(checked: DataFrame, batch_id: str) -> DataFrame:
+    """Rows of a table from the `checked_payloads` that fit."""
+    extra = [c for c in ("etl_db", "etl_table") if c in checked.columns]
+    flat = checked.filter("reason is null").select(
         "_d.*", F.col("type").alias("etl_type"), F.timestamp_seconds("ts").alias("etl_time"),
         F.col("xid").alias("etl_xid"), *extra)
     return flat.withColumns({"flowid": F.lit(batch_id), "dt": F.to_date("etl_time")})
 
 
-def payload_fault(data: str, schema: StructType) -> Column:
+def _as_text(data: str, schema: StructType) -> Column:
+    return F.from_json(data, StructType([StructField(f.name, StringType()) for f in schema]))
+
+
+def _fault(data: str, schema: StructType, parsed: Column, given: Column) -> Column:
     """Why a payload does not fit its table, or null: not an object, or a value that its column's type cannot hold.
 
-    A value counts as lost if the payload gives it (not as null) and parsing into the schema makes it null.
+    A value counts as lost if the payload gives it (not as null) and reading it as the column's type makes it null.
     """
-    parsed = F.from_json(data, schema, {"mode": "PERMISSIVE"})
-    given = F.from_json(data, StructType([StructField(f.name, StringType()) for f in schema]))
     lost = [F.when(given[f.name].isNotNull() & parsed[f.name].isNull(), F.lit(f.name)) for f in schema]
     names = F.concat_ws(",", *lost)
     return F.when(F.get_json_object(data, "$").isNull() | ~F.ltrim(F.col(data)).startswith("{"), F.lit("payload is not an object")) \

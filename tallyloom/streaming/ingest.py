@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
-import zlib
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tallyloom.sources.events import (ENVELOPE, align_to, flatten_events, fold_shards, parse_events,
-                                      parse_lines, payload_fault)
+from tallyloom.scale import fresh_path
+from tallyloom.sources.events import (ENVELOPE, align_to, checked_payloads, flat_columns, fold_shards, parse_events,
+                                      parse_lines)
 from tallyloom.sources.tables import RESULT_LEDGER, write_ledger, write_partitions
 
 
@@ -56,66 +58,95 @@ def write_batch(lines: DataFrame, batch_id: int, targets: list[Target], ledger:
                 now: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc)) -> None:
     """Fan one micro-batch out to its tables.
 
-    A replay writes the same `(dt, flowid)` partitions again: the flow id is `run_id` (that of the
-    checkpoint, see `ingest`) and the batch id.  Every line ends in a table or in quarantine with its
-    `reason`: broken lines, events of tables without a target, payloads that do not fit their table.
+    The lines are read and parsed once and written to the shared folder by table, so each table then reads its own
+    rows only, and a lost executor costs no second parse.  A replay writes the same `(dt, flowid)` partitions again: the
+    flow id is `run_id` (that of the checkpoint, see `ingest`) and the batch id.  Every line ends in a table or in
+    quarantine with its `reason`: broken lines, events of tables without a target, payloads that do not fit their table.
     One table's failure does not stop the others; each leaves a ledger row and the batch fails
     at the end if any did.
     """
     spark = lines.sparkSession
     flow_id = f"{run_id}{batch_id:014d}"
-    fault = F.lit("no target for this table")
-    for target in targets:
-        mine = (F.col("database") == target.database) & (F.col("table") == target.table)
-        fault = F.when(mine, payload_fault("data", target.schema)).otherwise(fault)
-    parsed = fold_shards(parse_lines(lines))
-    reason = F.when(F.col("_broken"), F.lit("not an event")).otherwise(fault)
-    parsed = parsed.withColumn("reason", reason).persist()  # every table filters the parsed batch
-    try:
-        rejected = parsed.filter("reason is not null").select(*lines.columns, "reason", F.lit(flow_id).alias("flowid"))
-        write_partitions(rejected, quarantine, ["flowid"])
-        good = parsed.filter("reason is null").drop("reason")
-
-        def one(target: Target) -> tuple[str, str]:
-            try:
-                mine = good.filter((F.col("database") == target.database)
-                                   & (F.col("table") == target.table))
-                flat = flatten_events(mine, target.schema, flow_id)
-                columns = StructType([*target.schema, *[f for f in flat.schema
-                                                        if f.name not in target.schema.names]])
+    staged = staged_by_table(lines, targets)
+    present = {r["_target"] for r in staged.select("_target").distinct().collect()}  # targets at most, and one more
+
+    def rejects(bad: DataFrame, origin: str) -> None:
+        rows = bad.select(*lines.columns, "reason", F.lit(flow_id).alias("flowid"), F.lit(origin).alias("origin"))
+        write_partitions(rows, quarantine, ["flowid", "origin"])
+
+    def one(place: int) -> tuple[str, str]:
+        target = targets[place]
+        try:
+            if place in present:
+                seen = Observation()
+                checked = checked_payloads(staged.filter(F.col("_target") == place), target.schema)
+                flat = flat_columns(checked.observe(seen, F.count("reason").alias("unfit")), flow_id)
+                columns = StructType([*target.schema, *[f for f in flat.schema if f.name not in target.schema.names]])
                 write_partitions(align_to(flat, columns).df, target.path, ["dt", "flowid"])
-                return target.table, "OK"
-            except Exception as error:
-                return target.table, f"FAILED {type(error).__name__}"
+                if seen.get["unfit"]:
+                    rejects(checked.filter("reason is not null"), f"{target.database}.{target.table}")
+            return target.table, "OK"
+        except Exception as error:
+            return target.table, f"FAILED {type(error).__name__}"
+
+    if NO_TARGET in present:
+        rejects(staged.filter(F.col("_target") == NO_TARGET), "lines")
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        results = list(pool.map(one, range(len(targets))))
+    rows = [(flow_name, flow_id, table, status.split()[0], now()) for table, status in results]
+    write_ledger(spark.createDataFrame(rows, RESULT_LEDGER), ledger)
+    failed = [f"{table}: {status}" for table, status in results if status != "OK"]
+    if failed:
+        raise RuntimeError("tables failed in batch " + flow_id + ": " + "; ".join(failed))
+
 
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            results = list(pool.map(one, targets))
-        rows = [(flow_name, flow_id, table, status.split()[0], now()) for table, status in results]
-        write_ledger(spark.createDataFrame(rows, RESULT_LEDGER), ledger)
-        failed = [f"{table}: {status}" for table, status in results if status != "OK"]
-        if failed:
-            raise RuntimeError("tables failed in batch " + flow_id + ": " + "; ".join(failed))
-    finally:
-        parsed.unpersist()
+NO_TARGET = -1
 
 
-def run_id_of(checkpoint: str) -> str:
-    """The same for every replay of a checkpoint, another for another one."""
-    return f"{zlib.crc32(checkpoint.rstrip('/').encode()):08x}-"
+def staged_by_table(lines: DataFrame, targets: list[Target]) -> DataFrame:
+    """The parsed lines, written by `_target`, the number of their table in the list; `NO_TARGET` for those with a `reason`.
+
+    One scan and one parse of the lines, however many tables there are.
+    """
+    parsed = fold_shards(parse_lines(lines))
+    names = F.create_map(*[F.lit(x) for k, t in enumerate(targets) for x in (f"{t.database}.{t.table}", k)])
+    place = F.coalesce(F.element_at(names, F.concat_ws(".", "database", "table")), F.lit(NO_TARGET))
+    broken = F.when(F.col("_broken"), NO_TARGET).otherwise(place).cast("int")
+    reason = F.when(F.col("_broken"), "not an event").when(place == NO_TARGET, "no target for this table")
+    path = fresh_path(lines.sparkSession, "batch")
+    routed = parsed.withColumns({"reason": reason, "_target": broken})
+    routed.hint("rebalance", F.col("_target")).write.partitionBy("_target").parquet(path)
+    return lines.sparkSession.read.schema(routed.schema).parquet(path)
+
+
+def run_token(spark: SparkSession, checkpoint: str) -> str:
+    """The token of the runs of a checkpoint, kept inside it: a replay finds the one it left, a checkpoint made anew at the same path gets another."""
+    path = f"{checkpoint.rstrip('/')}/_run"
+    for _ in range(2):
+        try:
+            return spark.read.text(path).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            spark.createDataFrame([(uuid.uuid4().hex[:16],)], "value string").coalesce(1).write.text(path)
+    raise RuntimeError(f"no token can be kept in {path}")
 
 
 def ingest(spark: SparkSession, path: str, targets: list[Target], root: str, checkpoint: str,
            max_files: int = 500, flow_name: str = "ingest") -> StreamingQuery:
     """Take every file that has arrived, in micro-batches, and stop.
 
-    A checkpoint counts its batches from 0, so its path goes into the flow ids: a new checkpoint does not
-    overwrite what an earlier one wrote, and a replay of either writes its own partitions again.
+    A checkpoint counts its batches from 0, so its token (`run_token`) goes into the flow ids: a checkpoint made anew, at
+    another path or the same, does not overwrite what an earlier one wrote, and a replay of either writes its own
+    partitions again.  A run whose checkpoint has been cleared under it stops before it writes another batch.
     """
     lines = stream_lines(spark, path, max_files)
-    run_id = run_id_of(checkpoint)
+    token = run_token(spark, checkpoint)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, batch_id, targets, f"{root}/_results", f"{root}/_quarantine", flow_name, run_id=run_id)
+        if run_token(spark, checkpoint) != token:
+            raise RuntimeError(f"{checkpoint} was made anew while a run used it")
+        write_batch(df, batch_id, targets, f"{root}/_results", f"{root}/_quarantine", flow_name, run_id=f"{token}-")
 
     return (lines.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

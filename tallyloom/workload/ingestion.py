@@ -79,17 +79,37 @@ def allowed_tables(tb: Tables) -> DataFrame:
              strftime(to_timestamp({_SECONDS}), '%Y-%m-%d %H:%M:%S') AS etl_time, event_id AS etl_xid,
              '20240201000000' AS flowid, strftime(ts, '%Y-%m-%d') AS dt FROM events""")
 def flattened_events(tb: Tables) -> DataFrame:
-    flat = ev.flatten_events(good_events(tb), PAYLOAD, "20240201000000")
+    flat = ev.flatten_events(good_events(tb), PAYLOAD, "20240201000000").good
     return flat.withColumns({"etl_time": F.date_format("etl_time", "yyyy-MM-dd HH:mm:ss"),
                              "dt": F.date_format("dt", "yyyy-MM-dd")})
 
 
+@query("""SELECT event_type || '_0' || (event_id % 3) AS "table", CASE event_type WHEN 'signup' THEN 'payload does not fit: event_id'
+              WHEN 'purchase' THEN 'payload does not fit: k,value' WHEN 'error' THEN 'payload is not an object' ELSE 'fits' END AS reason,
+            count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY ALL""")
+def unfit_payloads(tb: Tables) -> DataFrame:
+    """Ids as text, fractions for whole numbers and words for numbers, and payloads that are lists: none becomes a null, each says why."""
+    number = F.get_json_object("props", "$.k").cast("long")
+    kind = F.col("event_type")
+    data = (F.when(kind == "signup", F.to_json(F.struct(F.concat(F.lit("e"), "event_id").alias("event_id"), number.alias("k"), "value")))
+            .when(kind == "purchase", F.to_json(F.struct("event_id", (number + F.lit(0.5)).alias("k"), F.lit("much").alias("value"))))
+            .when(kind == "error", F.to_json(F.array("event_id", "user_id")))
+            .otherwise(F.to_json(F.struct("event_id", number.alias("k"), "value"))))
+    lines = ev.to_lines(tb.events, F.lit("shop"), F.concat(kind, F.lit("_0"), (F.col("event_id") % 3).cast("string")), F.lit("insert"),
+                        F.unix_timestamp("ts"), F.col("event_id"), data)
+    # shard numbers of the tables stay; the payload's own table is the folded name
+    flat = ev.flatten_events(ev.fold_shards(ev.parse_events(lines).good), PAYLOAD, "b")
+    told = lambda df, reason, ident: df.select(F.col("etl_table").alias("table"), reason.alias("reason"), ident.alias("id"))
+    both = told(flat.good, F.lit("fits"), F.col("event_id")).unionByName(told(flat.bad, F.col("reason"), F.col("xid")))
+    return both.groupBy("table", "reason").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
 TARGET = "dt date, EVENT_ID bigint, note string, value double, stars int"
 
 
 @query("""SELECT strftime(ts, '%Y-%m-%d') AS dt, event_id, '' AS note, value, CAST(NULL AS BIGINT) AS stars FROM events""")
 def aligned_columns(tb: Tables) -> DataFrame:
-    aligned = ev.align_to(ev.flatten_events(good_events(tb), PAYLOAD, "b"), StructType.fromDDL(TARGET))
+    aligned = ev.align_to(ev.flatten_events(good_events(tb), PAYLOAD, "b").good, StructType.fromDDL(TARGET))
     return aligned.df.select(F.date_format("dt", "yyyy-MM-dd").alias("dt"), F.col("EVENT_ID").alias("event_id"), "note",
                              "value", F.col("stars").cast("long"))
 
@@ -122,9 +142,8 @@ _LEDGER_END = "2024-01-15 12:00:00"
              hours AS (SELECT DISTINCT day, hr FROM ledger ORDER BY day DESC, hr DESC LIMIT 2),
              newest AS (SELECT max(strptime(day || ' ' || hr, '%Y-%m-%d %H')) AS h FROM hours)
            SELECT file, day, hr FROM files, newest
-           WHERE file NOT IN (SELECT file FROM ledger) AND ((day, hr) IN (SELECT (day, hr) FROM hours)
-             OR (date_trunc('hour', ts) > h AND date_trunc('hour', ts) <= h + INTERVAL 24 HOUR))
-           ORDER BY day, hr, file LIMIT 200""")
+           WHERE file NOT IN (SELECT file FROM ledger) AND date_trunc('hour', ts) <= h + INTERVAL 24 HOUR
+           ORDER BY date_trunc('hour', ts) < h AND (day, hr) NOT IN (SELECT (day, hr) FROM hours), day, hr, file LIMIT 200""")
 def next_files(tb: Tables) -> DataFrame:
     files = hour_files(tb)
     seen = (F.col("modificationTime") < F.lit(_LEDGER_END).cast("timestamp_ntz")) & (F.col("event_type") != "view")
@@ -139,6 +158,67 @@ def first_files(tb: Tables) -> DataFrame:
     return ev.select_new_files(files, files.filter("file is null")).select("file")
 
 
+@query(f"WITH {_FILES} SELECT file, CAST(1 AS BIGINT) AS times, CAST(1 AS BIGINT) AS intervals FROM files")
+def whole_history(tb: Tables) -> DataFrame:
+    """A first run takes the newest files, further runs what was there before, until every file has been taken once."""
+    files, path = scale.written(hour_files(tb)), scale.fresh_path(tb.spark, "files")
+    batch = -(-files.count() // 3)
+    ledger = files.limit(0)
+    while True:
+        chosen = scale.written(ev.select_new_files(files, ledger, max_files=batch, first_files=batch // 2))
+        if chosen.isEmpty():
+            break
+        st.write_ledger(st.file_ledger_rows(chosen, "flow", "f", NOW), path)
+        ledger = tb.spark.read.parquet(path)
+    coverage = ev.hour_coverage(files, ledger)
+    assert not ev.history_open(coverage)
+    return ledger.groupBy("file").agg(F.count("*").alias("times")).withColumn(
+        "intervals", ev.covered_intervals(coverage).select(F.count("*")).scalar())
+
+
+_PAUSE = ("2024-01-10 12:00:00", "2024-01-22 12:00:00")  # longer than the 240 hours walked at once
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hr, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1, 2""")
+def listed_hours(tb: Tables) -> DataFrame:
+    """Files in hour folders: taken up to a pause, across it, with a late file in a recorded hour, and those of the pause at last."""
+    root = scale.fresh_path(tb.spark, "hours")
+    stamped = tb.events.select(F.concat_ws(" ", "event_id", F.date_format("ts", "yyyy-MM-dd HH")).alias("value"), "ts", "event_type", *[
+        F.date_format("ts", f).alias(n) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))])
+    begin, end = (F.lit(t).cast("timestamp_ntz") for t in _PAUSE)
+    late = (F.col("event_type") == "click") & (F.col("ts") >= begin - F.expr("interval 1 hour"))
+    parts = ["year", "month", "day", "hour"]
+    names = [f"{p}=" for p in parts]
+    ledger_path, taken = f"{root}/ledger", None
+
+    def arrive(rows: DataFrame) -> None:
+        rows.drop("ts", "event_type").repartition(*parts).write.mode("append").partitionBy(*parts).text(f"{root}/log")
+
+    def take(history: bool) -> None:
+        nonlocal taken
+        while True:
+            ledger = tb.spark.read.parquet(ledger_path) if taken is not None else tb.spark.createDataFrame([], st.FILE_LEDGER)
+            hours = ev.hours_glob(ledger, max_hours=240, root=root, topic="log", history=history, names=names)
+            listed = scale.written(ev.list_files(tb.spark, root, "log", hours))
+            chosen = scale.written(ev.select_new_files(listed, ledger, max_hours=240, max_files=1000, first_files=300, history=history))
+            paths = [r[0] for r in chosen.select("file").collect()]  # 1000 at most
+            if not paths:
+                return
+            lines = scale.written(ev.read_lines(tb.spark, paths))
+            taken = lines if taken is None else taken.unionByName(lines)
+            st.write_ledger(st.file_ledger_rows(chosen, "flow", "f", NOW), ledger_path)
+
+    before, after = F.col("ts") < begin, F.col("ts") >= end
+    arrive(stamped.filter(before & ~late))
+    take(True)
+    arrive(stamped.filter((before & late) | after))  # late files beside what comes after the pause
+    take(False)
+    arrive(stamped.filter(~before & ~after))
+    take(True)
+    cut = F.split("value", " ")
+    return taken.groupBy(cut[1].alias("day"), cut[2].alias("hr")).agg(F.count("*").alias("n"), F.sum(cut[0].cast("long")).alias("ids"))
+
+
 # --- table writes -----------------------------------------------------------------------------
 
 def _daily(tb: Tables, kind: Column) -> DataFrame:
@@ -278,6 +358,28 @@ def streamed_ods_tables(tb: Tables) -> DataFrame:
     return out.unionByName(bad)
 
 
+@query("""SELECT event_type AS "table", CASE event_type WHEN 'view' THEN 'FAILED' ELSE 'OK' END AS status,
+            count(*) FILTER (event_type <> 'view') AS n FROM events WHERE event_type <> 'error' GROUP BY 1""")
+def isolated_failure(tb: Tables) -> DataFrame:
+    """Four tables of one batch, read once: the definition of one names a column twice, the others are written all the same."""
+    root = scale.fresh_path(tb.spark, "isolated")
+    change_lines(tb).write.text(f"{root}/in")
+    sound, broken = StructType.fromDDL(PAYLOAD), StructType([*StructType.fromDDL(PAYLOAD), *StructType.fromDDL("value double")])
+    kinds = ["click", "view", "purchase", "signup"]
+    targets = [si.Target("shop", kind, broken if kind == "view" else sound, f"{root}/ods/{kind}") for kind in kinds]
+    try:
+        si.write_batch(ev.read_lines(tb.spark, f"{root}/in"), 0, targets, f"{root}/results", f"{root}/quarantine")
+    except RuntimeError as failed:  # the batch fails as a whole, after the others are done
+        assert "view" in str(failed)
+    results = tb.spark.read.parquet(f"{root}/results").select(F.col("table_name").alias("table"), "status")
+    held = None
+    for target in targets:
+        if target.schema == sound:
+            rows = tb.spark.read.parquet(target.path).agg(F.count("*").alias("n")).withColumn("table", F.lit(target.table))
+            held = rows if held is None else held.unionByName(rows)
+    return results.join(held, "table", "left").select("table", "status", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
 def event_stream(tb: Tables) -> DataFrame:
     """The events table as a file stream."""
     schema = tb.events.schema

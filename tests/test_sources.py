@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 import sqlite3
 
 import pytest
@@ -37,7 +38,7 @@ def test_bad_lines_are_kept_apart(spark, tmp_path):
     put(tmp_path, "t/2024/01/01/00/a.json", [*good, "{broken", '{"database": "d"}'])
     events = ev.read_events(spark, str(tmp_path))
     assert events.good.count() == 2 and events.bad.count() == 2
-    flat = ev.flatten_events(ev.fold_shards(events.good), "id bigint", "b1")
+    flat = ev.flatten_events(ev.fold_shards(events.good), "id bigint", "b1").good
     assert [r["dt"].isoformat() for r in flat.orderBy("id").collect()] == ["2023-12-31", "2024-01-01"]
     assert rows(ev.fold_shards(events.good).select("database", "table", "etl_table")) == [
         ("shop", "orders", "orders_01"), ("shop", "orders", "orders_02")]
@@ -69,6 +70,7 @@ def test_file_choice(spark, tmp_path):
     chosen = ev.select_new_files(found, ledger, max_hours=24, max_files=10)
     assert rows(chosen.select(name)) == [("11/late",), ("13/a",)]
     assert ev.select_new_files(found, ledger.limit(0), first_files=2).count() == 2
+    assert ev.select_new_files(found, ledger, max_hours=24, max_files=1).count() == 1
     near = ev.list_files(spark, "file:" + root, "t", ev.hours_glob(ledger, max_hours=1))
     assert rows(near.select(name)) == [("11/a",), ("11/late",), ("12/a",), ("13/a",)]
     assert ev.list_files(spark, "file:" + root, "other").count() == 0
@@ -135,7 +137,7 @@ def test_stream_late_file_and_replay(spark, tmp_path):
     # files of one instant come in either order: the batch is the one whose row was stored
     batch = int(orders.filter("id = 1").first()["flowid"].split("-")[1])
     for _ in range(2):
-        si.write_batch(lines, batch, targets(root), f"{root}/_results", f"{root}/_quarantine", run_id=si.run_id_of(f"{root}/cp"))
+        si.write_batch(lines, batch, targets(root), f"{root}/_results", f"{root}/_quarantine", run_id=si.run_token(spark, f"{root}/cp") + "-")
     assert rows(spark.read.parquet(f"{root}/ods/orders")) == before
 
     # a second checkpoint starts its batches at 0 again and leaves the first one's rows
@@ -154,6 +156,72 @@ def test_every_line_ends_in_a_table_or_in_quarantine(spark, tmp_path):
         ("no target for this table",), ("not an event",), ("payload does not fit: id",), ("payload is not an object",)]
 
 
+def test_a_checkpoint_made_anew_keeps_the_earlier_rows(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "in/a.json", [event("orders", MIDNIGHT, {"id": 1})])
+    run = lambda: si.ingest(spark, f"{root}/in", targets(root)[:1], root, f"{root}/cp").awaitTermination()
+    run()
+    token = si.run_token(spark, f"{root}/cp")
+    assert si.run_token(spark, f"{root}/cp") == token
+    shutil.rmtree(f"{root}/cp")
+    run()  # the same path, batch 0 again, another token
+    assert si.run_token(spark, f"{root}/cp") != token
+    ids = spark.read.parquet(f"{root}/ods/orders").select("id", "flowid")
+    assert [i for i, _ in rows(ids)] == [1, 1] and ids.select("flowid").distinct().count() == 2
+
+
+def test_lines_are_scanned_once_for_all_tables(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    put(root, "in/a.json", [event(t, MIDNIGHT, {"id": k}) for t in ("orders", "users", "other") for k in range(3)])
+    many = [si.Target("shop", t, SCHEMA, f"{root}/ods/{t}") for t in ("orders", "users", "none", "nobody")]
+    lines = ev.read_lines(spark, f"{root}/in")
+    staged = si.staged_by_table(lines, many)
+    assert rows(staged.groupBy("_target", "reason").count()) == sorted([(-1, "no target for this table", 3), (0, None, 3), (1, None, 3)], key=repr)
+    mine = staged.filter("_target = 1")
+    assert "PartitionFilters: [isnotnull(_target" in mine._jdf.queryExecution().executedPlan().toString()
+    si.write_batch(lines, 0, many, f"{root}/results", f"{root}/quarantine", now=lambda: NOW)
+    assert spark.read.parquet(f"{root}/results").filter("status = 'OK'").count() == 4
+    assert spark.read.parquet(f"{root}/quarantine").count() == 3
+
+
+def test_an_empty_batch_writes_its_ledger_rows(spark, tmp_path):
+    root = str(tmp_path)
+    lines = spark.createDataFrame([], "value string, file string")
+    si.write_batch(lines, 0, targets(root), f"{root}/results", f"{root}/quarantine", now=lambda: NOW)
+    assert spark.read.parquet(f"{root}/results").count() == 2
+
+
+def test_payloads_that_do_not_fit_are_told_apart(spark):
+    good = {"id": 1, "name": "a"}
+    lines = [event("t", MIDNIGHT, d) for d in (good, {"id": "x"}, {"id": 1.5}, {"name": 5}, {"id": None}, {}, [1], "text", None, {"id": 2**70})]
+    flat = ev.flatten_events(ev.parse_events(spark.createDataFrame([(x,) for x in lines], "value string")).good, "id bigint, name string", "b")
+    assert rows(flat.good.select("id", "name")) == sorted([(1, "a"), (None, "5"), (None, None), (None, None)], key=repr)
+    assert [r for r, in rows(flat.bad.select("reason"))] == ["payload does not fit: id"] * 3 + ["payload is not an object"] * 2
+    assert "data" in flat.bad.columns
+
+
+def test_history_is_taken_after_the_first_run(spark, tmp_path):
+    hours = [f"2024/01/{d:02d}/{h:02d}" for d in (1, 2, 3) for h in (0, 12)]
+    files = ev.with_path_hour(spark.createDataFrame([(f"/r/t/{h}/{k}", NOW + dt.timedelta(minutes=i)) for i, h in enumerate(hours) for k in "ab"], "file string, modificationTime timestamp"))
+    ledger, rounds = files.limit(0), []
+    while True:
+        chosen = ev.select_new_files(files, ledger, max_files=5, first_files=3)
+        taken = [f for f, in rows(chosen.select("file"))]
+        if not taken:
+            break
+        rounds.append(taken)
+        ledger = files.join(spark.createDataFrame([(f,) for r in rounds for f in r], "file string"), "file")
+        coverage = ev.hour_coverage(files, ledger)
+        if len(rounds) == 1:
+            assert ev.history_open(coverage)
+            assert rows(ev.covered_intervals(coverage).select("n_hours", "n_files")) == [(1, 2)]
+    assert sorted(f for r in rounds for f in r) == [f for f, in rows(files.select("file"))]
+    assert rounds[0] == [f"/r/t/{hours[4]}/a", f"/r/t/{hours[5]}/a", f"/r/t/{hours[5]}/b"]
+    assert rounds[1][0] == f"/r/t/{hours[0]}/a" and f"/r/t/{hours[4]}/b" in rounds[1]
+    assert not ev.history_open(coverage)
+    assert rows(ev.covered_intervals(coverage).select("n_hours", "n_files")) == [(6, 12)]
+
+
 def test_an_emptied_slice_loses_its_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, 2020, "a"), (2, 2021, "a"), (3, 2021, "b")], "v int, year int, term string")
