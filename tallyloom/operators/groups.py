@@ -11,8 +11,10 @@ from tallyloom.functions.numbers import percent
 from tallyloom.operators.joins import attach_totals
 from tallyloom.operators.windows import rank_in, top_n
 
-# Members of one group that go into one text or JSON value; larger groups continue in further parts.
+# Members of one group that are joined in one step; larger groups are joined from several such slices.
 PART_ROWS = 10_000
+# What one value may hold: Spark's limit is 2^31 bytes, some of them taken by its own bookkeeping.
+VALUE_BYTES = 2_000_000_000
 
 
 def count_if_matrix(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, Column],
@@ -51,12 +53,13 @@ def bucket(col: Column | str, edges: Sequence[float], labels: Sequence[str],
 def concat_group(df: DataFrame, keys: Sequence[str], col: str, order: str | None = None,
                  sep: str = ",", distinct: bool = False, out: str = "joined",
                  part_rows: int = PART_ROWS, tie: str | None = None,
-                 split: bool | None = None) -> DataFrame:
-    """Join the strings of each group in order; `part_no` is 0 unless a group needs more parts.
+                 split: bool | None = None, value_bytes: int = VALUE_BYTES) -> DataFrame:
+    """Join the strings of each group in order: one row and one value per group, whatever its size.
 
-    Distinct values are reduced to one row before anything is joined, at their smallest `order`.
-    Otherwise `tie`, a column unique in the group, keeps equal strings apart, which lets a group
-    of very many copies be cut.
+    Slices of `part_rows` members are joined first, each by its own task, then the slices by rank; a value beyond
+    `value_bytes` is an error that names its group.  Distinct values are reduced to one row before anything is joined,
+    at their smallest `order`.  Otherwise `tie`, a column unique in the group, keeps equal strings apart, which lets a
+    group of very many copies be cut.
     """
     keys, by = list(keys), order or col
     rows = df.filter(F.col(col).isNotNull()).select(
@@ -65,23 +68,37 @@ def concat_group(df: DataFrame, keys: Sequence[str], col: str, order: str | None
     if distinct:
         rows = rows.groupBy(*keys, "_text").agg(F.min("_by").alias("_by"), F.lit(0).alias("_tie"))
     ranked = rank_in(rows, keys, [F.col("_by").asc(), F.col("_text").asc(), F.col("_tie").asc()], "_rank", split)
-    parts = ranked.withColumn("part_no", F.floor((F.col("_rank") - 1) / F.lit(part_rows)).cast("long"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "_text"))),
                                       lambda x: x["_text"]), sep)
-    return parts.groupBy(*keys, "part_no").agg(joined.alias(out))
+    return _one_value(_sliced(ranked, keys, part_rows, joined), keys, sep, out, value_bytes)
 
 
 def collect_members(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
                     out: str = "members", part_rows: int = PART_ROWS,
-                    split: bool | None = None) -> DataFrame:
-    """Member rows of each parent as a JSON array, in order, in parts like `concat_group`."""
+                    split: bool | None = None, value_bytes: int = VALUE_BYTES) -> DataFrame:
+    """Member rows of each parent as one JSON array, in order, joined from slices like `concat_group`."""
     keys = list(keys)
     ranked = rank_in(df, keys, [F.col(c).asc() for c in order], "_rank", split)
-    parts = ranked.withColumn("part_no", F.floor((F.col("_rank") - 1) / F.lit(part_rows)).cast("long"))
     listed = F.array_sort(F.collect_list(F.struct("_rank", F.struct(*cols).alias("_row"))))
-    rows = F.transform(listed, lambda x: x["_row"])
-    return parts.groupBy(*keys, "part_no").agg(
-        F.to_json(rows, {"ignoreNullFields": "false"}).alias(out))
+    array = F.to_json(F.transform(listed, lambda x: x["_row"]), {"ignoreNullFields": "false"})
+    inside = array.substr(F.lit(2), F.length(array) - 2)
+    merged = _one_value(_sliced(ranked, keys, part_rows, inside), keys, ",", out, value_bytes)
+    return merged.withColumn(out, F.concat(F.lit("["), F.col(out), F.lit("]")))
+
+
+def _sliced(ranked: DataFrame, keys: list[str], part_rows: int, value: Column) -> DataFrame:
+    """One text per slice of a group: (keys, _part, _value)."""
+    part = F.floor((F.col("_rank") - 1) / F.lit(part_rows)).cast("long")
+    return ranked.withColumn("_part", part).groupBy(*keys, "_part").agg(value.alias("_value"))
+
+
+def _one_value(slices: DataFrame, keys: list[str], sep: str, out: str, value_bytes: int) -> DataFrame:
+    """The slices of each group joined in order; the rows of `rank_in` are placed by `keys`, so no shuffle is added."""
+    size = F.sum(F.octet_length("_value") + F.lit(len(sep.encode())))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_part", "_value"))), lambda x: x["_value"]), sep)
+    names = F.to_json(F.struct(*[F.first(k).alias(k) for k in keys]))
+    message = F.concat(F.lit(f"a joined value beyond {value_bytes} bytes: "), names)
+    return slices.groupBy(*keys).agg(F.when(size > value_bytes, F.raise_error(message).cast("string")).otherwise(joined).alias(out))
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],

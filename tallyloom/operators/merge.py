@@ -123,8 +123,7 @@ def audit_images(old: DataFrame, new: DataFrame, keys: Sequence[str], labels: Ma
                  cols: Sequence[str], members: DataFrame | None = None) -> DataFrame:
     """Change text with JSON images of the row before and after.
 
-    `members` (keys, `part_no`, `members`, see `collect_members`) adds the JSON array of member rows
-    to both images; a parent whose members come in several parts gets one log row per part.
+    `members` (keys, `members`, see `collect_members`) adds the JSON array of member rows to both images.
     """
     left = old.select(*keys, *[F.col(c).alias(f"old_{c}") for c in labels],
                       json_image(*keys, *cols).alias("image_before"))
@@ -139,7 +138,7 @@ def audit_images(old: DataFrame, new: DataFrame, keys: Sequence[str], labels: Ma
     for image in ("image_before", "image_after"):
         body = F.expr(f"substring({image}, 1, length({image}) - 1)")
         with_members = with_members.withColumn(image, F.concat(body, tail))
-    return with_members.withColumn("part_no", F.coalesce("part_no", F.lit(0))).drop("members")
+    return with_members.drop("members")
 
 
 @dataclass

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import scale
 from tallyloom.functions.dates import academic_year, calendar_year, term_number
-from tallyloom.operators.groups import bucket, concat_group, long_summary
+from tallyloom.operators.groups import PART_ROWS, bucket, concat_group, long_summary
 from tallyloom.operators.joins import Lookup, lookup
 from tallyloom.operators.quality import Gate, unique_violations
 from tallyloom.operators.sets import union_layouts
@@ -80,7 +80,7 @@ def teaching_summary(load: DataFrame, more: Mapping[str, Column] | None = None)
     return union_layouts([hours.withColumn("n_courses", F.lit(0).cast("long")), courses], distinct=False)
 
 
-def course_detail(teaching: DataFrame, people: DataFrame, only: Column | None = None) -> DataFrame:
+def course_detail(teaching: DataFrame, people: DataFrame, only: Column | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Distinct teacher names per college, course and term, with the calendar year of the term.
 
     teaching: person_id, course_code, year, term; people: person_id, college, name.  `only`
@@ -89,7 +89,7 @@ def course_detail(teaching: DataFrame, people: DataFrame, only: Column | None =
     chosen = people if only is None else people.filter(only)
     rows = teaching.join(chosen.select("person_id", "college", "name"), "person_id")
     keys = ["college", "course_code", "year", "term"]
-    return concat_group(rows, keys, "name", distinct=True, out="teachers").withColumn(
+    return concat_group(rows, keys, "name", distinct=True, out="teachers", part_rows=part_rows).withColumn(
         "calendar_year", calendar_year("year", "term"))
 
 

@@ -102,20 +102,16 @@ def banded_totals(tb: Tables) -> DataFrame:
         F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("total"))
 
 
-@query("""SELECT r_name, CAST(0 AS BIGINT) AS part_no, string_agg(DISTINCT n_name, ';' ORDER BY n_name) AS names
+@query("""SELECT r_name, string_agg(DISTINCT n_name, ';' ORDER BY n_name) AS names
           FROM nation JOIN region ON r_regionkey = n_regionkey GROUP BY r_name""")
 def names_per_region(tb: Tables) -> DataFrame:
     rows = tb.nation.join(tb.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return g.concat_group(rows, ["r_name"], "n_name", sep=";", distinct=True, out="names")
 
 
-@query("""SELECT o_custkey, CAST((rn - 1) // 5 AS BIGINT) AS part_no,
-                 string_agg(o_orderpriority, ',' ORDER BY rn) AS priorities FROM (
-            SELECT o_custkey, o_orderpriority, row_number() OVER (
-              PARTITION BY o_custkey ORDER BY o_orderdate, o_orderpriority) AS rn FROM orders)
-          GROUP BY 1, 2""")
+@query("""SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY o_orderdate, o_orderpriority) AS priorities FROM orders GROUP BY 1""")
 def order_history_text(tb: Tables) -> DataFrame:
-    return g.concat_group(tb.orders, ["o_custkey"], "o_orderpriority", "o_orderdate", out="priorities", part_rows=5,
+    return g.concat_group(tb.orders, ["o_custkey"], "o_orderpriority", "o_orderdate", out="priorities", part_rows=2,
                           tie="o_orderkey")
 
 
@@ -270,16 +266,15 @@ def pending_counts(tb: Tables) -> DataFrame:
         "customers": (tb.orders, "o_custkey", "o_orderstatus")}, "O")
 
 
-@query("""SELECT o_custkey AS custkey, CAST((rn - 1) // 4 AS BIGINT) AS part_no,
+@query("""SELECT o_custkey AS custkey,
             '[' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":' ||
-              CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}', ',' ORDER BY rn)
+              CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}', ',' ORDER BY o_orderkey)
             || ']' AS members
-          FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
-          GROUP BY 1, 2""")
+          FROM orders GROUP BY 1""")
 def orders_as_json(tb: Tables) -> DataFrame:
     rows = tb.orders.select(F.col("o_custkey").alias("custkey"), "o_orderkey",
                             F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
-    return g.collect_members(rows, ["custkey"], ["o_orderkey", "o_orderstatus"], ["o_orderkey"], part_rows=4)
+    return g.collect_members(rows, ["custkey"], ["o_orderkey", "o_orderstatus"], ["o_orderkey"], part_rows=2)
 
 
 @query("""SELECT count(*) AS n_rows, CASE WHEN count(*) = 0 THEN 'nothing to do' WHEN count(*) < 100 THEN

@@ -124,7 +124,7 @@ def limit_and_offset(tb: Tables) -> DataFrame:
         ordered.offset(10).limit(1).withColumn("pick", F.lit("eleventh")))
 
 
-@query("""SELECT c_nationkey, CAST(0 AS BIGINT) AS part_no,
+@query("""SELECT c_nationkey,
             string_agg(c_name, '>' ORDER BY c_acctbal, c_name) AS names FROM customer GROUP BY 1""")
 def sorted_inside_group(tb: Tables) -> DataFrame:
     return concat_group(tb.customer, ["c_nationkey"], "c_name", "c_acctbal", sep=">", out="names", tie="c_custkey")

@@ -471,7 +471,7 @@ def teaching_summary_blocks(tb: Tables) -> DataFrame:
                        (month(l_shipdate) % 3 + 1)::VARCHAR AS term, s_name AS name
                      FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey
                      WHERE s_acctbal > 7000)
-          SELECT college, course_code, year, term, CAST(0 AS BIGINT) AS part_no, string_agg(name, ',' ORDER BY name) AS teachers,
+          SELECT college, course_code, year, term, string_agg(name, ',' ORDER BY name) AS teachers,
                  CASE WHEN term = '1' THEN CAST(left(year, 4) AS BIGINT) ELSE CAST(left(year, 4) AS BIGINT) + 1 END AS calendar_year
           FROM s GROUP BY 1, 2, 3, 4""")
 def course_teachers(tb: Tables) -> DataFrame:
@@ -481,7 +481,7 @@ def course_teachers(tb: Tables) -> DataFrame:
         (F.month("l_shipdate") % 3 + 1).cast("string").alias("term"))
     staff = tb.supplier.join(tb.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("person_id"), F.col("n_regionkey").alias("college"), F.col("s_name").alias("name"), "s_acctbal")
-    out = teaching.course_detail(rows, staff, only=F.col("s_acctbal") > 7000)
+    out = teaching.course_detail(rows, staff, only=F.col("s_acctbal") > 7000, part_rows=2)
     return out.withColumn("calendar_year", F.col("calendar_year").cast("long"))
 
 
@@ -558,7 +558,7 @@ def patent_totals(tb: Tables) -> DataFrame:
                        strftime(o_orderdate, '%Y') AS year FROM orders JOIN customer ON c_custkey = o_custkey),
                n AS (SELECT l_orderkey, string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS names FROM lineitem
                      JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1)
-          SELECT major, award, kind, level, year, CASE WHEN names IS NOT NULL THEN 0 END AS part_no, names,
+          SELECT major, award, kind, level, year, names,
             row_number() OVER (PARTITION BY major ORDER BY
               CASE level WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END, kind, year DESC, award) AS place
           FROM a LEFT JOIN n ON l_orderkey = award""")
@@ -573,13 +573,12 @@ def award_lists(tb: Tables) -> DataFrame:
     placed = rank_in(rows, ["major"], order, "place").drop("_level", "o_custkey")
     winners = tb.lineitem.join(tb.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_orderkey").alias("award"), "s_name")
-    return placed.join(concat_group(winners, ["award"], "s_name", distinct=True, out="names"), "award", "left")
+    return placed.join(concat_group(winners, ["award"], "s_name", distinct=True, out="names", part_rows=2), "award", "left")
 
 
 @query("""WITH l AS (SELECT l_orderkey, string_agg(l_partkey || '/' || l_suppkey, ',' ORDER BY l_partkey, l_suppkey) AS members FROM lineitem GROUP BY 1),
                m AS (SELECT DISTINCT l_orderkey, unnest(string_split(members, ',')) AS member FROM l)
-          SELECT l_orderkey AS project, split_part(member, '/', 2) AS student_no, string_agg(split_part(member, '/', 1), ',' ORDER BY split_part(member, '/', 1)) AS names,
-                 CAST(0 AS BIGINT) AS part_no FROM m
+          SELECT l_orderkey AS project, split_part(member, '/', 2) AS student_no, string_agg(split_part(member, '/', 1), ',' ORDER BY split_part(member, '/', 1)) AS names FROM m
           WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') GROUP BY 1, 2""")
 def member_lists(tb: Tables) -> DataFrame:
     pairs = tb.lineitem.withColumns({"project": F.col("l_orderkey"), "member": F.concat_ws("/", "l_partkey", "l_suppkey")})

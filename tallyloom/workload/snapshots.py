@@ -173,12 +173,12 @@ def _image(t: str) -> str:
 
 @query(WITH + f""", m AS (SELECT o_custkey, '[' || string_agg('{{"o_orderkey":' || o_orderkey || '}}', ',' ORDER BY o_orderkey)
                           || ']' AS members FROM orders GROUP BY 1)
-          SELECT n.custkey, CAST(0 AS BIGINT) AS part_no, {CHANGE_TEXT} AS change_text, {_image('b')} AS image_before, {_image('n')} AS image_after
+          SELECT n.custkey, {CHANGE_TEXT} AS change_text, {_image('b')} AS image_before, {_image('n')} AS image_after
           FROM n JOIN b ON b.custkey = n.custkey JOIN m ON m.o_custkey = n.custkey WHERE {CHANGE_TEXT} <> ''""")
 def audit_images_customers(tb: Tables) -> DataFrame:
     before, now = snapshots(tb)
     members = collect_members(tb.orders.withColumnRenamed("o_custkey", "custkey"), ["custkey"], ["o_orderkey"],
-                              ["o_orderkey"])
+                              ["o_orderkey"], part_rows=2)
     return m.audit_images(before, now, ["custkey"], LABELS, ["n_orders", "priority"], members)
 
 

@@ -1,5 +1,7 @@
 """The paths taken for large inputs give the same results as the plain ones."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from tallyloom import scale
 from tallyloom.operators import joins as j, matching
 from tallyloom.operators import merge as m
 from tallyloom.operators import windows as w
-from tallyloom.operators.groups import concat_group
+from tallyloom.operators.groups import collect_members, concat_group
 from tests.conftest import rows
 from tools.oracle_check import connect, rows_of
 
@@ -68,15 +70,26 @@ def test_asof_join(hot, strict):
     assert {r[0]: r[-1] for r in split} == brute
 
 
-def test_long_groups_continue_in_parts(hot):
-    parts = concat_group(hot.withColumn("s", F.col("id").cast("string")), ["k"], "s", "id", part_rows=100, split=True)
-    joined = {}
-    for r in parts.orderBy("part_no").collect():
-        joined.setdefault(r["k"], []).extend(r["joined"].split(","))
+def test_long_groups_are_one_value(hot):
+    texts = hot.withColumn("s", F.col("id").cast("string"))
     want = {}
     for r in hot.orderBy("id").collect():
         want.setdefault(r["k"], []).append(str(r["id"]))
-    assert joined == want
+    for split in (True, False):
+        joined = {r["k"]: r["joined"].split(",") for r in concat_group(texts, ["k"], "s", "id", part_rows=100, split=split).collect()}
+        assert joined == want
+        members = {r["k"]: json.loads(r["members"]) for r in collect_members(texts, ["k"], ["s"], ["id"], part_rows=100, split=split).collect()}
+        assert members == {k: [{"s": s} for s in v] for k, v in want.items()}
+    largest = max(len(",".join(v)) for v in want.values())
+    assert concat_group(texts, ["k"], "s", "id", part_rows=100, value_bytes=largest + 1).count() == len(want)
+    with pytest.raises(Exception, match="beyond"):
+        concat_group(texts, ["k"], "s", "id", part_rows=100, value_bytes=largest).collect()
+
+
+def test_slices_join_without_another_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("s"))
+    plan = concat_group(df, ["k"], "s", part_rows=2, split=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_written_frame_keeps_rows_and_size_is_known(spark, hot):
