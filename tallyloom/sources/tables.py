@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.merge import diff_feed
 from tallyloom.operators.quality import Gate
 from tallyloom.sources.keyed import BUCKET_ROWS, KeyedTable
 
@@ -70,8 +71,10 @@ def refresh_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
             plain.write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    """Add the rows, those of every slice (`parts`) in one job."""
+    shaped = df.hint("rebalance", *[F.col(p) for p in parts]) if parts else df
+    shaped.write.mode("append").partitionBy(*parts).parquet(path)
 
 
 class Published:
@@ -93,14 +96,15 @@ class Published:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return rows.filter(F.col("name") == name).orderBy(F.desc("version")).first()
+        newest = rows.filter(F.col("name") == name).orderBy(F.desc("version")).first()
+        return None if newest is None or newest["path"] is None else newest
 
     def exists(self, name: str) -> bool:
         return self._versions(name) is not None
 
     def read(self, name: str) -> DataFrame:
         newest = self._versions(name)
-        if newest is None:
+        if newest is None:  # never announced, or retired
             raise LookupError(f"{name} has not been published under {self.root}")
         root, keyed, version = newest["path"].rpartition(KEYED)
         if keyed:
@@ -113,10 +117,8 @@ class Published:
 
         Rows are counted on the written files, which reads their footers, not the query again.
         """
-        newest = self._versions(name)
-        version = 1 if newest is None else newest["version"] + 1
         # a path of its own for every attempt: two writers never meet, the ledger row decides
-        path = f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         rows = self.spark.read.parquet(path).count()
         if rows == 0:
@@ -128,21 +130,56 @@ class Published:
         self._announce(name, path, rows, published_at)
         return Gate(True, rows, "ok")
 
-    def _announce(self, name: str, path: str, rows: int, published_at: dt.datetime) -> None:
-        newest = self._versions(name)
-        version = 1 if newest is None else newest["version"] + 1
-        entry = self.spark.createDataFrame([(name, version, path, rows, published_at)], VERSION_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(self.ledger)
+    def _announce(self, name: str, path: str | None, rows: int, published_at: dt.datetime) -> None:
+        self._announce_all([(name, path, rows)], published_at)
+
+    def _announce_all(self, entries: Sequence[tuple[str, str | None, int]], published_at: dt.datetime) -> None:
+        """Several names at once: one ledger file, so readers see all of them change or none.  A path of None retires the name."""
+        names = [name for name, _, _ in entries]
+        try:
+            seen = self.spark.read.schema(VERSION_SCHEMA).parquet(self.ledger).filter(F.col("name").isin(names))
+            last = {r["name"]: r["version"] for r in seen.groupBy("name").agg(F.max("version").alias("version")).collect()}
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = {}
+        made = [(name, last.get(name, 0) + 1, path, rows, published_at) for name, path, rows in entries]
+        self.spark.createDataFrame(made, VERSION_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger)
+
+    def retire(self, name: str, at: dt.datetime) -> None:
+        """The name is gone for readers; its files stay for versions and names that share them."""
+        self._announce(name, None, 0, at)
+
+    def roll_forward(self, name: str, now: DataFrame, keys: Sequence[str], watch: Sequence[str], published_at: dt.datetime,
+                     send: Callable[[DataFrame], None] | None = None) -> DataFrame:
+        """Send what is new or changed since the last snapshot, back it up as `<name>_feed` and keep the snapshot as `<name>_before`.
+
+        Both names change by one ledger entry, after `send`: a run that fails before it leaves the old snapshot, so the next one
+        finds the same differences again, and a second run on the same snapshot finds none.  The snapshot is written first and
+        compared as written, so a source that changes meanwhile cannot part the two.  Returns the rows sent, with `change`.
+        """
+        backup, before = (f"{self.root}/{name}_{part}/{uuid.uuid4().hex}" for part in ("feed", "before"))
+        now.write.parquet(before)
+        kept = self.spark.read.schema(now.schema).parquet(before)
+        old = self.read(f"{name}_before") if self.exists(f"{name}_before") else kept.limit(0)
+        diff_feed(kept, old, keys, watch).rows.write.parquet(backup)
+        sent = self.spark.read.parquet(backup)
+        if send is not None:
+            send(sent)
+        self._announce_all([(f"{name}_feed", backup, sent.count()), (f"{name}_before", before, kept.count())], published_at)
+        return sent
 
     def upsert(self, df: DataFrame, name: str, keys: Sequence[str], published_at: dt.datetime, bucket_rows: int = BUCKET_ROWS) -> Gate:
         """Publish the current version with rows of `df` replaced or added by key; only the buckets they fall in are rewritten.
 
-        A name published whole before becomes a keyed table first, which rewrites it once.
+        A name published whole before becomes a keyed table first, which rewrites it once; a retired one begins anew.
         """
         newest = self._versions(name)
         root = f"{self.root}/{name}/keyed"
         table = KeyedTable(self.spark, root, keys, bucket_rows)
-        if newest is not None and not newest["path"].startswith(root + KEYED):
+        if newest is None and table.version().version:
+            table.replace(df.limit(0), published_at)
+        elif newest is not None and not newest["path"].startswith(root + KEYED):
             table.replace(self.read(name), published_at)
         made = table.upsert(df, published_at)
         if made.n_rows == 0:
@@ -152,14 +189,14 @@ class Published:
 
     def publish_dated(self, df: DataFrame, name: str, day: str, published_at: dt.datetime,
                       min_rows: int = 1) -> Gate:
-        """Publish a dated result and, once it is seen to hold rows, its files under the stable name too.
+        """Publish a dated result and, once it is seen to hold rows, its files under the stable name; the dated name is then gone.
 
-        The stable name is one more ledger row on the same files, not a copy of them.
+        The files are written once; that the stable name takes them and the dated one loses them is one ledger entry.
         """
         stamped = f"{name}_{day.replace('-', '')}"
         dated = self.publish(df, stamped, published_at, min_rows)
         if dated.passed:
-            self._announce(name, self._versions(stamped)["path"], dated.rows, published_at)
+            self._announce_all([(name, self._versions(stamped)["path"], dated.rows), (stamped, None, 0)], published_at)
         return dated
 
 

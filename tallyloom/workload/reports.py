@@ -31,14 +31,12 @@ def _nation_orders(tb: Tables) -> DataFrame:
     return tb.orders.join(tb.customer, F.col("o_custkey") == F.col("c_custkey")).withColumnRenamed("c_nationkey", "unit")
 
 
-def _indicators(tb: Tables) -> dict[str, DataFrame]:
-    orders = _nation_orders(tb)
-    urgent = orders.filter("o_orderpriority = '1-URGENT' and o_totalprice > 400000")
-    counts = orders.groupBy("unit").agg(*[F.count_if(F.col("o_orderstatus") == s).alias(s) for s in "OFP"])
+def _indicators() -> dict[str, kpi.Indicator]:
+    status = F.col("o_orderstatus")
     return {
-        "urgent_rate": kpi.kpi_rate(urgent, orders, "unit", "o_custkey"),
-        "status_counts": counts.select("unit", kpi.slashed(F.col("O"), F.col("F"), F.col("P")).alias("value")),
-        "big_orders": orders.filter("o_totalprice > 499000").groupBy("unit").agg(F.count("*").alias("value")),
+        "urgent_rate": kpi.id_rate((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 400000)),
+        "status_counts": kpi.counts_text(*[status == s for s in "OFP"]),
+        "big_orders": kpi.counted(F.col("o_totalprice") > 499000),
     }
 
 
@@ -57,7 +55,7 @@ _KPI = """WITH o AS (SELECT c_nationkey AS unit, * FROM orders JOIN customer ON
 @query(_KPI + "SELECT unit, indicator, value FROM kpi")
 def kpi_table_by_nation(tb: Tables) -> DataFrame:
     units = tb.nation.select(F.col("n_nationkey").alias("unit"))
-    return kpi.kpi_table(units, _indicators(tb))
+    return kpi.kpi_from_base(units, _nation_orders(tb), _indicators(), id_col="o_custkey")
 
 
 @query(_KPI + """SELECT unit, max(value) FILTER (indicator = 'urgent_rate') AS urgent_rate,
@@ -65,8 +63,31 @@ def kpi_table_by_nation(tb: Tables) -> DataFrame:
           max(value) FILTER (indicator = 'big_orders') AS big_orders FROM kpi GROUP BY unit""")
 def kpi_wide_by_nation(tb: Tables) -> DataFrame:
     units = tb.nation.select(F.col("n_nationkey").alias("unit"))
-    indicators = _indicators(tb)
-    return kpi.kpi_wide(kpi.kpi_table(units, indicators), list(indicators))
+    table = kpi.kpi_from_base(units, _nation_orders(tb), _indicators(), id_col="o_custkey")
+    return kpi.kpi_wide(table, list(_indicators()))
+
+
+@query("""WITH o AS (SELECT c_nationkey AS unit, *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders JOIN customer ON c_custkey = o_custkey),
+    w AS (SELECT unit, count(DISTINCT o_custkey) AS ids, count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_custkey END) AS done_ids,
+            count(*) AS n, count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS pressing, count(*) FILTER (year(o_orderdate) = 1997) AS n97,
+            count(*) FILTER (year(o_orderdate) = 1997 AND o_orderstatus = 'F') AS f97, sum(price) AS total,
+            sum(price) FILTER (year(o_orderdate) = 1997) AS total97, count(*) FILTER (o_orderpriority = '5-LOW') AS low FROM o GROUP BY 1),
+    pct AS (SELECT unit, unnest([{'i': 'pressing_rate', 'a': pressing, 'b': n}, {'i': 'done_rate_1997', 'a': f97, 'b': n97}, {'i': 'done_people_rate', 'a': done_ids, 'b': ids}], recursive := true) FROM w),
+    v AS (SELECT unit, i AS indicator, CASE WHEN b > 0 THEN CAST(CAST((a * 20000 + b) // (2 * b) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(9,2))::VARCHAR END AS value FROM pct
+      UNION ALL SELECT unit, 'people', nullif(ids, 0)::VARCHAR FROM w UNION ALL SELECT unit, 'orders', nullif(n, 0)::VARCHAR FROM w
+      UNION ALL SELECT unit, 'value', total::VARCHAR FROM w UNION ALL SELECT unit, 'value_1997', total97::VARCHAR FROM w
+      UNION ALL SELECT unit, 'pressing_low', pressing || ' / ' || low FROM w)
+  SELECT unit, indicator, value FROM (SELECT n_nationkey AS unit, unnest(['people', 'orders', 'value', 'value_1997', 'pressing_rate', 'done_rate_1997',
+      'done_people_rate', 'pressing_low']) AS indicator FROM nation) LEFT JOIN v USING (unit, indicator)""")
+def kpi_one_pass(tb: Tables) -> DataFrame:
+    """Eight indicators of a unit, distinct people, rates, sums and texts, from one scan of the orders."""
+    pressing, year = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.year("o_orderdate")
+    done, price, anything = F.col("o_orderstatus") == "F", money("o_totalprice"), F.lit(True)
+    return kpi.kpi_from_base(tb.nation.select(F.col("n_nationkey").alias("unit")), _nation_orders(tb), {
+        "people": kpi.counted_ids(anything), "orders": kpi.counted(anything), "value": kpi.summed(price),
+        "value_1997": kpi.summed(F.when(year == 1997, price)), "pressing_rate": kpi.row_rate(pressing),
+        "done_rate_1997": kpi.row_rate(done, among=year == 1997), "done_people_rate": kpi.id_rate(done),
+        "pressing_low": kpi.counts_text(pressing, F.col("o_orderpriority") == "5-LOW")}, id_col="o_custkey")
 
 
 @query("""SELECT c_nationkey AS unit, 'orders' AS indicator, strftime(o_orderdate, '%Y') AS period, count(*) AS value

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,11 @@ from tallyloom.operators import sets as s
 from tallyloom.operators.groups import collect_members
 from tallyloom.operators.matching import Rule, match_cascade, resolve_identity
 from tallyloom.operators.merge import Policy
+from tallyloom.scale import fresh_path
+from tallyloom.sources.tables import Published
 from tallyloom.workload.registry import Tables, query
 
+NOW = dt.datetime(2024, 2, 1)
 # All orders before this day make the old state, all from it on the new one.
 SPLIT = "1998-07-01"
 OLD, NEW = f"o_orderdate < TIMESTAMP '{SPLIT}'", f"o_orderdate >= TIMESTAMP '{SPLIT}'"
@@ -189,6 +194,24 @@ def diff_feed_customers(tb: Tables) -> DataFrame:
     return m.diff_feed(now, before, ["custkey"], WATCH).rows.select("custkey", "n_orders", "change")
 
 
+@query(WITH + f"""SELECT run, change, n FROM (
+            SELECT 'first' AS run, 'new' AS change, count(*) AS n FROM b
+            UNION ALL SELECT 'second', 'new', count(*) FROM n WHERE custkey NOT IN (SELECT custkey FROM b)
+            UNION ALL SELECT 'second', 'changed', count(*) FROM n JOIN b ON b.custkey = n.custkey WHERE {DIFFERS}
+            UNION ALL SELECT 'back', 'new', count(*) FROM b WHERE custkey NOT IN (SELECT custkey FROM n)
+            UNION ALL SELECT 'back', 'changed', count(*) FROM n JOIN b ON b.custkey = n.custkey WHERE {DIFFERS}) WHERE n > 0""")
+def rolled_forward_feed(tb: Tables) -> DataFrame:
+    """A first snapshot, the next one twice, and the first again: the repeated run sends nothing."""
+    before, now = snapshots(tb)
+    tables = Published(tb.spark, fresh_path(tb.spark, "feed"))
+    out = None
+    for run, snapshot in (("first", before), ("second", now), ("again", now), ("back", before)):
+        sent = tables.roll_forward("customers", snapshot, ["custkey"], WATCH, NOW)
+        counted = sent.groupBy(F.lit(run).alias("run"), "change").agg(F.count("*").alias("n"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 @query("""WITH src AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'),
                p AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
                mem AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linestatus = 'O')

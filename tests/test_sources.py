@@ -230,11 +230,61 @@ def test_an_emptied_slice_loses_its_rows(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("v", "year", "term")) == [(1, 2020, "a"), (9, 2021, "b")]
 
 
-def test_a_dated_result_is_published_once_under_two_names(spark, tmp_path):
+def test_a_dated_result_moves_to_the_stable_name(spark, tmp_path):
     tables = Published(spark, str(tmp_path))
     assert tables.publish_dated(spark.range(3).toDF("k"), "t", "2024-01-02", NOW).passed
-    assert rows(tables.read("t")) == rows(tables.read("t_20240102"))
-    assert tables._versions("t")["path"] == tables._versions("t_20240102")["path"]
+    assert rows(tables.read("t")) == [(0,), (1,), (2,)]
+    assert not tables.exists("t_20240102")
+    with pytest.raises(LookupError):
+        tables.read("t_20240102")
+    # a refused result changes neither name, a later one of the same day takes its place
+    assert not tables.publish_dated(spark.range(0).toDF("k"), "t", "2024-01-02", NOW).passed
+    assert tables.read("t").count() == 3
+    assert tables.publish_dated(spark.range(5).toDF("k"), "t", "2024-01-02", NOW).passed and tables.read("t").count() == 5
+
+
+def test_a_feed_rolls_forward_with_its_backup(spark, tmp_path):
+    tables = Published(spark, str(tmp_path))
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
+    second = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d")], "k int, v string")
+    sent = []
+
+    def run(snapshot, send=None):
+        got = rows(tables.roll_forward("t", snapshot, ["k"], ["v"], NOW, send).select("k", "change"))
+        sent.append(got)
+        return got
+
+    assert run(first) == [(1, "new"), (2, "new"), (3, "new")] and run(first) == []
+
+    def refuse(rows_to_send):
+        raise ConnectionError("away")
+
+    with pytest.raises(ConnectionError):
+        run(second, refuse)
+    assert rows(tables.read("t_before")) == rows(first) and tables.read("t_feed").count() == 0
+    assert run(second) == [(2, "changed"), (4, "new")] and run(second) == []
+    # a row that was gone in between is new again
+    assert run(first) == [(2, "changed"), (3, "new")]
+    assert rows(tables.read("t_before")) == rows(first)
+    ledger = spark.read.parquet(tables.ledger)
+    versions = ledger.groupBy("name").agg(F.max("version")).orderBy("name")
+    assert [tuple(r) for r in versions.collect()] == [("t_before", 5), ("t_feed", 5)]
+
+
+def test_names_change_between_whole_and_keyed(spark, tmp_path):
+    tables = Published(spark, str(tmp_path))
+    kv = lambda *pairs: spark.createDataFrame(list(pairs), "k int, v string")
+    tables.upsert(kv((1, "a"), (2, "a")), "t", ["k"], NOW)
+    tables.upsert(kv((2, "b")), "t", ["k"], NOW)
+    assert rows(tables.read("t")) == [(1, "a"), (2, "b")]
+    tables.publish(kv((9, "z")), "t", NOW)
+    assert rows(tables.read("t")) == [(9, "z")]
+    tables.upsert(kv((1, "c")), "t", ["k"], NOW)
+    assert rows(tables.read("t")) == [(1, "c"), (9, "z")]
+    tables.retire("t", NOW)
+    assert not tables.exists("t")
+    tables.upsert(kv((5, "e")), "t", ["k"], NOW)
+    assert rows(tables.read("t")) == [(5, "e")]
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
