@@ -144,68 +144,6 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies::BIGINT
 FROM (SELECT *, unnest(range(n)) AS nth FROM dealt)
 """
 
-# The template tree level by level; lists stand for shapes.
-ORACLE_SQL["op2_urls"] = r"""
-WITH cut AS (
-  SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-parsed AS (
-  SELECT page_id, translate(regexp_extract(rest, '\A([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(rest, '\A[^/?#]*([^?#]*)', 1) AS path FROM cut),
-shaped AS (
-  SELECT *, string_split(path, '/') AS seg,
-         try_cast(nullif(regexp_extract(path, '/([0-9]{1,18})[^/]*/?\z', 1), '') AS BIGINT) AS label FROM parsed),
-pieces AS (
-  SELECT *, CASE WHEN path = '' THEN NULL ELSE regexp_replace(seg[2], '[0-9]+', '*', 'g') END AS s0,
-         CASE WHEN len(seg) >= 3 THEN regexp_replace(seg[3], '[0-9]+', '*', 'g') END AS s1,
-         CASE WHEN len(seg) >= 4 THEN regexp_replace(seg[4], '[0-9]+', '*', 'g') END AS s2,
-         CASE WHEN len(seg) >= 5 THEN '**' END AS s3 FROM shaped),
-known AS (
-  SELECT doc_id AS label, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
-  WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
-shapes AS (
-  SELECT host, s0, s1, s2, s3, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
-  FROM pieces p LEFT JOIN known k ON p.label = k.label GROUP BY host, s0, s1, s2, s3),
-l0 AS (
-  SELECT *, CASE WHEN s0 IS NULL THEN '' WHEN (SELECT count(DISTINCT x.s0) FROM shapes x WHERE x.host = a.host) > 16
-            THEN '*' ELSE s0 END AS t0 FROM shapes a),
-l1 AS (
-  SELECT *, CASE WHEN s1 IS NULL THEN '' WHEN (SELECT count(DISTINCT x.s1) FROM l0 x WHERE x.host = a.host AND x.t0 = a.t0) > 16
-            THEN '*' ELSE s1 END AS t1 FROM l0 a),
-l2 AS (
-  SELECT *, CASE WHEN s2 IS NULL THEN '' WHEN (SELECT count(DISTINCT x.s2) FROM l1 x WHERE x.host = a.host AND x.t0 = a.t0 AND x.t1 = a.t1) > 16
-            THEN '*' ELSE s2 END AS t2 FROM l1 a),
-tree AS (
-  SELECT *, concat_ws('/', '', CASE WHEN s0 IS NOT NULL THEN t0 END, CASE WHEN s1 IS NOT NULL THEN t1 END,
-                      CASE WHEN s2 IS NOT NULL THEN t2 END, s3) AS template FROM l2),
-merged AS (SELECT host, t0, t1, t2, template, sum(labelled)::DOUBLE AS n4, sum(bad)::DOUBLE AS b4 FROM tree GROUP BY host, t0, t1, t2, template),
-sums AS (
-  SELECT *, sum(n4) OVER (PARTITION BY host) AS n0, sum(b4) OVER (PARTITION BY host) AS b0,
-         sum(n4) OVER (PARTITION BY host, t0) AS n1, sum(b4) OVER (PARTITION BY host, t0) AS b1,
-         sum(n4) OVER (PARTITION BY host, t0, t1) AS n2, sum(b4) OVER (PARTITION BY host, t0, t1) AS b2,
-         sum(n4) OVER (PARTITION BY host, t0, t1, t2) AS n3, sum(b4) OVER (PARTITION BY host, t0, t1, t2) AS b3 FROM merged),
-apart AS (
-  SELECT *, DIFFERS(b1, n1, b0, n0) AS d1, DIFFERS(b2, n2, b1, n1) AS d2, DIFFERS(b3, n3, b2, n2) AS d3, DIFFERS(b4, n4, b3, n3) AS d4 FROM sums),
-chosen AS (
-  SELECT *, CASE WHEN d4 THEN n4 WHEN d3 THEN n3 WHEN d2 THEN n2 WHEN d1 THEN n1 ELSE n0 END AS n,
-         CASE WHEN d4 THEN b4 WHEN d3 THEN b3 WHEN d2 THEN b2 WHEN d1 THEN b1 ELSE b0 END AS b FROM apart),
-rate AS (SELECT coalesce((sum(labelled) - sum(bad))::DOUBLE / nullif(sum(labelled), 0), 1.0) AS good FROM shapes),
-judged AS (
-  SELECT *, (n - b + 10.0 * ((n0 - b0 + 10.0 * (SELECT good FROM rate)) / (n0 + 10.0))) / (n + 10.0) AS purity FROM chosen),
-ruled AS (
-  SELECT p.*, t.template, j.purity,
-         CASE WHEN (p.host = 'example.org' OR p.host LIKE '%.example.org') AND p.path LIKE '/en/1%' THEN 'example.org/en/1'
-              WHEN (p.host = 'example.org' OR p.host LIKE '%.example.org') AND p.path LIKE '/es/%' THEN 'example.org/es/'
-              WHEN (p.host = 'com' OR p.host LIKE '%.com') AND p.path LIKE '/fr/%' THEN 'com/fr/'
-              WHEN (p.host = 'com' OR p.host LIKE '%.com') AND p.path LIKE '/de/%' THEN 'com/de/'
-              WHEN (p.host = 'org' OR p.host LIKE '%.org') AND p.path LIKE '/%' THEN 'org/' END AS rule
-  FROM pieces p JOIN tree t ON p.host = t.host AND p.s0 IS NOT DISTINCT FROM t.s0 AND p.s1 IS NOT DISTINCT FROM t.s1
-    AND p.s2 IS NOT DISTINCT FROM t.s2 AND p.s3 IS NOT DISTINCT FROM t.s3
-  JOIN judged j ON j.host = t.host AND j.t0 = t.t0 AND j.t1 = t.t1 AND j.t2 = t.t2 AND j.template = t.template)
-SELECT page_id, host, path, rule, template,
-       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN purity < 0.5 THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled
-"""
-
 # The same cuts by substr, which counts code points.
 ORACLE_SQL["op12_fill"] = r"""
 WITH hashed AS (
@@ -306,20 +244,3 @@ LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
 LEFT JOIN backward b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.i = 1
 LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
 """
-
-
-def _differs_sql(text: str) -> str:
-    """Writes out DIFFERS(bad, n, bad of the parent, n of the parent): the pooled test of a branch against the rest."""
-    import re
-
-    def test(m: re.Match) -> str:
-        b, n, pb, pn = m.groups()
-        rest, rest_bad = f"({pn} - {n})", f"({pb} - {b})"
-        spread = f"(({pb} / greatest({pn}, 1)) * (1 - {pb} / greatest({pn}, 1)) * (1 / greatest({n}, 1) + 1 / greatest({rest}, 1)))"
-        gap = f"({b} / greatest({n}, 1) - {rest_bad} / greatest({rest}, 1))"
-        return f"({n} * {rest} > 0 AND {gap} * {gap} > 1.96 * 1.96 * {spread} AND {spread} > 0)"
-
-    return re.sub(r"DIFFERS\((\w+), (\w+), (\w+), (\w+)\)", test, text)
-
-
-ORACLE_SQL["op2_urls"] = _differs_sql(ORACLE_SQL["op2_urls"])

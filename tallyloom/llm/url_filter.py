@@ -1,8 +1,8 @@
 """URL filters: fixed rules by host and path, and a path-template tree judged by labelled purity.
 
-Paths are generalised into templates: digits become a wildcard, and so does a segment whose place in the
-tree has many different values, except for values that the labels tell from the others.  Branches whose labelled share of bad pages does not differ from that of the
-rest of their parent are merged into it.  Templates whose smoothed purity is low are blocked.
+Paths are generalised into templates: digits become a wildcard, and so do the segments of a place in the tree that the
+labels do not tell from each other, however many or few they are.  Branches whose labelled share of bad pages does not
+differ from that of the rest of their parent are merged into it.  Templates whose smoothed purity is low are blocked.
 """
 
 from __future__ import annotations
@@ -45,26 +45,26 @@ def path_shape(path: Column) -> Column:
     return F.when(path == "", F.array().cast("array<string>")).otherwise(named)
 
 
-def templates(shapes: DataFrame, max_children: int = 16, z_limit: float = 1.96, strength: float = 10.0) -> DataFrame:
+def templates(shapes: DataFrame, z_limit: float = 1.96, strength: float = 10.0) -> DataFrame:
     """(host, shape, template, labelled, purity) from `shapes` (host, shape, pages, labelled, bad).
 
-    `shapes` has a row per host and path shape.  Where a parent in the tree has more than `max_children` different
-    segments, those become one wildcard that have fewer than `strength` labelled pages or do not differ from
-    their siblings, neither themselves nor by a branch below; the others stay, however many they are.  The wildcard is
-    `*`, or `?` where the digits' `*` stays beside it.  `purity` is the share of good pages in the branch a template
-    belongs to after merging, smoothed with `strength` pages at its host's rate, which is itself
-    smoothed with as many at the rate of all labelled pages.
+    `shapes` has a row per host and path shape.  Where a place in the tree has several segments, those become one
+    wildcard that a two-proportion test does not tell from their siblings, neither themselves nor by a branch below; the
+    others stay.  The wildcard is `*`, or `?` where the digits' `*` stays beside it; a segment without siblings keeps its
+    name.  `purity` is the share of good pages in the branch a template belongs to after merging, smoothed with
+    `strength` pages at its host's rate, which is itself smoothed with as many at the rate of all labelled pages: so few
+    labels alone block nothing.
 
-    The tree is walked to the full depth of the paths, one round per level, by the shapes whose node still
-    forks below; what a node's shapes all share needs no round.
+    The tree is walked to the full depth of the paths, a round per fork on the way: what all shapes of a node share
+    is passed over at once, however long.
     """
     rows = written(shapes.select("host", "shape", "labelled", "bad"))
     all_rows = rows.agg(F.coalesce((F.sum("labelled") - F.sum("bad")) / F.nullif(F.sum("labelled"), F.lit(0)), F.lit(1.0)))
     # first without wildcards, for the depth down to which labels tell a shape's branches apart
-    ended = _leaves(_leaves(rows.withColumn("told", F.lit(0)), None, z_limit, strength), max_children, z_limit, strength)
+    ended = _leaves(_leaves(rows.withColumn("told", F.lit(0)), False, z_limit), True, z_limit)
     ended = ended.withColumn("template", F.concat_ws("/", F.lit(""), F.col("named"), _rest(F.col("shape"), F.size("named"))))
     # the last level: paths that differ in a slash at their end only
-    last = ended.groupBy("host", "node", "template").agg(F.sum("labelled").alias("leaf_n"), F.sum("bad").alias("leaf_b"))
+    last = written(ended.groupBy("host", "node", "template").agg(F.sum("labelled").alias("leaf_n"), F.sum("bad").alias("leaf_b")))
     judged = _beside(ended, last, ["host", "node", "template"])
     apart = _differs(F.col("leaf_b"), F.col("leaf_n"), F.col("node_b") - F.col("leaf_b"), F.col("node_n") - F.col("leaf_n"), z_limit)
     n, b = F.when(apart, F.col("leaf_n")).otherwise(F.col("n")), F.when(apart, F.col("leaf_b")).otherwise(F.col("b"))
@@ -83,47 +83,61 @@ def _beside(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(renamed, equal_keys(keys, [f"{k}_at" for k in keys])).drop(*[f"{k}_at" for k in keys])
 
 
-def _leaves(rows: DataFrame, max_children: int | None, z_limit: float, least: float) -> DataFrame:
+def _leaves(rows: DataFrame, merge: bool, z_limit: float) -> DataFrame:
     """`rows` (host, shape, labelled, bad, told) at the end of their walk down the tree of their host.
 
-    Adds `node`, where the walk ended: below it all shapes are the same; `named`, the segments up to it with their wildcards;
+    Adds `node`, where the walk ended: below it all shapes are the same; `named`, the segments up to it, with wildcards if `merge`;
     the labels of the node, of the host and (`n`, `b`) of the deepest branch on the way that differs from the rest of its parent.
-    `told` becomes the number of segments of the deepest branch that differs and has `least` labelled pages.
+    `told` becomes the number of segments of the deepest branch that differs.
+
+    Aggregates are written before they meet the rows they are made of, so that a host or a node with a third of all
+    shapes is split like any skewed join.
     """
     rows = rows.select("host", "shape", "labelled", "bad", "told")
-    hosts = rows.groupBy("host").agg(F.sum("labelled").alias("host_n"), F.sum("bad").alias("host_b"))
-    at = _beside(rows, hosts, ["host"]).withColumns({
-        "node": F.lit(""), "named": F.array().cast("array<string>"), "node_n": F.col("host_n"), "node_b": F.col("host_b"), "n": F.col("host_n"), "b": F.col("host_b")})
-    kept, ended, d = at.columns, [], 0
+    hosts = written(rows.groupBy("host").agg(F.sum("labelled").alias("host_n"), F.sum("bad").alias("host_b"),
+                                             F.min("shape").alias("low"), F.max("shape").alias("high")))
+    at = _beside(rows, hosts.withColumn("depth", _shared("low", "high")).drop("low", "high"), ["host"]).withColumns({
+        "named": F.slice("shape", F.lit(1), F.col("depth")), "node": F.lit(""),
+        "node_n": F.col("host_n"), "node_b": F.col("host_b"), "n": F.col("host_n"), "b": F.col("host_b")})
+    kept, ended = at.columns, []
+    # hosts of one shape end where they begin
     at = written(at)
     while True:
-        at = at.withColumn("segment", F.get("shape", F.lit(d)))
-        children = at.groupBy("host", "node", "segment").agg(
-            F.sum("labelled").alias("child_n"), F.sum("bad").alias("child_b"),
-            F.min(_rest(F.col("shape"), d + 1)).alias("low"), F.max(_rest(F.col("shape"), d + 1)).alias("high"),
-            F.max("told").alias("deepest"), F.first("node_n").alias("all_n"), F.first("node_b").alias("all_b"))
-        own = (F.col("child_n") >= least) & ((F.col("deepest") > d + 1) | _differs(
-            F.col("child_b"), F.col("child_n"), F.col("all_b") - F.col("child_b"), F.col("all_n") - F.col("child_n"), z_limit))
+        at = at.withColumns({"segment": F.get("shape", F.col("depth")), "below": _rest(F.col("shape"), F.col("depth") + 1)})
+        children = written(at.groupBy("host", "node", "segment").agg(
+            F.sum("labelled").alias("child_n"), F.sum("bad").alias("child_b"), F.min("below").alias("low"), F.max("below").alias("high"),
+            F.max("told").alias("deepest"), F.first("depth").alias("from"), F.first("node_n").alias("all_n"), F.first("node_b").alias("all_b")))
+        own = (F.col("deepest") > F.col("from") + 1) | _differs(
+            F.col("child_b"), F.col("child_n"), F.col("all_b") - F.col("child_b"), F.col("all_n") - F.col("child_n"), z_limit)
         children = children.withColumn("own", own)
-        fans = children.groupBy("host", "node").agg(F.count("segment").alias("children"), F.max(F.col("own") & F.col("segment").eqNullSafe("*")).alias("digits"))
-        wide = F.lit(False) if max_children is None else (F.col("children") > max_children) & F.col("segment").isNotNull() & ~F.col("own")
-        name = F.when(wide, F.when(F.col("digits"), F.lit("?")).otherwise(F.lit("*"))).otherwise(F.coalesce("segment", F.lit("")))
+        fans = written(children.groupBy("host", "node").agg(F.count("segment").alias("children"), F.max(F.col("own") & F.col("segment").eqNullSafe("*")).alias("digits")))
+        wild = F.lit(merge) & (F.col("children") > 1) & F.col("segment").isNotNull() & ~F.col("own")
+        name = F.when(wild, F.when(F.col("digits"), F.lit("?")).otherwise(F.lit("*"))).otherwise(F.coalesce("segment", F.lit("")))
         children = _beside(children, fans, ["host", "node"]).withColumn("name", name)
-        branches = children.groupBy("host", "node", "name").agg(
-            F.sum("child_n").alias("branch_n"), F.sum("child_b").alias("branch_b"), (F.min("low") == F.max("high")).alias("same"))
-        placed = _beside(children.select("host", "node", "segment", "name"), branches, ["host", "node", "name"])
+        branches = written(children.groupBy("host", "node", "name").agg(
+            F.sum("child_n").alias("branch_n"), F.sum("child_b").alias("branch_b"), F.min("low").alias("low"), F.max("high").alias("high")))
+        placed = _beside(children.select("host", "node", "segment", "name"), branches, ["host", "node", "name"]) \
+            .withColumns({"shared": _shared("low", "high"), "same": F.col("low") == F.col("high")}).drop("low", "high")
         apart = _differs(F.col("branch_b"), F.col("branch_n"), F.col("node_b") - F.col("branch_b"), F.col("node_n") - F.col("branch_n"), z_limit)
-        stepped = _beside(at, placed, ["host", "node", "segment"]).withColumns({
+        passed = F.slice("below", F.lit(1), F.col("shared"))
+        inside = F.when(F.col("segment").isNotNull(), F.concat("named", F.array("name"), passed)).otherwise(F.col("named"))
+        stepped = _beside(at, written(placed), ["host", "node", "segment"]).withColumns({
             "n": F.when(apart, F.col("branch_n")).otherwise(F.col("n")), "b": F.when(apart, F.col("branch_b")).otherwise(F.col("b")),
-            "told": F.when(apart & (F.col("branch_n") >= least), F.greatest("told", F.lit(d + 1))).otherwise(F.col("told")),
-            "node": F.concat("node", F.lit("/"), "name"), "node_n": F.col("branch_n"), "node_b": F.col("branch_b"),
-            "named": F.when(F.col("segment").isNotNull(), F.concat("named", F.array("name"))).otherwise(F.col("named"))})
+            "told": F.when(apart, F.greatest("told", F.col("depth") + 1)).otherwise(F.col("told")),
+            "node": F.concat_ws("/", "node", "name", F.when(F.col("segment").isNotNull(), F.array_join(passed, "/"))),
+            "node_n": F.col("branch_n"), "node_b": F.col("branch_b"), "named": inside,
+            "depth": F.col("depth") + 1 + F.col("shared")})
         moved = written(stepped.select(*kept, "same"))
         ended.append(moved.where("same").drop("same"))
         at = moved.where("NOT same").drop("same")
         if at.isEmpty():
             return reduce(DataFrame.unionAll, ended)
-        d += 1
+
+
+def _shared(low: str, high: str) -> Column:
+    """Segments that the least and the greatest of some paths share at their head: those that all share."""
+    at = F.array_position(F.zip_with(low, high, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(at == 0, F.size(high)).otherwise(at - 1).cast("int")
 
 
 def _differs(bad: Column, n: Column, bad_rest: Column, n_rest: Column, limit: float) -> Column:
