@@ -124,7 +124,7 @@ def _leaves(rows: DataFrame, merge: bool, z_limit: float) -> DataFrame:
         stepped = _beside(at, written(placed), ["host", "node", "segment"]).withColumns({
             "n": F.when(apart, F.col("branch_n")).otherwise(F.col("n")), "b": F.when(apart, F.col("branch_b")).otherwise(F.col("b")),
             "told": F.when(apart, F.greatest("told", F.col("depth") + 1)).otherwise(F.col("told")),
-            "node": F.concat_ws("/", "node", "name", F.when(F.col("segment").isNotNull(), F.array_join(passed, "/"))),
+            "node": F.concat_ws("/", "node", "name", F.when(F.col("shared") > 0, F.array_join(passed, "/"))),
             "node_n": F.col("branch_n"), "node_b": F.col("branch_b"), "named": inside,
             "depth": F.col("depth") + 1 + F.col("shared")})
         moved = written(stepped.select(*kept, "same"))
