@@ -65,6 +65,19 @@ def uniform_key(seed: int, *columns: str | Column) -> Column:
 
 
 KEY_BITS = 48
+COPIES_AT_ONCE = 10_000
+
+
+def each_copy(df: DataFrame, n: str, out: str) -> DataFrame:
+    """`df` with a row for each of the `n` rows that one of its rows stands for, numbered from 0 in `out`.
+
+    Rows are dealt out between two steps of COPIES_AT_ONCE each, so that one repeated a hundred million times is no
+    array of that size and not the work of one task.
+    """
+    start = free_name(df, "from")
+    steps = df.withColumn(start, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(COPIES_AT_ONCE).cast("long"))))
+    until = F.least(F.col(start) + COPIES_AT_ONCE, F.col(n)) - 1
+    return steps.repartition(*steps.columns).withColumn(out, F.explode(F.sequence(F.col(start), until))).drop(start)
 
 
 def slices_for(rows: int) -> int:

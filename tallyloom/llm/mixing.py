@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import equal_keys, prefix_sums, slices_for, uniform_key, word_count
+from tallyloom.llm.common import each_copy, equal_keys, prefix_sums, slices_for, uniform_key, word_count
 from tallyloom.scale import written
 
 
@@ -95,7 +95,7 @@ def _dealt(docs: DataFrame, source: str, text: str, ident: str, cycle: tuple[flo
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """One row per document: (doc_id, source, size, source_size, target, copies, taken); see `mix`."""
-    return mix(docs, **options).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_alike")))) \
+    return each_copy(mix(docs, **options), "n_alike", "nth") \
         .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 

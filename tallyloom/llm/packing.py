@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import prefix_sums, slices_for, uniform_key, word_count
+from tallyloom.llm.common import each_copy, prefix_sums, slices_for, uniform_key, word_count
 from tallyloom.scale import written
 
 
@@ -64,19 +64,21 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 65_536, ident:
     The histogram has a row per distinct length: D of them need about D*D/2 tokens, so its size is at
     most the square root of twice the corpus.
 
-    Null and empty texts have `end_tokens` tokens; repeated rows (the mix makes them) are packed each;
-    an empty table gives no rows; a text longer than the budget is a batch of its own, uncut.
+    Null and empty texts have `end_tokens` tokens; repeated rows (the mix makes them) are counted before they move,
+    numbered and packed each, however many there are; an empty table gives no rows; a text longer than the budget is
+    a batch of its own, uncut; columns other than id and text are not read.
     """
-    narrow = written(docs.select(
+    alike = docs.select(
         F.col(ident).cast("long").alias("doc_id"), (word_count(text) + end_tokens).cast("long").alias("n_tokens"),
-        uniform_key(seed, ident, F.crc32(F.coalesce(F.col(text), F.lit("")))).alias("key")))
+        F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("crc")).groupBy("doc_id", "n_tokens", "crc").agg(F.count("*").alias("n_alike"))
+    narrow = written(each_copy(alike, "n_alike", "nth").select("doc_id", "n_tokens", "nth", uniform_key(seed, "doc_id", "crc", "nth").alias("key")))
     histogram = narrow.groupBy("n_tokens").count().orderBy("n_tokens").collect()
     bounds = best_boundaries(np.array([r["n_tokens"] for r in histogram]), np.array([r["count"] for r in histogram]), buckets)
     rows = sum(r["count"] for r in histogram)
     ends = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
     bucket = F.size(F.filter(ends, lambda e: e < F.col("n_tokens")))
     placed = prefix_sums(narrow.withColumn("bucket", bucket).withColumn("one", F.lit(1).cast("long")),
-                         ["bucket"], "key", ["doc_id", "n_tokens"], {"rank": "one"}, slices_for(max(1, rows // max(1, len(bounds)))))
+                         ["bucket"], "key", ["doc_id", "n_tokens", "nth"], {"rank": "one"}, slices_for(max(1, rows // max(1, len(bounds)))))
     length = F.get(ends, F.col("bucket"))  # the bucket's upper bound
     per_batch = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(token_budget) / F.col("bucket_len")))
     return placed.withColumn("bucket_len", length).withColumn("_per", per_batch) \

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY_BITS, prefix_sums, slices_for, uniform_key
+from tallyloom.llm.common import KEY_BITS, each_copy, prefix_sums, slices_for, uniform_key
 from tallyloom.scale import written
 
 
@@ -40,15 +40,33 @@ def communication_matrix(part_rows: np.ndarray, sizes: np.ndarray, seed: int) ->
     return out
 
 
+ONE_BY_ONE = 64
+
+
 def _hypergeometric(draw: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """Good ones among n drawn from an urn, exactly, at any size.
+
+    Beyond the generator's limit every ball is drawn with probability n over all, which is two binomial draws; that leaves
+    about the square root of n too many or too few, and those are put back or drawn in the same way.
+    """
+    every = good + bad
     if n == 0 or good == 0:
         return 0
-    if good + bad < 1_000_000_000:  # the generator's own limit
+    if bad == 0:
+        return n
+    if every < 1_000_000_000:  # the generator's own limit
         return int(draw.hypergeometric(good, bad, n))
-    # beyond it: the law's normal limit, rounded and kept inside the law's range
-    share = good / (good + bad)
-    spread = (n * share * (1 - share) * (good + bad - n) / (good + bad - 1)) ** 0.5
-    return int(np.clip(round(draw.normal(n * share, spread)), max(0, n - bad), min(n, good)))
+    if n > every // 2:
+        return good - _hypergeometric(draw, good, bad, every - n)
+    if n <= ONE_BY_ONE:
+        found = 0
+        for k in range(n):
+            found += int(draw.integers(every - k)) < good - found
+        return found
+    x, y = int(draw.binomial(good, n / every)), int(draw.binomial(bad, n / every))
+    if x + y <= n:
+        return x + _hypergeometric(draw, good - x, bad - y, n - x - y)
+    return x - _hypergeometric(draw, x, y, x + y - n)
 
 
 def shard_rows(docs: DataFrame, shards: int = 16, ident: str = "doc_id", text: str = "text", seed: int = 29) -> DataFrame:
@@ -56,16 +74,18 @@ def shard_rows(docs: DataFrame, shards: int = 16, ident: str = "doc_id", text: s
 
     `size` is the text's UTF-8 bytes plus one, `slot` the place in the shard, gapless from 0.  Parts and keys
     come from hashes of id and text: a rerun deals alike.  Null texts count as empty, a null id is a
-    value like any other, repeated rows are dealt separately, an empty table gives no rows.
+    value like any other, an empty table gives no rows.  Rows alike in id and text are counted before they move and
+    numbered, so that each has keys of its own and however many there are, they are dealt over all parts.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    narrow = written(docs.select(F.col(ident).cast("long").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
-                                 F.crc32(body).cast("long").alias("text_crc32")))
+    alike = docs.select(F.col(ident).cast("long").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
+                        F.crc32(body).cast("long").alias("text_crc32")).groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n_alike"))
+    narrow = written(each_copy(alike, "n_alike", "nth").drop("n_alike"))
     rows = narrow.count()
     parts = slices_for(rows)
-    keyed = narrow.withColumn("part_key", uniform_key(seed, "doc_id", "text_crc32")) \
+    keyed = narrow.withColumn("part_key", uniform_key(seed, "doc_id", "text_crc32", "nth")) \
         .withColumn("part", F.shiftright(F.shiftright("part_key", KEY_BITS - 30) * F.lit(parts), 30)) \
-        .withColumn("order_key", uniform_key(seed + 1, "doc_id", "text_crc32", "size"))
+        .withColumn("order_key", uniform_key(seed + 1, "doc_id", "text_crc32", "size", "nth"))
     counts = np.zeros(parts, dtype=np.int64)  # the square root of the rows, not the rows
     for r in keyed.groupBy("part").count().collect():
         counts[r["part"]] = r["count"]
@@ -73,12 +93,12 @@ def shard_rows(docs: DataFrame, shards: int = 16, ident: str = "doc_id", text: s
     spark = docs.sparkSession
     cuts = spark.createDataFrame([(p, [int(e) for e in line]) for p, line in enumerate(ends)],
                                  "part_at long, ends array<long>")
-    place = F.row_number().over(Window.partitionBy("part").orderBy("order_key", "doc_id", "text_crc32", "size")) - 1
+    place = F.row_number().over(Window.partitionBy("part").orderBy("order_key", "doc_id", "text_crc32", "size", "nth")) - 1
     sent = keyed.withColumn("place", place).join(cuts, F.col("part") == F.col("part_at")) \
         .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("place")))) \
-        .withColumn("slot_key", uniform_key(seed + 2, "doc_id", "text_crc32", "place")) \
+        .withColumn("slot_key", uniform_key(seed + 2, "doc_id", "text_crc32", "nth")) \
         .withColumn("one", F.lit(1).cast("long")) \
-        .select("doc_id", "size", "text_crc32", "shard", "slot_key", "place", "one")
-    placed = prefix_sums(sent, ["shard"], "slot_key", ["doc_id", "text_crc32", "place"], {"slot": "one"},
+        .select("doc_id", "size", "text_crc32", "nth", "shard", "slot_key", "one")
+    placed = prefix_sums(sent, ["shard"], "slot_key", ["doc_id", "text_crc32", "size", "nth"], {"slot": "one"},
                          slices_for(max(1, rows // shards)))
     return placed.select("doc_id", "size", "text_crc32", "shard", "slot")

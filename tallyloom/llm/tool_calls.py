@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,13 +17,54 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import small_batches
+from tallyloom.operators.groups import concat_group
 from tallyloom.scale import written
 
 TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    """Sorted keys, no spaces, characters as they are; halves of surrogate pairs, which no text can hold, stay escaped."""
+    text = json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def _finite(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(f"{text} is no number in JSON")
+    return value
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is no value in JSON")
+
+
+def parsed_json(text: str):
+    """The value of a JSON text.  NaN, Infinity and numbers too large for a float are errors: canonical JSON cannot hold them."""
+    return json.loads(text, parse_constant=_no_constant, parse_float=_finite)
+
+
+def _name(value) -> str | None:
+    """An identifier or a name as text: other values as their JSON, null and texts that no column can hold as none."""
+    if value is None or (isinstance(value, str) and _LONE.search(value)):
+        return None
+    return value if isinstance(value, str) else canonical(value)
+
+
+def check_schema(schema: dict, at: str = "$") -> None:
+    """Raises for types that no value can be checked against."""
+    kinds = schema.get("type")
+    for kind in [kinds] if isinstance(kinds, str) else kinds or []:
+        if kind not in TYPES and kind not in ("integer", "number"):
+            raise ValueError(f"{at}: unknown type {kind!r}")
+    for name, part in schema.get("properties", {}).items():
+        check_schema(part, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
 
 
 def _is(value, kind: str) -> bool:
@@ -75,7 +117,7 @@ def references(value) -> list[str]:
     while todo:
         v = todo.pop()
         if isinstance(v, dict):
-            if isinstance(v.get("$result"), str):
+            if isinstance(v.get("$result"), str) and not _LONE.search(v["$result"]):
                 found.append(v["$result"])
             todo += v.values()
         elif isinstance(v, list):
@@ -90,7 +132,7 @@ def message_items(role: str | None, text: str | None, schemas: dict[str, dict])
     `content` (a result); any other text is a plain message, itself.  Arguments may be an object or JSON text.
     """
     try:
-        body = json.loads(text) if text and text.lstrip()[:1] == "{" else None
+        body = parsed_json(text) if text and text.lstrip()[:1] == "{" else None
     except (ValueError, RecursionError):
         body = None
     if isinstance(body, dict) and isinstance(body.get("tool_calls"), list) and body["tool_calls"]:
@@ -98,10 +140,10 @@ def message_items(role: str | None, text: str | None, schemas: dict[str, dict])
         for call in body["tool_calls"]:
             call = call if isinstance(call, dict) else {}
             ident, name, arguments = call.get("id"), call.get("name"), call.get("arguments", {})
-            ident = ident if isinstance(ident, str) or ident is None else canonical(ident)
+            ident = _name(ident)
             if isinstance(arguments, str):
                 try:
-                    arguments = json.loads(arguments)
+                    arguments = parsed_json(arguments)
                 except (ValueError, RecursionError):
                     pass
             if ident is None:
@@ -111,11 +153,11 @@ def message_items(role: str | None, text: str | None, schemas: dict[str, dict])
             else:
                 error = schema_error(arguments, schemas[name])
             made = {"role": role, "tool_call": {"id": ident, "name": name, "arguments": arguments}}
-            out.append(("call", ident, name if isinstance(name, str) else None, references(arguments), error, canonical(made)))
+            out.append(("call", ident, _name(name) if isinstance(name, str) else None, references(arguments), error and _LONE.sub("?", error), canonical(made)))
         return out
     if isinstance(body, dict) and "tool_call_id" in body:
         ident = body["tool_call_id"]
-        ident = ident if isinstance(ident, str) or ident is None else canonical(ident)
+        ident = _name(ident)
         return [("result", ident, None, [], None, canonical({"role": role, "tool_call_id": ident, "content": body.get("content")}))]
     return [("message", None, None, [], None, canonical({"role": role, "content": text}))]
 
@@ -149,9 +191,14 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     behind the results its arguments use.  `sort_turn` is the last turn among an item and all before it, so a conversation in order
     keeps its order.  Levels are found in rounds, as many as the longest chain of references.
 
+    NaN, infinite numbers and halves of surrogate pairs: text with the first two is no JSON; an identifier with the last is none, elsewhere
+    they stay escaped.  A schema with an unknown type is an error before anything runs.
+
     Null ids never link; null roles and texts are kept as null in the JSON; text that is not such JSON, empty or very long, is a plain
     message; repeated rows are items of their own; an empty table gives no rows; other columns are not read.
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
     small_batches(messages.sparkSession)
     items = written(read_items(messages.select("conv_id", "turn", "role", "text"), schemas).withColumn("key", F.monotonically_increasing_id()))
     nth = F.row_number().over(Window.partitionBy("kind", "conv_id", "call_id").orderBy("turn", "item", "key"))
@@ -193,3 +240,13 @@ def _levels(items: DataFrame, edges: DataFrame) -> DataFrame:
         open_edges = told.join(fresh.select(F.col("key").alias("later")), "later", "left_anti")
     stuck = items.join(out.select("key"), "key", "left_anti").select("key", F.col("turn").alias("sort_turn"), F.lit(None).cast("int").alias("level"))
     return out.unionByName(stuck)
+
+
+def transcripts(items: DataFrame) -> DataFrame:
+    """(conv_id, transcript): the items of each conversation that `linked` has placed, a line of canonical JSON each, in their order.
+
+    Items on a cycle come last.  A conversation is one text, joined from slices; one beyond Spark's value size is an error.
+    """
+    place = F.struct(F.coalesce("sort_turn", "turn").alias("sort_turn"), F.coalesce("level", F.lit(1 << 30)).alias("level"), "turn", "item")
+    cycles = F.struct(F.col("level").isNull().alias("late"), place.alias("place"))
+    return concat_group(items.withColumn("_order", cycles), ["conv_id"], "json", "_order", sep="\n", out="transcript")

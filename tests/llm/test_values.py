@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyloom.llm import classifier, fingerprint, html_text, jaccard, mixing, packing, queries, sharding, tool_calls, weak_rules
@@ -375,6 +376,74 @@ def test_calls_are_linked_ordered_and_validated(spark):
     assert {r["status"] for r in got if r["conv_id"] == 2} == {"cycle"}
 
 
+def test_values_that_json_or_columns_cannot_hold(spark):
+    call = lambda ident, arguments: json.dumps({"tool_calls": [{"id": ident, "name": "t", "arguments": arguments}]})
+    rows = [(1, 0, "assistant", call("a", {"x": "\ud800 half"})), (1, 1, "tool", json.dumps({"tool_call_id": "a", "content": "\udfff"})),
+            (1, 2, "assistant", call("\ud800", {})), (1, 3, "assistant", '{"tool_calls": [{"id": "n", "name": "t", "arguments": {"x": NaN}}]}'),
+            (1, 4, "assistant", call("s", "{\"x\": 1e999}")), (1, 5, "tool", '{"tool_call_id": "a", "content": Infinity}')]
+    items = tool_calls.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"t": {"type": ["object", "string"]}})
+    got = {r["turn"]: r for r in items.collect()}
+    assert [got[k]["status"] for k in range(6)] == ["linked", "linked", "invalid", None, "pending", None]
+    for r in got.values():
+        assert json.loads(r["json"], parse_constant=lambda c: pytest.fail(c)) is not None
+    assert json.loads(got[0]["json"])["tool_call"]["arguments"] == {"x": "\ud800 half"} and "\\ud800" in got[0]["json"]
+    assert got[2]["call_id"] is None and json.loads(got[4]["json"])["tool_call"]["arguments"] == '{"x": 1e999}'
+    with pytest.raises(ValueError, match="unknown type"):
+        tool_calls.linked(items.limit(0).withColumn("text", F.lit("")).withColumn("role", F.lit("")), {"t": {"properties": {"a": {"type": "number_"}}}})
+
+
+def test_transcripts_are_in_order(spark):
+    use = json.dumps({"tool_calls": [{"id": "b", "name": "t", "arguments": {"x": {"$result": "a"}}}]})
+    make = json.dumps({"tool_calls": [{"id": "a", "name": "t", "arguments": {}}]})
+    rows = [(1, 0, "user", "hello"), (1, 1, "assistant", use), (1, 2, "assistant", make), (1, 3, "tool", json.dumps({"tool_call_id": "a", "content": 1})), (2, 0, "user", "x"), (None, 0, "user", "y")]
+    items = tool_calls.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"t": {}})
+    got = {r["conv_id"]: [json.loads(x) for x in r["transcript"].split("\n")] for r in tool_calls.transcripts(items).collect()}
+    assert [m.get("content", m.get("tool_call", {}).get("id")) for m in got[1]] == ["hello", "a", 1, "b"] and len(got) == 3
+
+
+def test_rows_alike_are_dealt_over_all_parts(spark):
+    """A third of the rows have the same id and text."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("word "), F.col("id"))).otherwise("").alias("text"),
+                                    F.lit("s").alias("source"))
+    shards = sharding.shard_rows(rows).toPandas()
+    assert (shards.groupby("shard").size() == 375).all() and (shards.groupby("shard")["slot"].nunique() == 375).all()
+    alike = shards[shards["doc_id"].isna()].groupby("shard").size()
+    assert len(alike) == 16 and alike.min() > 80 and alike.max() < 175
+    packed = packing.pack(rows, buckets=2, token_budget=30).toPandas()
+    assert len(packed) == 6000 and not packed.duplicated(["bucket", "batch", "place"]).any()
+    mixed = mixing.mix_rows(rows)
+    assert mixed.count() == 6000
+    from tallyloom.llm import common
+
+    counted = spark.createDataFrame([("a", 25_000), ("b", 1)], "k string, n long")
+    copies = common.each_copy(counted, "n", "nth")
+    assert copies.groupBy("k").agg(F.count_distinct("nth").alias("c"), F.max("nth").alias("m")).orderBy("k").collect() == [("a", 25_000, 24_999), ("b", 1, 0)]
+
+
+def test_draws_beyond_the_generators_limit_are_exact():
+    draw = np.random.default_rng(3)
+    good, bad, n = 3_000_000_000, 7_000_000_000, 4_000_000_000
+    got = np.array([sharding._hypergeometric(draw, good, bad, n) for _ in range(4000)], dtype=float)
+    p = good / (good + bad)
+    spread = (n * p * (1 - p) * (good + bad - n) / (good + bad - 1)) ** 0.5
+    assert abs(got.mean() - n * p) < 5 * spread / 4000**0.5 and 0.95 < got.std() / spread < 1.05
+    # the same way on an urn small enough to compare with the generator's own law
+    small = sharding._hypergeometric
+    tally = collections.Counter()
+    for _ in range(20_000):
+        x, y = int(draw.binomial(30, 0.4)), int(draw.binomial(70, 0.4))
+        d = 40 - x - y
+        tally[x + small(draw, 30 - x, 70 - y, d) if d >= 0 else x - small(draw, x, y, -d)] += 1
+    from math import comb
+
+    for k in range(6, 19):
+        law = comb(30, k) * comb(70, 40 - k) / comb(100, 40)
+        assert abs(tally[k] / 20_000 - law) < 5 * (law / 20_000) ** 0.5 + 1e-3
+    assert small(draw, 5, 10**12, 10) in range(6) and small(draw, 0, 10**12, 10) == 0 and small(draw, 10**12, 0, 10) == 10
+    matrix = sharding.communication_matrix(np.array([10**11, 2 * 10**11, 5]), sharding.shard_sizes(3 * 10**11 + 5, 16), 1)
+    assert (matrix.sum(axis=0) == sharding.shard_sizes(3 * 10**11 + 5, 16)).all() and matrix.sum(axis=1).tolist() == [10**11, 2 * 10**11, 5]
+
+
 def test_turns_are_linked_as_the_conversations_say(spark):
     turns = {(r["conv_id"], r["turn"]): r for r in spark.read.parquet(f"{ROOT}/conversations.parquet").collect()}
     got = queries.op4_calls(spark, ROOT).collect()
