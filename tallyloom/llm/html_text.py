@@ -8,6 +8,7 @@ shared ones, the site's furniture, are deleted.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html import unescape
 
@@ -31,7 +32,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "object", "map", "math", "semantics", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "msup", "msub", "msubsup", "munder",
           "mover", "munderover", "mmultiscripts", "mprescripts", "mstyle", "mpadded", "mphantom", "merror", "menclose", "mfenced", "mtable", "mtr", "mtd"}
 SPACED = {"br", "td", "th", "hr", "img", "wbr"}  # white space inside a block; wbr is none
-FURNITURE = {"head", "nav", "aside", "footer", "form", "button", "select", "option", "datalist", "label", "fieldset", "menu", "dialog", "template",
+FURNITURE = {"head", "nav", "aside", "footer", "form", "button", "select", "option", "datalist", "fieldset", "menu", "dialog", "template",
              "embed", "applet", "svg", "canvas", "audio", "video", "annotation", "annotation-xml"} | RAW
 UNSEEN = {"template", "svg", "canvas", "audio", "video", "select", "datalist", "annotation", "annotation-xml"}  # furniture whatever they hold
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar",
@@ -49,6 +50,12 @@ NAMED = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
 AMBIGUOUS = {"hidden", "search", "notice", "notices", "alert", "alerts", "skip", "overlay", "modal", "feedback", "responses", "reply", "replies", "respond",
              "copyright", "share", "sharing", "social", "promotion", "promoted", "subscription", "notification", "disclaimer", "announcement", "announcements"}
 BOXES = {"box", "bar", "form", "field", "input", "button", "buttons", "icons", "links", "wrapper", "container", "widget", "block", "panel", "dialog", "link"}
+# inside an article a name counts only if all its words are of these or say no more than where and in what kind of box something
+# stands; any other name may be the article's own
+INSIDE = NAMED - AMBIGUOUS - {"menu", "menus", "nav", "navigation", "search", "searchbox", "widget", "widgets", "banner", "banners", "aside", "footer", "masthead", "promo",
+                              "related", "comment", "hidden", "dropdown", "login", "signin", "signup", "paywall"}
+PLACES = BOXES | {"user", "users", "reader", "readers", "post", "article", "section", "area", "list", "thread", "slot", "unit", "top", "bottom", "inline", "site", "main", "left",
+                  "right", "inner", "outer", "header", "content", "group", "item", "items"}
 # a name that starts or ends so tells what its page or element has, or how it is shown
 STARTS = {"has", "have", "no", "not", "non", "with", "without", "is", "overflow", "hide", "show", "backface", "visually"}
 ENDS = {"open", "opened", "closed", "layout", "enabled", "disabled", "active", "on", "off", "none", "visible", "page", "result", "results"}
@@ -56,7 +63,6 @@ HEADERS = {"header", "heading-bar", "siteheader", "site-header", "pageheader", "
 CONTENT = {"article", "main"}
 COPY_SHARE = 0.8  # a neighbour that shares so much of a page's text may be a copy of it, not its frame
 FEW_WORDS = 5  # what two pages do not share is no text of its own below so many different words
-LINE_WORDS = 16  # words a line is compared by
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -69,7 +75,7 @@ def _named(text: str, words: set[str]) -> bool:
         whole = token.lower()
         if whole in words:
             return True
-        parts = [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if x]
+        parts = _parts(token)
         if not parts or (len(parts) > 1 and (parts[0] in STARTS or parts[-1] in ENDS)):
             continue
         if any(x in words and (x not in AMBIGUOUS or len(parts) == 1 or parts[-1] in BOXES) for x in (parts[0], parts[-1])):
@@ -77,6 +83,16 @@ def _named(text: str, words: set[str]) -> bool:
     return False
 
 
+def _parts(token: str) -> list[str]:
+    return [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if x]
+
+
+def _all_furniture(token: str) -> bool:
+    """Whether a name says furniture and nothing else."""
+    parts = [token.lower()] if token.lower() in INSIDE else _parts(token)
+    return any(x in INSIDE for x in parts) and all(x in INSIDE or x in PLACES for x in parts)
+
+
 def _is_hidden(rest: str) -> bool:
     at = _attributes(rest)
     return "hidden" in at or at.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I))
@@ -95,9 +111,11 @@ def _is_furniture(name: str, rest: str, in_content: bool) -> bool:
     if at.get("role", "").lower() in ROLES:
         return True
     names = at.get("class", "") + " " + at.get("id", "")
+    if in_content and name not in CONTENT:
+        return any(_all_furniture(token) for token in names.split())
     if name in CONTENT and not _named(names, {"comment", "comments", "reply", "related", "ad", "ads", "sponsored", "promo", "teaser"}):
         return False
-    return _named(names, NAMED) or (not in_content and _named(names, HEADERS))
+    return _named(names, NAMED) or _named(names, HEADERS)
 
 
 def page_blocks(html: str | None) -> tuple[list[str], bool]:
@@ -126,6 +144,7 @@ def _parsed(html: str, spared: frozenset[int], holders: set[int]) -> tuple[list[
     Adds to `holders` the places of those that are skipped outside of content though they hold an article or main.
     """
     stack: list[str] = []
+    standing: Counter[str] = Counter()  # names in the stack, so that unclosed elements do not cost a search each
     skip_at = None  # depth of the furniture element that is open
     skipped_from = None  # and where its tag starts, if it may be opened
     content: list[int] = []  # depths of open content elements
@@ -160,12 +179,13 @@ def _parsed(html: str, spared: frozenset[int], holders: set[int]) -> tuple[list[
         if m["end"]:
             if name == "br" and skip_at is None:
                 piece.append(" ")
-            if name not in stack:
+            if not standing[name]:
                 if name == "p" and skip_at is None:
                     flush()
                 continue
             while stack:
                 top = stack.pop()
+                standing[top] -= 1
                 if skip_at is not None and len(stack) <= skip_at:
                     skip_at = None
                 elif skip_at is None and top not in INLINE:
@@ -190,19 +210,23 @@ def _parsed(html: str, spared: frozenset[int], holders: set[int]) -> tuple[list[
             end = RAW_END[name].search(html, at)
             at = end.start() if end else size
             stack.append(name)
+            standing[name] += 1
             if skip_at is None:
                 skip_at = len(stack) - 1
             continue
         if name in VOID or (m["rest"].endswith("/") and name in ("path", "rect", "circle", "use", "line")):
             continue
-        if name == "p" and "p" in stack and skip_at is None:
+        if name == "p" and standing["p"] and skip_at is None:
             # a paragraph ends the one before, unless something else was opened inside
-            while stack and stack[-1] in INLINE | {"p"} and "p" in stack:
-                if stack.pop() == "p":
+            while stack and standing["p"] and (stack[-1] in INLINE or stack[-1] == "p"):
+                top = stack.pop()
+                standing[top] -= 1
+                if top == "p":
                     break
         elif name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1] == name:
-            stack.pop()
+            standing[stack.pop()] -= 1
         stack.append(name)
+        standing[name] += 1
         if skip_at is not None and skipped_from is not None and name in CONTENT and not _is_furniture(name, m["rest"], False):
             holders.add(skipped_from)
         if skip_at is None:
@@ -275,11 +299,11 @@ def common_positions(a: Sequence, b: Sequence) -> list[int]:
 
 
 def _words(line: str) -> list[int]:
-    """The smallest hashes of a line's words, digits alike: all words of a short line."""
+    """The hashes of a line's distinct words, digits alike."""
     import xxhash
 
     hashes = {xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 31) for w in re.sub(r"[0-9]+", "0", line.lower()).split()}
-    return sorted(hashes)[:LINE_WORDS]
+    return sorted(hashes)
 
 
 def _frame_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

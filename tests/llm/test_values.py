@@ -738,3 +738,30 @@ def test_wrappers_of_an_article_are_no_furniture(names):
 ])
 def test_names_that_hold_a_word_of_furniture(html, wanted):
     assert "\n\n".join(html_text.page_blocks(html)[0]) == wanted
+
+
+@pytest.mark.parametrize("own", ["<div class='related-work'>", "<div class='ad-hoc'>", "<ul class='comments-policy'>", "<div class='menu-of-the-day'>", "<table class='sponsored-research'>",
+                                 "<p class='footer-ball'>", "<p class='menu'>", "<section id='search'>", "<label>", "<div class='notice'>", "<div class='social-history related'>"])
+def test_an_articles_own_names_delete_nothing(own):
+    page = f"<body><nav>gone</nav><article><h1>Title</h1>{own}kept words</{own[1:].split()[0].rstrip('>')}><p>end</p></article></body>"
+    assert html_text.page_blocks(page) == (["Title", "kept words", "end"], True)
+
+
+@pytest.mark.parametrize("other", ["<div class='ad'>", "<div class='ad-slot top'>", "<div id='userComments'>", "<section class='post-comments'>", "<div class='adsbygoogle'>", "<div class='newsletter-box'>",
+                                   "<ul class='breadcrumbs'>", "<form>", "<aside>", "<div role='complementary'>", "<div class='cookie-bar'>"])
+def test_furniture_inside_an_article_goes(other):
+    page = f"<article><h1>Title</h1>{other}gone</{other[1:].split()[0].rstrip('>')}><p>end</p></article>"
+    assert html_text.page_blocks(page) == (["Title", "end"], True)
+
+
+def test_unclosed_tags_cost_no_search_each():
+    import time
+
+    begin = time.process_time()
+    blocks, _ = html_text.page_blocks("<article>" + "<section><p>x</div>" * 20_000)
+    assert len(blocks) == 20_000 and time.process_time() - begin < 5
+
+
+def test_lines_are_compared_by_all_their_words():
+    line = " ".join(f"w{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}" for k in range(100))
+    assert len(html_text._words(line)) == 100 == len(html_text._words(line + " " + line))
