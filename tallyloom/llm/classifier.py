@@ -4,7 +4,8 @@ A text's features are the n-grams that occur in it at all, of three token stream
 in a row), the words' shapes (one to three: runs of letters, digits and each other sign), and whether each
 word repeats the one before (three in a row).  Indicators are scaled to unit length and by the log-count
 ratio of the classes; a linear hinge-loss model is fitted on them by dual coordinate descent, and a
-logistic curve through margins of rows kept aside turns its margin into a score.
+logistic curve through margins of rows kept aside turns its margin into a score.  Features are numbered by hash, modulo
+DIM: those that share a number share a weight.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches, uniform_key
+from tallyloom.llm.common import free_name, small_batches, uniform_key
 from tallyloom.llm.hashes import R1, R2, constant, mixed, run_hashes
 
 DIM = 1 << 18
@@ -254,4 +255,5 @@ def scored(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = 0.3, **options) -> DataFrame:
     """The rows of `docs` with a score of `threshold` or more, their columns as they were."""
     score = scorer(docs, train(docs, labels, text=text, **options))
-    return docs.withColumn("_quality_score", score(F.col(text))).where(F.col("_quality_score") >= threshold).select(*docs.columns)
+    own = free_name(docs, "quality_score")
+    return docs.withColumn(own, score(F.col(text))).where(F.col(own) >= threshold).select(*docs.columns)

@@ -38,6 +38,15 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def free_prefix(df: DataFrame, stem: str) -> str:
+    """A prefix with which no column of `df` begins."""
+    taken = [c.lower() for c in df.columns]
+    prefix = f"_{stem}_"
+    while any(c.startswith(prefix) for c in taken):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

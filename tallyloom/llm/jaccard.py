@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches
+from tallyloom.llm.common import free_name, small_batches
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.hashes import constant, mixed, run_hashes
 from tallyloom.scale import written
@@ -144,7 +144,8 @@ def text_nodes(docs: DataFrame, ident: str, text: str, bands: int, rows: int) ->
 def candidate_components(nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that share a band with another; each bucket only points at its least node."""
     hashed = nodes.select("node", F.explode("bands").alias("band"))
-    centres = hashed.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1").select("band", "centre")
+    # written: an aggregate beside the rows it is made of would keep a band that a third of the texts share in one task
+    centres = written(hashed.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1").select("band", "centre"))
     stars = hashed.join(centres, "band").where("node <> centre").select("node", "centre").distinct()
     # a node has a centre per band at most: it and its other centres point at its least one, so that the members of a
     # large group bring one edge each, and the few centres bring the rest
@@ -266,14 +267,14 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
 def comparisons(nodes: DataFrame, components: DataFrame) -> DataFrame:
     """(node_key, least_id, node, copies, component, i, j, block): the pairs of blocks, i and j, in which a text is compared.
 
-    Every block meets itself.  A text goes to another block of its component only if a text there shares a bucket
+    A text's block follows from its hash, so that links do not hang on how the input is dealt out.  Every block meets itself.  A text goes to another block of its component only if a text there shares a bucket
     with it: a group of near copies meets as a whole, while a component that is a long chain of loosely similar
     texts costs its buckets and not its square.  A bucket brings a list of its blocks; it has all of them where a
     group is large, and then the list is not carried on.
     """
     components = written(components)
     weights = components.groupBy("component").agg(F.ceil(F.sum(F.col("size") + DOC_WEIGHT) / BLOCK_WEIGHT).alias("blocks"))
-    placed = written(components.join(weights, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    placed = written(components.join(weights, "component").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks"))))
     large = written(placed.where("blocks > 1").select("node", "block", "blocks"))  # written: mostly small, and then known to be
     hashed = large.join(nodes.select("node", "bands"), "node").select("node", "block", "blocks", F.explode("bands").alias("band"))
     spread = written(hashed.groupBy("band").agg(F.collect_set("block").alias("held")).where(F.size("held") > 1))
@@ -345,10 +346,11 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text", thresho
     plain = [F.coalesce(F.col(c).cast("string"), F.lit("null")) if t not in ("binary",) and not t.startswith(("array", "map", "struct"))
              else F.xxhash64(c).cast("string") for c, t in docs.dtypes if not t.startswith("map")]
     row_key = F.unhex(F.md5(F.concat_ws("/", *[F.md5(p) for p in plain])))
+    own, kept = free_name(docs, "own_row"), free_name(docs, "kept_row")
     narrow = docs.select(text_key(text), F.col(ident).cast("long").alias("doc_id"), row_key.alias("row"))
     winners = _membership(narrow, nodes, found).groupBy("label") \
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "row")).alias("first")) \
-        .select(F.col("first.row").alias("_kept_row"))
-    keyed = docs.withColumn("_own_row", row_key)
-    return keyed.join(written(winners), F.col("_own_row") == F.col("_kept_row"), "left_semi") \
-        .dropDuplicates(["_own_row"]).select(*docs.columns)
+        .select(F.col("first.row").alias(kept))
+    keyed = docs.withColumn(own, row_key)
+    return keyed.join(written(winners), F.col(own) == F.col(kept), "left_semi") \
+        .dropDuplicates([own]).select(*docs.columns)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import each_copy, equal_keys, prefix_sums, slices_for, uniform_key, word_count
+from tallyloom.llm.common import each_copy, equal_keys, free_prefix, prefix_sums, slices_for, uniform_key, word_count
 from tallyloom.scale import written
 
 
@@ -105,23 +105,24 @@ def mixed_documents(docs: DataFrame, source: str = "source", text: str = "text",
 
     A document without words is kept once: it costs its source nothing.
     """
-    own, mixed = [f"_own_{c}" for c in ALIKE], [f"_mix_{c}" for c in ALIKE]
+    o, m = free_prefix(docs, "own"), free_prefix(docs, "mix")
+    own, mixed = [f"{o}{c}" for c in ALIKE], [f"{m}{c}" for c in ALIKE]
     split = (F.col("extra") > 0) & (F.col("extra") < F.col("n_alike"))
     plan = written(_dealt(docs, source, text, ident, cycle, max_epochs, seed).select(
-        *[F.col(c).alias(f"_mix_{c}") for c in ALIKE],
-        (F.col("epochs") + (F.col("extra") == F.col("n_alike")).cast("long")).alias("_mix_copies"), F.when(split, F.col("extra")).otherwise(0).alias("_mix_extra")))
-    keyed = docs.withColumns({f"_own_{c}": e for c, e in _unit(ident, source, text, seed).items()})
+        *[F.col(c).alias(f"{m}{c}") for c in ALIKE],
+        (F.col("epochs") + (F.col("extra") == F.col("n_alike")).cast("long")).alias(f"{m}copies"), F.when(split, F.col("extra")).otherwise(0).alias(f"{m}extra")))
+    keyed = docs.withColumns({f"{o}{c}": e for c, e in _unit(ident, source, text, seed).items()})
     placed = keyed.join(plan, equal_keys(own, mixed), "left")
-    halved = plan.where("_mix_extra > 0")
+    halved = plan.where(F.col(f"{m}extra") > 0)
     if not halved.isEmpty():  # at most one unit a source: the rows are numbered where they lie, and the first get the copy more
-        rows = written(keyed.join(halved, equal_keys(own, mixed)).withColumn("_mix_part", F.spark_partition_id()))
-        counts = rows.groupBy(*mixed, "_mix_part").agg(F.count("*").alias("_mix_rows"))
-        earlier = Window.partitionBy(*mixed).orderBy("_mix_part").rowsBetween(Window.unboundedPreceding, -1)
-        starts = counts.select(*[F.col(c).alias(f"{c}_at") for c in [*mixed, "_mix_part"]], F.coalesce(F.sum("_mix_rows").over(earlier), F.lit(0)).alias("_mix_before"))
-        number = F.row_number().over(Window.partitionBy(*mixed, "_mix_part").orderBy(F.lit(0)))
-        numbered = rows.withColumn("_mix_number", number).join(starts, equal_keys([*mixed, "_mix_part"], [f"{c}_at" for c in [*mixed, "_mix_part"]]))
-        more = (F.col("_mix_before") + F.col("_mix_number") <= F.col("_mix_extra")).cast("long")
-        placed = placed.where("_mix_extra = 0").unionByName(numbered.withColumn("_mix_copies", F.col("_mix_copies") + more).select(*placed.columns))
-    times = F.when(F.col("_own_size") == 0, F.lit(1)).otherwise(F.col("_mix_copies")).cast("int")
-    return placed.withColumn("_mix_times", times).where("_mix_times > 0") \
-        .withColumn("_mix_nth", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
+        rows = written(keyed.join(halved, equal_keys(own, mixed)).withColumn(f"{m}part", F.spark_partition_id()))
+        counts = rows.groupBy(*mixed, f"{m}part").agg(F.count("*").alias(f"{m}rows"))
+        earlier = Window.partitionBy(*mixed).orderBy(f"{m}part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(*[F.col(c).alias(f"{c}_at") for c in [*mixed, f"{m}part"]], F.coalesce(F.sum(f"{m}rows").over(earlier), F.lit(0)).alias(f"{m}before"))
+        number = F.row_number().over(Window.partitionBy(*mixed, f"{m}part").orderBy(F.lit(0)))
+        numbered = rows.withColumn(f"{m}number", number).join(starts, equal_keys([*mixed, f"{m}part"], [f"{c}_at" for c in [*mixed, f"{m}part"]]))
+        more = (F.col(f"{m}before") + F.col(f"{m}number") <= F.col(f"{m}extra")).cast("long")
+        placed = placed.where(F.col(f"{m}extra") == 0).unionByName(numbered.withColumn(f"{m}copies", F.col(f"{m}copies") + more).select(*placed.columns))
+    times = F.when(F.col(f"{o}size") == 0, F.lit(1)).otherwise(F.col(f"{m}copies")).cast("int")
+    return placed.withColumn(f"{m}times", times).where(F.col(f"{m}times") > 0) \
+        .withColumn(f"{m}nth", F.explode(F.sequence(F.lit(1), F.col(f"{m}times")))).select(*docs.columns)

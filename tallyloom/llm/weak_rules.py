@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACES, text_or_empty
+from tallyloom.llm.common import SPACES, free_prefix, text_or_empty
 from tallyloom.scale import written
 
 SYMBOLS = "#*$%&|<>"
@@ -151,4 +151,5 @@ def judged(docs: DataFrame, ident: str = "doc_id", text: str = "text", threshold
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` that the rules keep, with their columns as they were."""
-    return judge(docs, docs.columns, text, threshold, prefix="_rules_").where("_rules_kept").select(*docs.columns)
+    own = free_prefix(docs, "rules")
+    return judge(docs, docs.columns, text, threshold, prefix=own).where(F.col(f"{own}kept")).select(*docs.columns)
