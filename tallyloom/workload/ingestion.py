@@ -379,6 +379,34 @@ def isolated_failure(tb: Tables) -> DataFrame:
     return results.join(held, "table", "left").select("table", "status", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
+@query("""SELECT event_type AS "table", count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(*) FILTER (value > 50) AS late FROM events GROUP BY 1""")
+def streamed_late_files(tb: Tables) -> DataFrame:
+    """Two runs of one stream; between them a file arrives late in the older of two hour folders, and is taken with the second."""
+    root = scale.fresh_path(tb.spark, "late")
+    seconds = F.unix_timestamp("ts")
+
+    def arrive(rows: DataFrame, folder: str) -> None:
+        data = F.to_json(F.struct("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), "value"))
+        lines = ev.to_lines(rows, F.lit("shop7"), F.col("event_type"), F.lit("insert"), seconds, F.col("event_id"), data)
+        lines.coalesce(2).write.mode("append").text(f"{root}/in/{folder}")
+
+    kinds = [r[0] for r in tb.events.select("event_type").distinct().collect()]
+    targets = [si.Target("shop", kind, StructType.fromDDL(PAYLOAD), f"{root}/ods/{kind}") for kind in kinds]
+    run = lambda: si.ingest(tb.spark, f"{root}/in", targets, root, f"{root}/checkpoint").awaitTermination()
+    late, early = F.col("value") > 50, F.col("event_id") <= tb.events.select(F.avg("event_id")).scalar()
+    arrive(tb.events.filter(~late & early), "2024/02/01/10")
+    arrive(tb.events.filter(~late & ~early), "2024/02/01/11")
+    run()
+    arrive(tb.events.filter(late), "2024/02/01/10")
+    run()
+    out = None
+    for target in targets:
+        table = tb.spark.read.parquet(target.path).groupBy(F.lit(target.table).alias("table")).agg(
+            F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.count_if(F.col("value") > 50).alias("late"))
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
 def event_stream(tb: Tables) -> DataFrame:
     """The events table as a file stream."""
     schema = tb.events.schema
