@@ -1,8 +1,8 @@
 """HTML extraction: the mark-up names what it can, nearest-URL page differencing finds the rest.
 
-A page whose mark-up holds an article (or main) element vouches for its text.  On other pages every line is
-held against the page of the same host whose path is nearest: lines are aligned by longest common subsequence, and
-shared ones, the site's furniture, are deleted.
+Lines are held against those of the page of the same host whose path is nearest: they are aligned by longest common
+subsequence, and shared ones, the site's furniture, are deleted.  A page whose mark-up holds an article (or main) element
+vouches for its text: of its lines those go that are shared so and stand in most of the host's articles too.
 """
 
 from __future__ import annotations
@@ -62,6 +62,7 @@ ENDS = {"open", "opened", "closed", "layout", "enabled", "disabled", "active", "
 HEADERS = {"header", "heading-bar", "siteheader", "site-header", "pageheader", "page-header"}
 CONTENT = {"article", "main"}
 COPY_SHARE = 0.8  # a neighbour that shares so much of a page's text may be a copy of it, not its frame
+FEWEST_TITLES = 10  # a line that fewer articles of a host hold is not the site's
 FEW_WORDS = 5  # what two pages do not share is no text of its own below so many different words
 
 
@@ -307,7 +308,7 @@ def _words(line: str) -> list[int]:
 
 
 def _frame_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Line hashes, sizes and words of the pages that no content element vouches for; `digest` is the same for the same lines."""
+    """Line hashes and sizes of each page, and words where no content element vouches for it; `digest` is the same for the same lines."""
     import xxhash
 
     for batch in batches:
@@ -315,18 +316,21 @@ def _frame_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(c).to_pylist() for c in ("row", "host", "path", "html")]
         for row, host, path, html in zip(*columns, strict=True):
             blocks, vouched = page_blocks(html)
-            if blocks and not vouched and host:
+            if blocks and host:
                 hashes = [xxhash.xxh64_intdigest(b.encode("utf-8", "surrogatepass")) - (1 << 63) for b in blocks]
-                out.append((row, host, path, xxhash.xxh128_digest(np.array(hashes, dtype="int64").tobytes()), hashes, [len(b) for b in blocks], [_words(b) for b in blocks]))
-        made = list(zip(*out, strict=True)) or [[]] * 7
-        kinds = [pa.binary(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(made, kinds, strict=True)], names=["row", "host", "path", "digest", "hashes", "sizes", "words"])
+                words = [] if vouched else [_words(b) for b in blocks]
+                out.append((row, host, path, vouched, xxhash.xxh128_digest(np.array(hashes, dtype="int64").tobytes()), hashes, [len(b) for b in blocks], words))
+        made = list(zip(*out, strict=True)) or [[]] * 8
+        kinds = [pa.binary(), pa.string(), pa.string(), pa.bool_(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(made, kinds, strict=True)],
+                                         names=["row", "host", "path", "vouched", "digest", "hashes", "sizes", "words"])
 
 
 def _is_copy(own: dict, other: dict, found: list[int]) -> bool:
     """Whether two pages that share the lines `found` of `own` are copies, rather than two texts in one frame.
 
     Copies share COPY_SHARE of the text, and what is left is the same words too (digits aside), or nothing, or a few words.
+    Of pages with an article, whose frame is gone already, the share alone tells.
     """
     if sum(own["sizes"][k] for k in found) < COPY_SHARE * sum(own["sizes"]):
         return False
@@ -346,10 +350,10 @@ def _nearness(path: str, other: str) -> int:
     return n
 
 
-PAGE = ["slice", "rank", "host", "path", "digest", "hashes", "sizes", "words"]
-PAGE_TYPES = "slice int, rank int, host string, path string, digest binary, hashes array<long>, sizes array<int>, words array<array<int>>"
+PAGE = ["slice", "rank", "host", "path", "digest", "hashes", "sizes", "words", "common"]
+PAGE_TYPES = "slice int, rank int, host string, path string, digest binary, hashes array<long>, sizes array<int>, words array<array<int>>, common array<long>"
 PAGE_ARROW = pa.schema([("slice", pa.int32()), ("rank", pa.int32()), ("host", pa.string()), ("path", pa.string()), ("digest", pa.binary()),
-                        ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("words", pa.list_(pa.list_(pa.int32())))])
+                        ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("words", pa.list_(pa.list_(pa.int32()))), ("common", pa.list_(pa.int64()))])
 LAST, DIFFERENT = -1, -2  # ranks of the pages that a slice hands on: its last one, and the nearest before it that is no copy of it
 
 
@@ -425,6 +429,9 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 found = common_positions(r["hashes"], other["hashes"])
                 if not _is_copy(r, other, found):
+                    if r["common"] is not None:
+                        common = set(r["common"])
+                        found = [k for k in found if r["hashes"][k] in common]
                     out.append({"host": r["host"], "digest": r["digest"], "nearness": _nearness(r["path"], other["path"]), "gone": found})
                     different = other
                     break
@@ -432,16 +439,34 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("host", pa.string()), ("digest", pa.binary()), ("nearness", pa.int32()), ("gone", pa.list_(pa.int32()))]))
 
 
+def common_lines(lines: DataFrame) -> DataFrame:
+    """(host, digest, common): the lines of a page that most articles of its host hold, for pages that have any.
+
+    Pages are counted by their first line, so copies of an article, near ones too, count once; FEWEST_TITLES at least, and
+    half of the host's.  Counting is distinct rows first and sums after, so no host's pages meet in a task.
+    """
+    first = F.get("hashes", 0).alias("first")
+    titles = written(lines.select("host", first).distinct().groupBy("host").agg(F.count("*").alias("of")))
+    held = lines.select("host", first, F.explode("hashes").alias("line")).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    often = written(written(held.where(F.col("n") >= FEWEST_TITLES)).join(titles, "host").where("2 * n >= of").select("host", "line"))
+    own = lines.select("host", "digest", F.explode("hashes").alias("line"))
+    return written(own.join(often, ["host", "line"]).groupBy("host", "digest").agg(F.collect_set("line").alias("common")))
+
+
 def shared_line_positions(lines: DataFrame) -> DataFrame:
-    """(gone_row, gone): the positions to delete, for pages of `lines` (row, host, path, digest, hashes, sizes, words) that have any.
+    """(gone_row, gone): the positions to delete, for pages of `lines` (row, host, path, vouched, digest, hashes, sizes, words) that have any.
 
     Pages of a host with the same lines are one.  They are range-sorted by host and path and written with the number of
     their range, then walked in both directions: a page is held against the one before it, or if that is a copy, against the nearest
     different one, which the walk carries along and hands on from range to range.  Of the two sides the page
-    with the longer common path start counts.
+    with the longer common path start counts.  Pages with an article (`vouched`) are walked among themselves, those that have
+    lines common on their host (see `common_lines`), and lose only such lines.
     """
     order = ["host", "path", "digest"]
-    pages = lines.groupBy("host", "digest").agg(F.min("path").alias("path"), *[F.any_value(c).alias(c) for c in ("hashes", "sizes", "words")])
+    lines = lines.withColumn("host", F.concat(F.when(F.col("vouched"), "article:").otherwise("page:"), "host"))
+    common = common_lines(lines.where("vouched"))
+    walked = lines.where("NOT vouched").withColumn("common", F.lit(None).cast("array<long>")).unionByName(lines.where("vouched").join(common, ["host", "digest"]))
+    pages = walked.groupBy("host", "digest").agg(F.min("path").alias("path"), *[F.any_value(c).alias(c) for c in ("hashes", "sizes", "words", "common")])
     ranged = written(written(pages).repartitionByRange(*order).withColumn("slice", F.spark_partition_id()).withColumn("rank", F.lit(0))).select(*PAGE)
     sides = []
     for up, side in ((True, 1), (False, 0)):
@@ -483,7 +508,7 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     row = F.unhex(F.md5(F.concat_ws("/", *[F.md5(F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in (page_id, url, html)])))
     own = pages.select(row.alias("row"), F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     lines = pages.select(row.alias("row"), host.alias("host"), path.alias("path"), F.col(html).alias("html")) \
-        .mapInArrow(_frame_lines, "row binary, host string, path string, digest binary, hashes array<long>, sizes array<int>, words array<array<int>>")
+        .mapInArrow(_frame_lines, "row binary, host string, path string, vouched boolean, digest binary, hashes array<long>, sizes array<int>, words array<array<int>>")
     gone = written(shared_line_positions(written(lines)))  # written, since a range sort reads its input twice
     return own.join(gone, F.col("row") == F.col("gone_row"), "left").select("page_id", "url", "html", "gone") \
         .mapInArrow(_texts, "page_id long, url string, text string, n_chars long")

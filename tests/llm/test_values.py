@@ -323,6 +323,25 @@ def test_frames_are_found_across_runs_of_copies_and_on_short_pages(spark):
         assert [got[100 + k] for k in range(4)] == words
 
 
+def test_lines_that_most_articles_of_a_host_hold_go(spark):
+    def body(title, *texts):
+        return f"<body><nav>x</nav><main><h1>{title}</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "</main></body>"
+
+    more, licence, quoted = "Read more stories of today", "Some pages tell under which licence they are", "A sentence that many copies and one other page hold"
+    pages = [(k, f"http://site.example/{k:02}", body(f"Story {k}", f"Paragraph {k} of its own, with words enough", *([licence] if k % 3 == 0 else []), more)) for k in range(40)]
+    # copies of one article are one title, however many they are, and a page that quotes them takes nothing from them
+    pages += [(100 + k, f"http://copies.example/{k:02}", body("The same title", quoted, f"Seen {k} times", "Long text " * 40)) for k in range(60)]
+    pages += [(200 + k, f"http://copies.example/{k:02}x", body(f"Other {k}", quoted if k == 0 else f"Text {k}", f"And its own end {k}")) for k in range(12)]
+    # too few pages to tell
+    pages += [(300 + k, f"http://small.example/{k}", body(f"Small {k}", f"Words of page {k}", more)) for k in range(9)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n\n") for r in html_text.main_texts(frame.repartition(5)).collect()}
+    for k in range(40):
+        assert got[k] == [f"Story {k}", f"Paragraph {k} of its own, with words enough"] + ([licence] if k % 3 == 0 else [])
+    assert all(quoted in got[100 + k] and len(got[100 + k]) == 4 for k in range(60)) and quoted in got[200]
+    assert all(got[300 + k][-1] == more for k in range(9))
+
+
 def test_common_positions_are_longest():
     draw = np.random.default_rng(4)
     for _ in range(300):
