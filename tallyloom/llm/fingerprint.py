@@ -180,6 +180,14 @@ def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_results(ids, texts, chunked_signatures(texts), following, chunked_signatures(following)[1]), RESULT)
 
 
+def in_order(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """(doc_id, text) range-sorted by id, then by the text's hash; rows alike in both are told apart by where they were read, so ranges split them."""
+    order = ["at", "tie", "place"]
+    keyed = docs.select(F.col(ident).cast("long").alias("at"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
+                        F.monotonically_increasing_id().alias("place"), F.col(text).alias("text"))
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col("at").alias("doc_id"), "text")
+
+
 def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: RESULT, for the text itself and for its edited form (see `edited`).
 
@@ -190,11 +198,7 @@ def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     its own next; an empty table gives no rows; columns other than id and text are not read.
     """
     small_batches(docs.sparkSession)
-    pruned = docs.select(F.col(ident).cast("long").alias("at"), F.col(text).alias("text")) \
-        .withColumn("tie", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    ranged = pruned.repartitionByRange("at", "tie").sortWithinPartitions("at", "tie") \
-        .select(F.col("at").alias("doc_id"), "text")
-    staged = written(ranged.mapInArrow(_sorted_run, STAGED))
+    staged = written(in_order(docs, ident, text).mapInArrow(_sorted_run, STAGED))
     names = [c.split()[0] for c in RESULT.split(", ")]
     done = staged.where("kind = 'done'").select(*names)
     # one row per partition, without its texts

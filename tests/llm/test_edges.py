@@ -121,6 +121,24 @@ def page(ident, url, html):
     return (ident, url, html, "h", "p", "r", 1, "t", "t")
 
 
+def test_fingerprints_of_rows_alike_are_spread(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") < 2000, F.lit(PROSE)).otherwise(F.concat_ws(" ", F.lit(PROSE), "id")).alias("text"))
+    coalesce, shuffled = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(coalesce, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        tasks = fingerprint.in_order(rows, "doc_id", "text").groupBy(F.spark_partition_id()).count().collect()
+        got = fingerprint.fingerprints(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        spark.conf.unset(coalesce)
+    assert max(r["count"] for r in tasks) < 1000 and sum(r["count"] for r in tasks) == 3000
+    alike = [r for r in got if r["doc_id"] == 7]
+    assert len(got) == 3000 and len(alike) == 2000 and len({r["fingerprint"] for r in alike}) == 1
+    assert sum(r["near_next"] == 1.0 for r in alike) >= 1999  # the last one's next is another text
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([page(1, None, None), page(2, "no address", ""), page(3, "http://A.Org:80", "<p>x"), page(3, "http://A.Org:80", "<p>x"),
                                    page(None, "http://b.net/a/1?q", "<article>" + "<p>line</p>" * 30_000), page(5, "://", "<")], PAGES)
