@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import free_name, small_batches, uniform_key
+from tallyloom.llm.common import free_name, bounded_batches, uniform_key
 from tallyloom.llm.hashes import R1, R2, constant, mixed, run_hashes
 
 DIM = 1 << 18
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
     Which ones hash order decides, so a rerun takes the same.  Their feature numbers are made on the executors; the
     driver gets those of the sample only.  Rows whose id, quality or document is missing teach nothing.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     known = labels.where(F.col(ident).isNotNull() & F.col("quality").isin(0, 1) & ~held_out(ident)) \
         .select(F.col(ident).alias("label_id"), F.col("quality").alias("good")).dropDuplicates()
     keyed = known.withColumn("key", uniform_key(seed, "label_id", "good"))
@@ -228,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
 
 def scorer(docs: DataFrame, model: Model):
     """A column function: the score of a text column, whole texts, null as empty."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIM floats, a megabyte
 
     @F.pandas_udf("double")

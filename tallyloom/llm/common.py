@@ -13,19 +13,15 @@ SPACES = "\t\n\x0b\x0c\r "
 
 
 BATCH_ROWS = 1000
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Texts go to Python in batches of BATCH_ROWS: Spark's default of 10,000 documents costs each worker ten times as much."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 BATCH_BYTES = 16 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Rows go to Python in batches of at most BATCH_ROWS rows and about BATCH_BYTES bytes, one row at least, however long the texts."""
-    small_batches(spark)
+    """Rows go to Python in batches of at most BATCH_ROWS rows and about BATCH_BYTES bytes, one row at least, however long the texts.
+
+    Spark's default of 10,000 documents costs each worker ten times as much.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches
+from tallyloom.llm.common import bounded_batches
 from tallyloom.llm.hashes import constant, mixed, run_hashes
 from tallyloom.scale import written
 
@@ -197,7 +197,7 @@ def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     second step.  Null texts count as empty; an empty text has the root 0 and no phrases; a text alone is
     its own next; an empty table gives no rows; columns other than id and text are not read.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     staged = written(in_order(docs, ident, text).mapInArrow(_sorted_run, STAGED))
     names = [c.split()[0] for c in RESULT.split(", ")]
     done = staged.where("kind = 'done'").select(*names)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches
+from tallyloom.llm.common import bounded_batches
 from tallyloom.llm.url_filter import url_parts
 from tallyloom.scale import written
 
@@ -503,7 +503,7 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     Repeated rows get equal texts; an empty table gives no rows; columns other than the three are not read.
     The html is parsed twice and shuffled only where deletions are too many to broadcast.
     """
-    small_batches(pages.sparkSession)
+    bounded_batches(pages.sparkSession)
     host, path = url_parts(url)
     row = F.unhex(F.md5(F.concat_ws("/", *[F.md5(F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in (page_id, url, html)])))
     own = pages.select(row.alias("row"), F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import free_name, small_batches
+from tallyloom.llm.common import free_name, bounded_batches
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.hashes import constant, mixed, run_hashes
 from tallyloom.scale import written
@@ -291,7 +291,7 @@ def comparisons(nodes: DataFrame, components: DataFrame) -> DataFrame:
 
 def joined_nodes(docs: DataFrame, ident: str, text: str, threshold: float, recall: float, rows: int) -> tuple[DataFrame, DataFrame]:
     """(nodes, found): the distinct texts, and (node, label, text_links, doc_links) of those with links."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     nodes = text_nodes(docs, ident, text, bands_for(threshold, recall, rows), rows)
     components = candidate_components(nodes).join(nodes.select("node", "key", "least_id", "copies", "size"), "node")
     met = comparisons(nodes, components)

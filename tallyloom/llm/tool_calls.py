@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches
+from tallyloom.llm.common import bounded_batches
 from tallyloom.operators.groups import concat_group
 from tallyloom.scale import written
 
@@ -199,7 +199,7 @@ def linked(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """
     for name, schema in schemas.items():
         check_schema(schema, name)
-    small_batches(messages.sparkSession)
+    bounded_batches(messages.sparkSession)
     items = written(read_items(messages.select("conv_id", "turn", "role", "text"), schemas).withColumn("key", F.monotonically_increasing_id()))
     nth = F.row_number().over(Window.partitionBy("kind", "conv_id", "call_id").orderBy("turn", "item", "key"))
     joinable = items.where("kind <> 'message' and call_id is not null and conv_id is not null").select("key", "kind", "conv_id", "call_id", nth.alias("nth"))

@@ -1,10 +1,12 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyloom.llm import classifier, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
+from tallyloom.llm import classifier, common, fingerprint, html_text, jaccard, mixing, packing, sharding, tool_calls, url_filter, weak_rules
 
 # names that the operators use inside, as columns of the user's
 CLASHES = "size int, key string, node long, label string, score double, bucket int, rank int, one int, shard int, slot int, copies int, words int, part int, before int, text_crc32 long, `_key` int, class_id string, n_words long"
@@ -121,6 +123,24 @@ def page(ident, url, html):
     return (ident, url, html, "h", "p", "r", 1, "t", "t")
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    """Many long texts are many batches, in map functions and in Pandas UDFs alike."""
+    common.bounded_batches(spark)
+    long = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], type=pa.int64())})
+
+    @F.pandas_udf("long")
+    def rows_at_once(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    seen = [r["n"] for r in long.mapInArrow(sizes, "n long").collect()]
+    assert len(seen) >= 3 and max(seen) < 2 * common.BATCH_BYTES
+    assert long.select(rows_at_once("text").alias("n")).agg(F.max("n")).first()[0] <= 32
+
+
 def test_fingerprints_of_rows_alike_are_spread(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("doc_id"),
                                     F.when(F.col("id") < 2000, F.lit(PROSE)).otherwise(F.concat_ws(" ", F.lit(PROSE), "id")).alias("text"))
