@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 from tallyloom.operators.groups import dedupe_keep
 from tallyloom.operators.merge import merge_snapshot
 from tallyloom.scale import written
+from tallyloom.sources import retention
 
 LEDGER = ("version bigint, manifest string, buckets bigint, n_rows bigint, mark timestamp, token string, schema string, "
           "committed_at timestamp")
@@ -168,6 +169,18 @@ class KeyedTable:
         counted.select("bucket", F.lit(folder).alias("folder"), "n_rows").coalesce(1).write.parquet(f"{self.root}/_manifests/{folder}")
         return self._announce(old, folder, buckets, n_rows, mark, None, rows.schema, at)
 
+    def sweep(self, before: dt.datetime, versions: Collection[int] = ()) -> list[str]:
+        """Remove folders last changed before `before` that neither the newest version nor `versions` hold; the others cannot be read any more."""
+        ledger = self.ledger()
+        newest = self.version().version
+        kept = {r["manifest"] for r in ledger.filter(F.col("version").isin([newest, *versions])).select("manifest").collect() if r["manifest"]}
+        if not kept:
+            live = set()
+        else:  # a folder holds what one version wrote
+            listed = self.spark.read.schema(MANIFEST).parquet(*[f"{self.root}/_manifests/{m}" for m in sorted(kept)])
+            live = {r["folder"] for r in listed.select("folder").distinct().collect()}
+        return retention.sweep(f"{self.root}/data", live, before) + retention.sweep(f"{self.root}/_manifests", kept, before)
+
     def _announce(self, old: Version, manifest: str | None, buckets: int, n_rows: int, mark: dt.datetime | None, token: str | None,
                   schema: StructType, at: dt.datetime) -> Version:
         newest = self.version().version

@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.merge import diff_feed
 from tallyloom.operators.quality import Gate
+from tallyloom.sources import retention
 from tallyloom.sources.keyed import BUCKET_ROWS, KeyedTable
 
 # Between a keyed table's root and its version in a ledger row's path.
@@ -150,6 +151,40 @@ class Published:
         """The name is gone for readers; its files stay for versions and names that share them."""
         self._announce(name, None, 0, at)
 
+    def sweep(self, before: dt.datetime, keep: int = 1) -> list[str]:
+        """Remove version folders last changed before `before` that no name needs; returns them, below the root.
+
+        Needed are the newest `keep` versions of every name that is not retired.  Files that several names share stay while
+        one of them needs them; what a refused or failed write left goes; buckets that an older version shares with a needed one stay.
+        """
+        back = Window.partitionBy("name").orderBy(F.desc("version"))
+        newest = F.first("path").over(back.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        try:
+            ledger = self.spark.read.schema(VERSION_SCHEMA).parquet(self.ledger)
+            ranked = ledger.select("path", F.row_number().over(back).alias("nth"), newest.alias("newest"))
+            needed = [r["path"] for r in ranked.where(F.col("newest").isNotNull() & (F.col("nth") <= keep)).collect() if r["path"]]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            needed = []  # nothing was ever announced
+        live, versions = set(), {}
+        for path in needed:
+            root, keyed, version = path.rpartition(KEYED)
+            if keyed:
+                versions.setdefault(root, set()).add(int(version))
+            else:
+                live.add(path)
+        gone = []
+        for name, _ in retention.subfolders(self.root):
+            if name.startswith("_"):
+                continue
+            folder = f"{self.root}/{name}"
+            here = {p.rpartition("/")[2] for p in live if p.rpartition("/")[0] == folder}
+            gone += [f"{name}/{g}" for g in retention.sweep(folder, here | {"keyed"}, before)]
+            table = f"{folder}/keyed"
+            gone += [f"{name}/keyed/{g}" for g in KeyedTable(self.spark, table, []).sweep(before, versions.get(table, ()))]
+        return gone
+
     def roll_forward(self, name: str, now: DataFrame, keys: Sequence[str], watch: Sequence[str], published_at: dt.datetime,
                      send: Callable[[DataFrame], None] | None = None) -> DataFrame:
         """Send what is new or changed since the last snapshot, back it up as `<name>_feed` and keep the snapshot as `<name>_before`.

@@ -297,6 +297,22 @@ def published_table(tb: Tables) -> DataFrame:
     return tables.read("orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT 'newest' AS version, o_orderpriority, count(*) AS n FROM orders WHERE o_orderdate >= DATE '1996-01-01' GROUP BY 2
+          UNION ALL SELECT 'dated', o_orderpriority, count(*) FROM orders GROUP BY 2""")
+def swept_versions(tb: Tables) -> DataFrame:
+    """What is left after retention: the newest version of one name, and files that a retired dated name handed on."""
+    tables = st.Published(tb.spark, scale.fresh_path(tb.spark, "swept"))
+    orders = tb.orders.select("o_orderkey", "o_orderpriority", "o_orderdate")
+    for since in ("1992-01-01", "1994-01-01", "1996-01-01"):
+        tables.publish(orders.filter(F.col("o_orderdate") >= F.lit(since).cast("date")), "recent", NOW)
+    tables.publish_dated(orders, "orders", "2024-02-01", NOW)
+    young = tables.sweep(dt.datetime(2000, 1, 1))
+    old = tables.sweep(dt.datetime(9999, 1, 1))
+    assert young == [] and len(old) == 2 and all(f.startswith("recent/") for f in old)
+    counted = lambda name, label: tables.read(name).groupBy(F.lit(label).alias("version"), "o_orderpriority").agg(F.count("*").alias("n"))
+    return counted("recent", "newest").unionByName(counted("orders", "dated"))
+
+
 @query("""SELECT k, CAST(max_by(total, half) AS DOUBLE) AS total FROM (
             SELECT o_custkey AS k, year(o_orderdate) >= 1998 AS half, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
             FROM orders GROUP BY 1, 2) GROUP BY k""")

@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.sources import retention
 from tallyloom.sources.keyed import Conflict, KeyedTable, apply_window, bucket_of
+from tallyloom.sources.tables import Published
 from tests.conftest import rows
 
 NOW = dt.datetime(2024, 1, 2)
@@ -110,3 +112,51 @@ def test_windows_count_once(spark, tmp_path):
     # the half-open window: minute 30 belongs to the next one, which also makes up for the run left out
     assert run(dt.datetime(2024, 1, 1, 12, 0)).taken
     assert rows(table.read().select("id", "v")) == sorted([(1, "b"), (3, "a"), (None, "n")], key=repr)
+
+
+LATE, EARLY = dt.datetime(9999, 1, 1), dt.datetime(2000, 1, 1)
+
+
+def test_sweep_keeps_what_the_newest_version_shares(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ["id"], bucket_rows=20)
+    assert table.sweep(LATE) == []
+    table.upsert(keyed(spark, 200, "first"), NOW)
+    table.upsert(spark.createDataFrame([(7, "second")], "id long, v string"), NOW)
+    table.upsert(keyed(spark, 200, "third"), NOW)  # touches every bucket, so nothing of the first two versions is left
+    table.upsert(spark.createDataFrame([(8, "fourth")], "id long, v string"), NOW)
+    before = rows(table.read())
+    assert table.sweep(EARLY) == []
+    gone = table.sweep(LATE, versions=[3])
+    assert len(gone) == 4 and all(g.startswith(("v000001", "v000002")) for g in gone)  # rows and manifest of each
+    assert rows(table.read()) == before and table.read(3).count() == 200
+    assert len(table.sweep(LATE)) == 1  # the manifest of version 3; its folder holds buckets of version 4
+    assert rows(table.read()) == before and table.sweep(LATE) == []
+
+
+def test_sweep_of_published_names(spark, tmp_path):
+    tables = Published(spark, f"{tmp_path}/tables")
+    assert tables.sweep(LATE) == []
+    for n in (5, 6, 7):
+        tables.publish(spark.range(n), "whole", NOW)
+    tables.publish(spark.range(0), "whole", NOW)  # refused, its folder stays behind
+    tables.publish(spark.range(3), "gone", NOW)
+    tables.retire("gone", NOW)
+    for value in ("a", "b"):
+        tables.upsert(keyed(spark, 10, value), "keyed", ["id"], NOW)
+    assert tables.sweep(EARLY) == []
+    first = tables.sweep(LATE, keep=2)
+    assert sorted(f.split("/")[0] for f in first) == ["gone", "whole", "whole"]
+    second = tables.sweep(LATE)
+    assert sorted("/".join(f.split("/")[:-1]) for f in second) == ["keyed/keyed", "keyed/keyed", "whole"]
+    assert tables.read("whole").count() == 7 and {r["v"] for r in tables.read("keyed").collect()} == {"b"}
+    assert not tables.exists("gone") and tables.sweep(LATE) == []
+    tables.publish(spark.range(4), "gone", NOW)
+    assert tables.read("gone").count() == 4
+
+
+def test_staged_tables_are_swept_by_name_and_age(spark, tmp_path):
+    for name in ("side-" + "0" * 32, "side-" + "a" * 32, "kept", "9f0b-checkpoint"):
+        spark.range(3).write.parquet(f"{tmp_path}/{name}")
+    assert retention.sweep(f"file:{tmp_path}", (), EARLY, retention.STAGED) == []
+    assert retention.sweep(f"file:{tmp_path}", {"side-" + "a" * 32}, LATE, retention.STAGED) == ["side-" + "0" * 32]
+    assert [n for n, _ in retention.subfolders(str(tmp_path))] == ["9f0b-checkpoint", "kept", "side-" + "a" * 32]
