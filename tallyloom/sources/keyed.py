@@ -30,6 +30,9 @@ LEDGER = ("version bigint, manifest string, buckets bigint, n_rows bigint, mark
 MANIFEST = "bucket bigint, folder string, n_rows bigint"
 # Rows of a bucket on average; the largest hold about twice as many.
 BUCKET_ROWS = 2_000_000
+# Buckets, at most, of a table whose buckets hold fewer rows than that. Each is a folder that an upsert makes, lists and opens, and Spark lists
+# more folders than these by a job with a task for each.
+SMALL_BUCKETS = 32
 
 
 class Version(NamedTuple):
@@ -55,8 +58,16 @@ def bucket_of(hashed: Column, buckets: int) -> Column:
     return F.when(place >= buckets, place - half).otherwise(place)
 
 
+def buckets_for(n_rows: int, bucket_rows: int) -> int:
+    """Buckets of `bucket_rows` rows on average; more than `SMALL_BUCKETS` only where they hold `BUCKET_ROWS` at least."""
+    return max(1, min(-(-n_rows // bucket_rows), max(SMALL_BUCKETS, n_rows // BUCKET_ROWS)))
+
+
 class KeyedTable:
-    """One table under `root`, unique on `keys`.  One writer at a time; any number of readers."""
+    """One table under `root`, unique on `keys`.  One writer at a time; any number of readers.
+
+    Buckets hold `bucket_rows` rows on average while there are few of them (`buckets_for`).
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], bucket_rows: int = BUCKET_ROWS):
         self.spark, self.root, self.keys, self.bucket_rows = spark, root.rstrip("/"), list(keys), bucket_rows
@@ -131,7 +142,7 @@ class KeyedTable:
         added = staged.count()
         if added == 0:
             return self._announce(old, old.manifest, old.buckets, old.n_rows, mark, token, schema, at)
-        buckets = max(old.buckets, 1, -(-(old.n_rows + added) // self.bucket_rows))
+        buckets = max(old.buckets, buckets_for(old.n_rows + added, self.bucket_rows))
         manifest = self._manifest(old)
         touched = None
         if old.buckets:
@@ -162,7 +173,7 @@ class KeyedTable:
         n_rows = staged.count()
         if n_rows == 0:
             return self._announce(old, None, 0, 0, mark, None, rows.schema, at)
-        buckets = -(-n_rows // self.bucket_rows)
+        buckets = buckets_for(n_rows, self.bucket_rows)
         folder = f"v{old.version + 1:06d}-{uuid.uuid4().hex}"
         self._placed(staged, buckets).hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(f"{self.root}/data/{folder}")
         counted = self._placed(staged, buckets).groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n_rows"))

@@ -448,8 +448,9 @@ def completed_days(tb: Tables) -> DataFrame:
 
 @query("""SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1""")
 def streamed_upsert(tb: Tables) -> DataFrame:
+    """The events arrive in files by time, each a micro-batch; their number is bounded, since every batch may touch every user."""
     root = scale.fresh_path(tb.spark, "stream-upsert")
-    tb.events.repartitionByRange("ts").write.parquet(f"{root}/in")
+    tb.events.repartitionByRange("ts").coalesce(12).write.parquet(f"{root}/in")
     order = [F.desc("ts"), F.desc("event_id")]
 
     table = KeyedTable(tb.spark, f"{root}/latest", ["user_id"], bucket_rows=500)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.sources import retention
-from tallyloom.sources.keyed import Conflict, KeyedTable, apply_window, bucket_of
+from tallyloom.sources.keyed import BUCKET_ROWS, SMALL_BUCKETS, Conflict, KeyedTable, apply_window, bucket_of, buckets_for
 from tallyloom.sources.tables import Published
 from tests.conftest import rows
 
@@ -56,6 +56,19 @@ def test_buckets_follow_the_rows(spark, tmp_path):
     assert manifest.agg(F.max("n_rows")).first()[0] < 150
 
 
+def test_small_buckets_stay_few(spark, tmp_path):
+    """Each bucket is a folder to make, list and open, so a table of small rows does not get one for every few rows."""
+    table = KeyedTable(spark, str(tmp_path), ["id"], bucket_rows=5)
+    table.upsert(keyed(spark, 900, "old"), NOW)
+    made = table.upsert(keyed(spark, 900, "new", start=300), NOW)
+    assert (made.buckets, made.n_rows) == (SMALL_BUCKETS, 1200)
+    assert rows(table.read()) == sorted([(i, "old" if i < 300 else "new") for i in range(1200)], key=repr)
+    assert table.replace(keyed(spark, 900, "z"), NOW).buckets == SMALL_BUCKETS and table.read().count() == 900
+    # more only where they are full
+    assert [buckets_for(n, 500) for n in (1, 501, 10**6, 64 * BUCKET_ROWS, 10**10)] == [1, 2, SMALL_BUCKETS, 64, 5000]
+    assert buckets_for(10 * BUCKET_ROWS, BUCKET_ROWS) == 10 and buckets_for(100 * BUCKET_ROWS, 10 * BUCKET_ROWS) == 10
+
+
 def test_orders_nulls_and_repeated_keys(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path), ["id"], bucket_rows=2)
     schema = "id long, v string"
