@@ -13,11 +13,23 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Bytes at most; a session's smaller value stays. The hash maps and sorts of a task hold several times the bytes it reads, which are compressed.
+AT_MOST = {
+    # adaptive execution joins shuffled partitions up to this size; they become no more than spark.sql.shuffle.partitions, which follows the input
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    # a scan's task combines what it reads before the shuffle
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings to an existing session and return it."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    as_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most in AT_MOST.items():
+        if as_bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, f"{most}b")
     return spark
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tallyloom import scale
+from tallyloom import scale, session
 from tallyloom.operators import joins as j, matching
 from tallyloom.operators import merge as m
 from tallyloom.operators import windows as w
@@ -165,3 +165,47 @@ def test_picks_are_trimmed_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = w.latest_per(df, "k", [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+ADVISORY, SPLIT = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+BOUNDED = {ADVISORY: None, SPLIT: None, "spark.sql.shuffle.partitions": "64", "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+
+
+@pytest.fixture
+def left_at_defaults(spark):
+    before = {k: spark.conf.get(k, None) for k in BOUNDED}
+    put = lambda conf: [spark.conf.unset(k) if v is None else spark.conf.set(k, v) for k, v in conf.items()]
+    put(BOUNDED)
+    yield
+    put(before)
+
+
+def test_sizes_of_partitions_are_lowered_only(spark, left_at_defaults):
+    session.prepare(spark)
+    assert (spark.conf.get(ADVISORY), spark.conf.get(SPLIT)) == (f"{16 << 20}b", f"{32 << 20}b")
+    spark.conf.set(ADVISORY, "8m")
+    spark.conf.set(SPLIT, "1000000")
+    session.prepare(spark)
+    assert (spark.conf.get(ADVISORY), spark.conf.get(SPLIT)) == ("8m", "1000000")
+
+
+def partitions_read(node):
+    """The number of partitions in every shuffle read of a finished plan."""
+    name = node.nodeName()
+    if name == "AQEShuffleRead":
+        yield node.partitionSpecs().size()
+    inner = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else []
+    for child in inner + [node.children().apply(n) for n in range(node.children().size())]:
+        yield from partitions_read(child)
+
+
+@pytest.mark.parametrize("name", ["teaching_summary_blocks"])
+def test_shuffled_partitions_stay_small(spark, monkeypatch, left_at_defaults, name):
+    monkeypatch.setitem(session.AT_MOST, ADVISORY, 2000)
+    df = contract.queries()[name](spark, ROOT)
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    assert max(partitions_read(df._jdf.queryExecution().executedPlan())) >= 8
+    result = connect(ROOT).execute(contract.oracle_sql()[name])
+    assert got == rows_of([d[0] for d in result.description], result.fetchall())
