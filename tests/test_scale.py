@@ -201,7 +201,7 @@ def partitions_read(node):
         yield from partitions_read(child)
 
 
-@pytest.mark.parametrize("name", ["teaching_summary_blocks", "split_order_value"])
+@pytest.mark.parametrize("name", ["teaching_summary_blocks", "split_order_value", "rollup_levels_revenue"])
 def test_shuffled_partitions_stay_small(spark, monkeypatch, left_at_defaults, name):
     monkeypatch.setitem(session.AT_MOST, ADVISORY, 2000)
     df = contract.queries()[name](spark, ROOT)
