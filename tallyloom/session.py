@@ -15,12 +15,18 @@ SETTINGS = {
 
 # Bytes at most; a session's smaller value stays. The hash maps and sorts of a task hold several times the bytes it reads, which are compressed.
 AT_MOST = {
-    # adaptive execution joins shuffled partitions up to this size; they become no more than spark.sql.shuffle.partitions, which follows the input
+    # adaptive execution joins shuffled partitions up to this size
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
     # a scan's task combines what it reads before the shuffle
     "spark.sql.files.maxPartitionBytes": 32 << 20,
 }
 
+# A shuffle starts with a partition for this many bytes of the tables read, where the session has fewer; what one shuffle sends is about as much as they hold.
+READ_PER_PARTITION = 8 << 20
+# More would be blocks too small to fetch; beyond this, partitions grow and Spark spills.
+MOST_PARTITIONS = 10_000
+SHUFFLED, INITIAL = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings to an existing session and return it."""
@@ -33,6 +39,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def follow_input(spark: SparkSession, read_bytes: int) -> None:
+    """Let shuffles start with as many partitions as the input asks for; adaptive execution joins the small ones again.
+
+    Their number is raised only, as frames are run after others were made in the same session.
+    """
+    shuffled, initial = int(spark.conf.get(SHUFFLED)), spark.conf.get(INITIAL, None)
+    needed = max(shuffled, min(MOST_PARTITIONS, -(-read_bytes // READ_PER_PARTITION)))
+    if needed > (shuffled if initial is None else int(initial)):
+        spark.conf.set(INITIAL, str(needed))
+
+
 def local_session(app: str = "tallyloom", cores: int | str = "*", memory: str = "8g",
                   shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""

@@ -7,7 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.session import prepare
+from tallyloom.scale import estimated_bytes
+from tallyloom.session import follow_input, prepare
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -22,9 +23,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = prepare(spark), root.rstrip("/")
+        self.sizes: dict[str, int] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        self.sizes[name] = estimated_bytes(table)
+        follow_input(self.spark, sum(self.sizes.values()))
+        return table
 
 
 REGISTRY: dict[str, Query] = {}

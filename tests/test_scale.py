@@ -209,3 +209,36 @@ def test_shuffled_partitions_stay_small(spark, monkeypatch, left_at_defaults, na
     assert max(partitions_read(df._jdf.queryExecution().executedPlan())) >= 8
     result = connect(ROOT).execute(contract.oracle_sql()[name])
     assert got == rows_of([d[0] for d in result.description], result.fetchall())
+
+
+@pytest.fixture
+def few_partitions(spark, left_at_defaults):
+    before = spark.conf.get(session.INITIAL, None)
+    spark.conf.unset(session.INITIAL)
+    spark.conf.set(session.SHUFFLED, "4")
+    yield
+    spark.conf.unset(session.INITIAL) if before is None else spark.conf.set(session.INITIAL, before)
+
+
+def test_the_number_of_partitions_is_raised_only(spark, few_partitions):
+    def after(read_bytes):
+        session.follow_input(spark, read_bytes)
+        return spark.conf.get(session.INITIAL, None)
+
+    assert after(4 * session.READ_PER_PARTITION) is None
+    assert after(4 * session.READ_PER_PARTITION + 1) == "5"
+    assert after(1) == "5"
+    spark.conf.set(session.SHUFFLED, "64")
+    assert after(1) == "64"
+    assert after(1 << 60) == str(session.MOST_PARTITIONS)
+
+
+@pytest.mark.parametrize("name", ["split_order_value"])
+def test_the_number_of_partitions_follows_the_input(spark, monkeypatch, few_partitions, name):
+    monkeypatch.setitem(session.AT_MOST, ADVISORY, 2000)
+    monkeypatch.setattr(session, "READ_PER_PARTITION", 500)
+    df = contract.queries()[name](spark, ROOT)
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    assert max(partitions_read(df._jdf.queryExecution().executedPlan())) >= 8
+    result = connect(ROOT).execute(contract.oracle_sql()[name])
+    assert got == rows_of([d[0] for d in result.description], result.fetchall())
