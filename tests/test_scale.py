@@ -233,7 +233,7 @@ def test_the_number_of_partitions_is_raised_only(spark, few_partitions):
     assert after(1 << 60) == str(session.MOST_PARTITIONS)
 
 
-@pytest.mark.parametrize("name", ["split_order_value"])
+@pytest.mark.parametrize("name", ["split_order_value", "rollup_levels_revenue"])
 def test_the_number_of_partitions_follows_the_input(spark, monkeypatch, few_partitions, name):
     monkeypatch.setitem(session.AT_MOST, ADVISORY, 2000)
     monkeypatch.setattr(session, "READ_PER_PARTITION", 500)
