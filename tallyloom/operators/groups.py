@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import percent
@@ -150,29 +150,32 @@ def rollup_levels(df: DataFrame, levels: Sequence[str], sums: Mapping[str, Colum
     """The same measures at every level of a hierarchy, in one GROUPING SETS pass.
 
     `levels` runs from the coarsest to the finest column.  `distinct` counts `id_col` under a
-    condition.  Rows are reduced to one per (finest level, id) before they are expanded to the
-    levels; an id present in several fine groups counts once in a coarse one.  `level` names
-    the level of a row; deeper columns are null there.
+    condition.  Rows are reduced to one per (finest level, id), and those are not repeated per
+    level: sums need no id, and an id present in several fine groups counts in a coarse one where
+    it comes first.  An id has a row per finest group at most, so the window's groups stay small.
+    `level` names the level of a row; deeper columns are null there.
     """
     distinct = dict(distinct or {})
     sets = [list(levels[: n + 1]) for n in range(len(levels))] + ([[]] if total else [])
     ids = [id_col] if distinct else []
     flags = [F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in distinct.items()]
     reduced = df.groupBy(*levels, *ids).agg(*[F.sum(v).alias(n) for n, v in sums.items()], *flags)
-    again = [F.sum(n).alias(n) for n in sums]
-    if distinct:
-        per_id = reduced.groupingSets([[F.col(c) for c in [*s, *ids]] for s in sets],
-                                      *[F.col(c) for c in [*levels, *ids]]).agg(
-            *again, *[F.bool_or(n).alias(n) for n in distinct],
-            *[F.grouping(c).alias(f"_no_{c}") for c in levels])
-        marks = [f"_no_{c}" for c in levels]
-        counted = F.col(id_col).isNotNull()
-        out = per_id.groupBy(*levels, *marks).agg(
-            *again, *[F.count_if(F.col(n) & counted).alias(n) for n in distinct])
-    else:
-        out = reduced.groupingSets([[F.col(c) for c in s] for s in sets],
-                                   *[F.col(c) for c in levels]).agg(
-            *again, *[F.grouping(c).alias(f"_no_{c}") for c in levels])
+    depths = sorted({len(s) for s in sets}) if distinct else []
+    # coarsest first: rows dealt and sorted for it serve the deeper windows too
+    for depth in depths:
+        once = {n: F.col(n) & F.col(id_col).isNotNull() for n in distinct}
+        if depth < len(levels):
+            earlier = Window.partitionBy(id_col, *levels[:depth]).orderBy(*levels[depth:]).rowsBetween(
+                Window.unboundedPreceding, -1)
+            once = {n: c & ~F.coalesce(F.bool_or(n).over(earlier), F.lit(False)) for n, c in once.items()}
+        reduced = reduced.withColumns({f"_{depth}_{n}": c for n, c in once.items()})
+    out = reduced.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in levels]).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.count_if(f"_{depth}_{n}").alias(f"_{depth}_{n}") for depth in depths for n in distinct],
+        *[F.grouping(c).alias(f"_no_{c}") for c in levels])
+    depth = sum((1 - F.col(f"_no_{c}") for c in levels), F.lit(0))
+    out = out.withColumns({n: F.coalesce(*[F.when(depth == d, F.col(f"_{d}_{n}")) for d in depths]) for n in distinct})
+    out = out.drop(*[f"_{d}_{n}" for d in depths for n in distinct])
     label = F.lit("total")
     for c in levels:
         label = F.when(F.col(f"_no_{c}") == 0, F.lit(c)).otherwise(label)

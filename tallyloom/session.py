@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # without it a shuffle has spark.sql.shuffle.partitions parts whatever the input, and the sizes below do nothing
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join partition even where that costs a shuffle further down
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -10,7 +10,7 @@ from tallyloom import scale, session
 from tallyloom.operators import joins as j, matching
 from tallyloom.operators import merge as m
 from tallyloom.operators import windows as w
-from tallyloom.operators.groups import collect_members, concat_group
+from tallyloom.operators.groups import collect_members, concat_group, rollup_levels
 from tests.conftest import rows
 from tools.oracle_check import connect, rows_of
 
@@ -242,3 +242,34 @@ def test_the_number_of_partitions_follows_the_input(spark, monkeypatch, few_part
     assert max(partitions_read(df._jdf.queryExecution().executedPlan())) >= 8
     result = connect(ROOT).execute(contract.oracle_sql()[name])
     assert got == rows_of([d[0] for d in result.description], result.fetchall())
+
+
+def test_the_number_of_partitions_follows_the_input_where_joining_was_off(spark, monkeypatch, few_partitions):
+    monkeypatch.setitem(session.AT_MOST, ADVISORY, 2000)
+    monkeypatch.setattr(session, "READ_PER_PARTITION", 500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = contract.queries()["rollup_levels_revenue"](spark, ROOT)
+        assert len(df.collect()) == 31
+        assert max(partitions_read(df._jdf.queryExecution().executedPlan()), default=0) >= 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def rows_shuffled(node):
+    """The rows that each shuffle of a finished plan has sent."""
+    name = node.nodeName()
+    if name == "Exchange":
+        yield node.metrics().apply("shuffleRecordsWritten").value()
+    inner = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else []
+    for child in inner + [node.children().apply(n) for n in range(node.children().size())]:
+        yield from rows_shuffled(child)
+
+
+def test_ids_are_not_copied_per_level(spark):
+    df = spark.range(3000).select("id", F.lit("c").alias("college"), (F.col("id") % 3).alias("dept"))
+    out = rollup_levels(df, ["college", "dept"], {"v": F.col("id")}, {"n": F.lit(True), "n_even": F.col("id") % 2 == 0}, "id")
+    got = {(r["level"], r["dept"]): (r["v"], r["n"], r["n_even"]) for r in out.collect()}
+    assert got == {("total", None): (4498500, 3000, 1500), ("college", None): (4498500, 3000, 1500)} | {
+        ("dept", d): (sum(range(d, 3000, 3)), 1000, 500) for d in range(3)}
+    assert max(rows_shuffled(out._jdf.queryExecution().executedPlan())) <= 3000

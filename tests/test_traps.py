@@ -324,6 +324,18 @@ def test_rollup_counts_an_id_once_per_level(spark):
                    ("college", "c", None): (12, 1), ("college", None, None): (1, 1), ("total", None, None): (13, 2)}
 
 
+def test_rollup_counts_an_id_by_any_of_its_groups(spark):
+    df = spark.createDataFrame([("c", "d1", 1, False), ("c", "d2", 1, True), ("c", None, 1, True), ("e", "d1", 1, True), ("c", "d1", None, True),
+                                ("c", "d1", 2, None)], "college string, dept string, id int, f boolean")
+    out = g.rollup_levels(df, ["college", "dept"], {}, {"n": F.lit(True), "n_f": F.col("f")}, "id")
+    got = {(x["level"], x["college"], x["dept"]): (x["n"], x["n_f"]) for x in out.collect()}
+    assert got == {("dept", "c", "d1"): (2, 0), ("dept", "c", "d2"): (1, 1), ("dept", "c", None): (1, 1), ("dept", "e", "d1"): (1, 1),
+                   ("college", "c", None): (2, 1), ("college", "e", None): (1, 1), ("total", None, None): (2, 1)}
+    no_total = g.rollup_levels(df, ["college", "dept"], {}, {"n": F.lit(True), "n_f": F.col("f")}, "id", total=False)
+    assert {(x["level"], x["college"], x["dept"]): (x["n"], x["n_f"]) for x in no_total.collect()} == {
+        k: v for k, v in got.items() if k[0] != "total"}
+
+
 def test_windows_are_half_open(spark):
     times = ["2024-01-01 11:44:59", "2024-01-01 11:45:00", "2024-01-01 11:59:59", "2024-01-01 12:00:00"]
     df = spark.createDataFrame([(x, dt.datetime.fromisoformat(x)) for x in times], "id string, ts timestamp")
